@@ -2,7 +2,7 @@
 adapter, and in-memory fixture builders."""
 
 from fleetreports.sources.events import event_reports, read_events, reports_from_events
-from fleetreports.sources.feed import Ingested, ingest, parse_messages, read_feed, read_feed_stream
+from fleetreports.sources.feed import Ingested, ingest, parse_messages, read_feed, read_feed_stream, to_messages
 from fleetreports.sources.records import make_reports, record_message
 
 __all__ = [
@@ -15,5 +15,6 @@ __all__ = [
     "read_feed",
     "read_feed_stream",
     "record_message",
+    "to_messages",
     "reports_from_events",
 ]

@@ -23,6 +23,7 @@ from fleetreports.functions.coerce import (
     as_text,
     as_whole_double,
     millis_to_ntz,
+    ntz_to_millis,
 )
 from fleetreports.functions.lineage import payload_hash, rsvp_id
 from fleetreports.schema import RAW_MESSAGE_SCHEMA, REPORT_COLUMNS
@@ -78,6 +79,20 @@ def _report_projection(attrs: Column, lastupdate_ms: Column) -> list[Column]:
     ]
 
 
+_HASH_BITS = 22
+
+
+def stream_seq(value: Column) -> Column:
+    """Ingest order on a stream (where row ids are unavailable): the
+    micro-batch time stamp in the high bits - recorded in the offset log, so a
+    replayed batch gets the same numbers - and a content hash in the low 22
+    bits. Later micro-batches order after earlier ones; within one micro-batch
+    the order is deterministic."""
+    batch_ms = F.unix_millis(F.current_timestamp())
+    low = F.xxhash64(value).bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
+    return F.shiftleft(batch_ms, _HASH_BITS).bitwiseOR(low)
+
+
 def parse_messages(raw: DataFrame, value_col: str = "value", with_lineage: bool = False) -> Ingested:
     """Parse JSON messages into reports.
 
@@ -86,13 +101,14 @@ def parse_messages(raw: DataFrame, value_col: str = "value", with_lineage: bool
     yields a default report (empty ``isinactive``), which the active filter
     drops later, as in the source job; empty messages are also listed in the
     quarantine for visibility. ``seq`` numbers the messages in ingest order
-    (unique; used only to break ties between equal ``lastupdate``).
+    (used only to break ties between equal ``lastupdate``): unique row ids in
+    batch, ``stream_seq`` on a stream.
     """
     value = F.col(value_col)
     parsed = raw.select(
         value.alias("_value"),
         F.from_json(value, RAW_MESSAGE_SCHEMA, _JSON_OPTIONS).alias("_m"),
-        F.monotonically_increasing_id().alias("seq"),
+        (stream_seq(value) if raw.isStreaming else F.monotonically_increasing_id()).alias("seq"),
     )
     corrupt = F.col("_m._corrupt_record").isNotNull()
     empty = F.col("_value").isNull() | (F.trim(F.col("_value")) == "")
@@ -115,6 +131,14 @@ def ingest(spark: SparkSession, path: str, with_lineage: bool = False) -> Ingest
     return parse_messages(read_feed(spark, path), with_lineage=with_lineage)
 
 
+def to_messages(reports: DataFrame) -> DataFrame:
+    """Inverse of ``parse_messages``: one JSON message (``value``) per report,
+    ``lastupdate`` as epoch milliseconds. Used to replay tables as a feed."""
+    attrs = [F.col(c) for c in REPORT_COLUMNS if c not in ("lastupdate", "seq")]
+    attrs.append(ntz_to_millis(F.col("lastupdate")).alias("lastupdate"))
+    return reports.select(F.to_json(F.struct(F.struct(*attrs).alias("attributes"))).alias("value"))
+
+
 def report_columns(df: DataFrame) -> DataFrame:
     """Project to the report columns, in order."""
     return df.select(*REPORT_COLUMNS)
