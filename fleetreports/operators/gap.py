@@ -112,15 +112,36 @@ def _gap_distributed(base: DataFrame, n: int, key: str, num_partitions: int | No
 
 
 def _gap_window(base: DataFrame, n: int, key: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy("lastupdate", "seq").rowsBetween(-(n - 1), 0)
-    first = F.first("_ms").over(w)
-    cnt = F.count(F.lit(1)).over(w)
-    gap = F.when(cnt == 1, F.lit(0.0)).otherwise(
-        (F.col("_ms") - first).cast("double") / (cnt - 1).cast("double") / F.lit(1000.0)
+    # O(1) per row: position, the stamp n-1 rows back (lag), and the unit's
+    # first stamp for the first n-1 rows - no sliding-frame re-aggregation.
+    w = Window.partitionBy(key).orderBy("lastupdate", "seq")
+    pos = F.row_number().over(w)
+    back = F.lag("_ms", n - 1).over(w) if n > 1 else F.col("_ms")
+    first = F.first("_ms").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = base.select(
+        key, "seq", "lastupdate", "_ms",
+        pos.alias("_pos"), F.coalesce(back, first).alias("_base_ms"),
     )
-    return base.select(key, "seq", "lastupdate", gap.alias("avg_gap_s"))
+    k = F.least(F.col("_pos") - F.lit(1), F.lit(n - 1)).cast("double")
+    gap = F.when(F.col("_pos") == 1, F.lit(0.0)).otherwise(
+        (F.col("_ms") - F.col("_base_ms")).cast("double") / k / F.lit(1000.0)
+    )
+    return out.select(key, "seq", "lastupdate", gap.alias("avg_gap_s"))
+
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (file bytes of the scan, scaled by
+    column pruning; filters do not lower it, so it bounds the rows any one
+    key can hold). None when unavailable."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate only
+        return None
 
+
+# Inputs whose estimate is below this need no per-unit count: even all of
+# them in one window task is a small task.
+SMALL_INPUT_BYTES = 128 * 1024 * 1024
 # A unit with more reports than this is "hot": its reports take the
 # distributed path. A per-unit window task of this many narrow rows (about
 # 40 bytes each) stays well inside one executor's memory.
@@ -137,11 +158,14 @@ def avg_report_gap(
     strategy: str = "auto",
     hot_key_rows: int = HOT_KEY_ROWS,
     num_partitions: int | None = None,
+    small_input_bytes: int = SMALL_INPUT_BYTES,
 ) -> DataFrame:
     """``id, seq, lastupdate, avg_gap_s`` for every report with a real stamp.
 
     ``strategy``:
-      ``auto``        count reports per unit (two-phase aggregate); units
+      ``auto``        if Catalyst's size estimate of the input is small
+                      (``SMALL_INPUT_BYTES``), one window per unit; else
+                      count reports per unit (two-phase aggregate): units
                       above ``hot_key_rows`` go the distributed way, the
                       rest through one window per unit, whose size the count
                       has just bounded.
@@ -163,6 +187,9 @@ def avg_report_gap(
     if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
 
+    size = estimated_bytes(base)
+    if size is not None and size <= small_input_bytes:
+        return _gap_window(base, n, key)
     hot = base.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_key_rows).select(key)
     n_hot = hot.count()
     if n_hot == 0:

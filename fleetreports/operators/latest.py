@@ -3,19 +3,23 @@
 "Latest" is the greatest ``(lastupdate, seq)``: the newest report, ties broken
 by ingest order, so the answer is deterministic after any shuffle.
 
-Plan shape: ``max_by(struct(payload), struct(order))`` grouped by the key is a
-two-phase aggregate: each map task folds its split down to one row per key
-before the exchange (map-side combine), so a key that holds a third of all
-rows still sends at most one row per map task across the network, and the
-reducer state is O(distinct keys). (``max_by`` with a struct buffer plans as
-a SortAggregate; the partial phase sorts within each task, never across.)
+Two formulations, same result:
+
+* ``rank`` (batch default): ``row_number() = 1`` over a window partitioned by
+  the key. Spark plans it with a *partial* ``WindowGroupLimit`` before the
+  exchange: each map task keeps one row per key, so a key that holds a third
+  of all rows still ships at most one row per map task.
+* ``aggregate`` (streams): ``max_by(struct(payload), struct(order))``, a
+  two-phase aggregate with the same map-side reduction, and the form the
+  streaming state store supports (row-number windows are not allowed on
+  streams).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ORDER = ("lastupdate", "seq")
@@ -26,12 +30,14 @@ def latest_per_key(
     keys: Sequence[str] = ("id",),
     order: Sequence[str] = DEFAULT_ORDER,
     columns: Sequence[str] | None = None,
+    method: str | None = None,
 ) -> DataFrame:
     """One row per ``keys``: the row with the greatest ``order`` tuple.
 
     ``columns`` limits the payload carried through the shuffle (column
     pruning reaches the scan); by default every non-key column is kept.
-    The order columns are always part of the output.
+    The order columns are always part of the output. ``method``: ``rank`` or
+    ``aggregate``; by default ``aggregate`` on streams, ``rank`` otherwise.
     """
     keys = list(keys)
     order = list(order)
@@ -42,5 +48,16 @@ def latest_per_key(
     for c in order:
         if c not in payload:
             payload.append(c)
-    latest = F.max_by(F.struct(*payload), F.struct(*order)).alias("_latest")
-    return df.groupBy(*keys).agg(latest).select(*keys, *[F.col("_latest")[c].alias(c) for c in payload])
+    method = method or ("aggregate" if df.isStreaming else "rank")
+    if method == "rank":
+        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+        return (
+            df.select(*keys, *payload)
+            .withColumn("_latest_rank", F.row_number().over(w))
+            .filter(F.col("_latest_rank") == 1)
+            .drop("_latest_rank")
+        )
+    if method == "aggregate":
+        latest = F.max_by(F.struct(*payload), F.struct(*order)).alias("_latest")
+        return df.groupBy(*keys).agg(latest).select(*keys, *[F.col("_latest")[c].alias(c) for c in payload])
+    raise ValueError(f"unknown method {method!r}")

@@ -127,7 +127,8 @@ def g6_records():
 @pytest.mark.parametrize("strategy", ["window", "distributed", "auto"])
 def test_g6_gap(spark, strategy):
     df = make_reports(spark, g6_records())
-    kw = {"hot_key_rows": 5} if strategy == "auto" else {}  # id 2 (6 rows) is hot
+    # id 2 (6 rows) is hot; the size shortcut is switched off to exercise the split
+    kw = {"hot_key_rows": 5, "small_input_bytes": 0} if strategy == "auto" else {}
     out = avg_report_gap(df, n=5, strategy=strategy, **kw).orderBy("id", "lastupdate", "seq").collect()
     got = {}
     for r in out:
@@ -152,3 +153,23 @@ def test_inactive_reports_are_dropped_everywhere(spark):
     assert ids(q.passthrough(df)) == ["1"]
     assert ids(q.top_delayed(df)) == ["1"]
     assert [r["avg_delay"] for r in q.average_delay(df).collect()] == [5.0]
+
+
+def test_gap_strategies_agree_on_events(spark):
+    from fleetreports.sources import event_reports
+
+    reports = q.passthrough(event_reports(spark, "/root/testdata/sf0.001"))
+    base = sorted(avg_report_gap(reports, strategy="window").collect())
+    assert len(base) > 0
+    assert sorted(avg_report_gap(reports, strategy="distributed", num_partitions=5).collect()) == base
+    split = avg_report_gap(reports, strategy="auto", hot_key_rows=60, small_input_bytes=0)
+    assert sorted(split.collect()) == base
+
+
+def test_latest_methods_agree(spark):
+    from fleetreports.sources import event_reports
+
+    reports = event_reports(spark, "/root/testdata/sf0.001")
+    a = latest_per_key(reports, ["id"], method="rank")
+    b = latest_per_key(reports, ["id"], method="aggregate")
+    assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
