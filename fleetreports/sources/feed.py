@@ -48,12 +48,20 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_feed_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of a landing folder. ``max_files_per_trigger`` bounds a
-    micro-batch (the back-pressure role of the collector's bounded queue)."""
+def read_feed_stream(
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
+) -> DataFrame:
+    """Streaming read of a landing folder. ``max_files_per_trigger`` /
+    ``max_bytes_per_trigger`` bound a micro-batch (the back-pressure role of
+    the collector's bounded queue)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     return reader.load(path)
 
 
@@ -96,7 +104,8 @@ def stream_seq(value: Column) -> Column:
 def parse_messages(raw: DataFrame, value_col: str = "value", with_lineage: bool = False) -> Ingested:
     """Parse JSON messages into reports.
 
-    A message whose text is not JSON goes to quarantine. An empty message, a
+    Null messages are skipped. A message whose text is not JSON goes to
+    quarantine. An empty message, a
     JSON value that is not an object, or an object without ``attributes``
     yields a default report (empty ``isinactive``), which the active filter
     drops later, as in the source job; empty messages are also listed in the
@@ -105,13 +114,13 @@ def parse_messages(raw: DataFrame, value_col: str = "value", with_lineage: bool
     batch, ``stream_seq`` on a stream.
     """
     value = F.col(value_col)
-    parsed = raw.select(
+    parsed = raw.filter(value.isNotNull()).select(
         value.alias("_value"),
         F.from_json(value, RAW_MESSAGE_SCHEMA, _JSON_OPTIONS).alias("_m"),
         (stream_seq(value) if raw.isStreaming else F.monotonically_increasing_id()).alias("seq"),
     )
     corrupt = F.col("_m._corrupt_record").isNotNull()
-    empty = F.col("_value").isNull() | (F.trim(F.col("_value")) == "")
+    empty = F.trim(F.col("_value")) == ""
     attrs = F.col("_m.attributes")
 
     cols = _report_projection(attrs, as_long(attrs.getField("lastupdate"))) + [F.col("seq")]

@@ -105,3 +105,48 @@ def start_average_delay(reports: DataFrame, start: Callable[[DataFrame, str], St
         return start(df, mode)
     finally:
         spark.conf.set(sq.ALLOW_MULTIPLE_CONF, old)
+
+
+def live_window_top(batch: DataFrame, n: int = sq.TOP_N) -> DataFrame:
+    """Batch step of the wall-clock windowed top-N: one micro-batch is one
+    window of arrival time, as in the source job's processing-time windows."""
+    from fleetreports.operators.filters import active, delayed
+    from fleetreports.operators.latest import latest_per_key
+    from fleetreports.operators.topn import top_n
+    from fleetreports.schema import TOP_COLUMNS
+
+    latest = latest_per_key(delayed(active(batch)), ["id"], columns=["linename", "delay"])
+    top = top_n(latest, n)
+    return top.orderBy("lastupdate", top["delay"].desc(), "seq").select(*TOP_COLUMNS)
+
+
+def start_top_delayed_window_live(reports: DataFrame, sink: Callable[[DataFrame, int], None], name: str,
+                                  minutes: float = sq.TOP_WINDOW_MINUTES, n: int = sq.TOP_N,
+                                  checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Windowed top-N over wall-clock windows: a processing-time trigger of
+    ``minutes`` makes every micro-batch one window; each is ranked on its own
+    (no state carries over between windows)."""
+    from fleetreports.operators.windows import duration
+
+    trigger = trigger or {"processingTime": duration(minutes)}
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        sink(live_window_top(batch, n), batch_id)
+
+    return _writer(reports, "append", name, checkpoint, trigger).foreachBatch(step).start()
+
+
+def text_batch_sink(path: str | None, kind: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink for ranked windows: rendered lines into
+    ``path/batch=<id>`` (overwrite: a retried batch replaces its output), or
+    printed when no path is given."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        rendered = render(df, kind)
+        if path:
+            rendered.write.mode("overwrite").text(os.path.join(path, f"batch={batch_id}"))
+        else:
+            for row in rendered.toLocalIterator():
+                print(row.value)
+
+    return write
