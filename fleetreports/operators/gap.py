@@ -49,6 +49,20 @@ GAP_REPORTS = 10  # reports per count window, as deployed
 _LOW_BITS = 33  # monotonically_increasing_id: row index bits within a partition
 
 
+# Target bytes per range partition of the skew-safe path.
+RANGE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def range_partitions(df: DataFrame) -> int:
+    """Number of range partitions: the session's shuffle partitions, or more
+    when Catalyst's size estimate says partitions would exceed the target."""
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    if size is None:
+        return base
+    return max(base, -(-size // RANGE_PARTITION_BYTES))
+
+
 def positions(
     df: DataFrame,
     key: str = "id",
@@ -68,7 +82,7 @@ def positions(
     cut for recovery from lost executors.
     """
     spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = num_partitions or range_partitions(df)
     sort_cols = [key, *order]
     checkpoint_root(spark)
     tagged = (
@@ -105,7 +119,7 @@ def _gap_distributed(base: DataFrame, n: int, key: str, num_partitions: int | No
     bases = pos.select(F.col(key).alias("_bkey"), F.col("pos").alias("_bpos"), F.col("_ms").alias("_base_ms"))
     joined = rows.join(bases, (rows[key] == bases["_bkey"]) & (rows["_base_pos"] == bases["_bpos"]), "inner")
     k = (F.col("pos") - F.col("_base_pos")).cast("double")
-    gap = F.when(F.col("pos") == 1, F.lit(0.0)).otherwise(
+    gap = F.when(k == 0, F.lit(0.0)).otherwise(
         (F.col("_ms") - F.col("_base_ms")).cast("double") / k / F.lit(1000.0)
     )
     return joined.select(key, "seq", "lastupdate", gap.alias("avg_gap_s"))
@@ -123,7 +137,7 @@ def _gap_window(base: DataFrame, n: int, key: str) -> DataFrame:
         pos.alias("_pos"), F.coalesce(back, first).alias("_base_ms"),
     )
     k = F.least(F.col("_pos") - F.lit(1), F.lit(n - 1)).cast("double")
-    gap = F.when(F.col("_pos") == 1, F.lit(0.0)).otherwise(
+    gap = F.when(k == 0, F.lit(0.0)).otherwise(
         (F.col("_ms") - F.col("_base_ms")).cast("double") / k / F.lit(1000.0)
     )
     return out.select(key, "seq", "lastupdate", gap.alias("avg_gap_s"))

@@ -74,7 +74,8 @@ def test_stream_average_text(spark, scratch_dir):
     folder = landing(os.path.join(scratch_dir, "in"), [msgs(w1), msgs(closing)])
     out = os.path.join(scratch_dir, "out")
     quarantine = os.path.join(scratch_dir, "bad")
-    args = ["--average", "--input", folder, "--output", out, "--once", "--max-files-per-trigger", "1",
+    # no file limit: the default byte limit per micro-batch applies
+    args = ["--average", "--input", folder, "--output", out, "--once",
             "--checkpoint", os.path.join(scratch_dir, "ck"), "--quarantine", quarantine]
     assert main(args) == 0
     assert read_lines(spark, out) == ["Average delay:38.166666666666664"]
