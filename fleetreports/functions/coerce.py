@@ -64,13 +64,24 @@ def micros_to_ntz(us: Column) -> Column:
     return F.timestamp_add("MICROSECOND", us, epoch_ntz())
 
 
+def _seconds_field(ts: Column) -> Column:
+    return F.extract(F.lit("SECOND"), ts)  # decimal(8,6): seconds with fraction
+
+
 def ntz_to_millis(ts: Column) -> Column:
-    """TIMESTAMP_NTZ (UTC wall clock) -> epoch milliseconds, floored."""
-    return F.floor(ntz_to_micros(ts) / F.lit(1000)).cast("bigint")
+    """TIMESTAMP_NTZ (UTC wall clock) -> epoch milliseconds, floored.
+
+    ``unix_timestamp`` reads a TIMESTAMP_NTZ's raw value and the fraction is a
+    field of the wall clock, so no time zone takes part. (``timestamp_diff``
+    would cast NTZ to TIMESTAMP in the session zone and be off by an hour
+    around daylight-saving changes.)"""
+    frac = (_seconds_field(ts) * F.lit(1000)).cast("bigint") % F.lit(1000)
+    return F.unix_timestamp(ts) * F.lit(1000) + frac
 
 
 def ntz_to_micros(ts: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", epoch_ntz(), ts)
+    frac = (_seconds_field(ts) * F.lit(1_000_000)).cast("bigint") % F.lit(1_000_000)
+    return F.unix_timestamp(ts) * F.lit(1_000_000) + frac
 
 
 def ntz_to_instant(ts: Column) -> Column:

@@ -51,6 +51,7 @@ _LOW_BITS = 33  # monotonically_increasing_id: row index bits within a partition
 
 # Target bytes per range partition of the skew-safe path.
 RANGE_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_RANGE_PARTITIONS = 1 << 17
 
 
 def range_partitions(df: DataFrame) -> int:
@@ -60,7 +61,7 @@ def range_partitions(df: DataFrame) -> int:
     size = estimated_bytes(df)
     if size is None:
         return base
-    return max(base, -(-size // RANGE_PARTITION_BYTES))
+    return int(min(max(base, -(-size // RANGE_PARTITION_BYTES)), MAX_RANGE_PARTITIONS))
 
 
 def positions(
@@ -148,9 +149,15 @@ def estimated_bytes(df: DataFrame) -> int | None:
     column pruning; filters do not lower it, so it bounds the rows any one
     key can hold). None when unavailable."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate only
         return None
+    # Sources without statistics report spark.sql.defaultSizeInBytes ("unknown").
+    try:
+        unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
+    except ValueError:
+        unknown = (1 << 63) - 1
+    return None if size >= unknown else size
 
 
 # Inputs whose estimate is below this need no per-unit count: even all of

@@ -173,3 +173,40 @@ def test_latest_methods_agree(spark):
     a = latest_per_key(reports, ["id"], method="rank")
     b = latest_per_key(reports, ["id"], method="aggregate")
     assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from fleetreports.sources import event_reports
+
+    reports = event_reports(spark, "/root/testdata/sf0.001")
+
+    def snapshot():
+        return (sorted(q.report_gap(reports).collect()), sorted(q.average_delay(reports, 1).collect()),
+                sorted(q.top_delayed_window(reports, 24 * 60).collect()))
+
+    before = snapshot()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert snapshot() == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_millis_conversions_are_zone_free(spark):
+    import datetime as dt
+
+    from fleetreports.functions.coerce import millis_to_ntz, ntz_to_millis
+
+    ms = [1710035999123, 1710037800001, 1710039600999, 5, 1730597400000, 1730601000000]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(m,) for m in ms], "ms bigint")
+        out = df.select("ms", millis_to_ntz(F.col("ms")).alias("ts")).select(
+            "ms", "ts", ntz_to_millis(F.col("ts")).alias("back")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    for r in out:
+        assert r.ts == dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=r.ms)
+        assert r.back == r.ms
