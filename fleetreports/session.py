@@ -40,13 +40,19 @@ def build_session(master: str | None = None, app_name: str = "fleetreports", shu
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    If the session names none (local tests), a ``fallback`` is set, or a fresh
-    scratch folder for local runs; never used when the cluster names one.
+    If the session names none, ``fallback`` is set; without one, a fresh
+    scratch folder is made only in local mode. On a cluster an unset folder is
+    an error: a machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not current:
-        current = fallback or tempfile.mkdtemp(prefix="fleetreports-ckpt-")
+        if fallback:
+            current = fallback
+        elif sc.master.startswith("local"):
+            current = tempfile.mkdtemp(prefix="fleetreports-ckpt-")
+        else:
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. on the cluster's file system)")
         spark.conf.set(CHECKPOINT_CONF, current)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(current)
