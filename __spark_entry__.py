@@ -38,6 +38,27 @@ def _rendered(fn: Callable[[DataFrame], DataFrame], kind: str) -> Callable[[Data
     return lambda reports: render(fn(reports), kind)
 
 
+def _hot_unit(reports: DataFrame) -> DataFrame:
+    """A third of all reports (users with user_id % 3 = 0) merged into one
+    unit '0': the skewed input of the hot-unit gap query."""
+    from pyspark.sql import functions as F
+
+    hot = (F.col("id").cast("bigint") % 3) == 0
+    return reports.withColumn("id", F.when(hot, F.lit("0")).otherwise(F.col("id")))
+
+
+def _gap_hot_unit(reports: DataFrame) -> DataFrame:
+    # The hot unit (a third of all rows) takes the range-partitioned path, the
+    # other units one window each; the size shortcut is off so the split runs
+    # at every scale.
+    from fleetreports.operators.gap import avg_report_gap
+    from fleetreports.operators.filters import active
+
+    n_reports = 10
+    return avg_report_gap(active(_hot_unit(reports)), n=n_reports, strategy="auto",
+                          hot_key_rows=1000, small_input_bytes=0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per implemented query; each takes (spark, sf_dir)."""
     return {
@@ -51,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "avg_delay_1m": _on_events(partial(q.average_delay, minutes=1)),
         "avg_delay_3m": _on_events(partial(q.average_delay, minutes=3)),
         "avg_report_gap": _on_events(partial(q.report_gap, n=10)),
+        "avg_report_gap_hot_unit": _on_events(_gap_hot_unit),
         "render_reports": _on_events(_rendered(q.passthrough, "report")),
         "render_north": _on_events(_rendered(q.north_reports, "report")),
         "render_trains": _on_events(_rendered(q.trains_last_stop, "train")),
@@ -67,7 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # fleetreports.sources.events), then the active filter.
 _ACTIVE = """
 WITH reports AS (
-  SELECT CAST(user_id AS VARCHAR) AS id,
+  SELECT {id_expr} AS id,
          CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'signup' THEN 3
                          WHEN 'error' THEN 4 WHEN 'purchase' THEN 5 ELSE 0 END AS vtype,
          0 AS ltype,
@@ -90,6 +112,8 @@ WITH reports AS (
 ),
 active AS (SELECT * FROM reports WHERE isinactive = 'false')
 """
+_ACTIVE_HOT = _ACTIVE.replace("{id_expr}", "CASE WHEN user_id % 3 = 0 THEN '0' ELSE CAST(user_id AS VARCHAR) END")
+_ACTIVE = _ACTIVE.replace("{id_expr}", "CAST(user_id AS VARCHAR)")
 
 _REPORT_COLS = (
     "id, vtype, ltype, lat, lng, bearing, lineid, linename, routeid, course, lf, "
@@ -150,8 +174,8 @@ SELECT {_bucket(minutes)} AS window_start, avg(delay) AS avg_delay
 FROM active GROUP BY 1"""
 
 
-def _gap_sql(n: int) -> str:
-    return _ACTIVE + f"""
+def _gap_sql(n: int, active: str | None = None) -> str:
+    return (active or _ACTIVE) + f"""
 SELECT id, seq, lastupdate,
        CASE WHEN cnt = 1 THEN CAST(0.0 AS DOUBLE)
             ELSE CAST(ms - first_ms AS DOUBLE) / CAST(cnt - 1 AS DOUBLE) / 1000.0 END AS avg_gap_s
@@ -211,6 +235,7 @@ def oracle_sql() -> dict[str, str]:
         "avg_delay_1m": _avg_sql(1),
         "avg_delay_3m": _avg_sql(3),
         "avg_report_gap": _gap_sql(10),
+        "avg_report_gap_hot_unit": _gap_sql(10, _ACTIVE_HOT),
         "render_reports": _wrap(active_sql, _REPORT_LINE),
         "render_north": _wrap(north_sql, _REPORT_LINE),
         "render_trains": _wrap(_trains_sql(), _TRAIN_LINE),
