@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetreports.functions.coerce import epoch_ntz, ntz_to_millis
-from fleetreports.session import checkpoint_root
+from fleetreports.session import materialize
 
 GAP_REPORTS = 10  # reports per count window, as deployed
 
@@ -78,21 +78,20 @@ def positions(
 
     The range-partitioned, tagged rows are consumed twice (run counts and the
     join back), and a range exchange samples its bounds afresh each time it
-    is planned, so they are checkpointed once to the session's checkpoint
-    folder: both consumers then see the same partitions, and the lineage is
-    cut for recovery from lost executors.
+    is planned, so they are written once as a table in the session's shared
+    checkpoint folder (``session.materialize``): both consumers then see the
+    same rows and tags, and the lineage is cut for recovery from lost
+    executors.
     """
-    spark = df.sparkSession
     n_parts = num_partitions or range_partitions(df)
     sort_cols = [key, *order]
-    checkpoint_root(spark)
-    tagged = (
+    ranged = (
         df.repartitionByRange(n_parts, *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("_tag", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright(F.col("_tag"), _LOW_BITS))
-        .checkpoint(eager=True)
     )
+    tagged = materialize(ranged, "positions")
     runs = tagged.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_tag").alias("_first"))
     before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = runs.select(

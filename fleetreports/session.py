@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -65,3 +66,15 @@ def stream_checkpoint(spark: SparkSession, query_name: str, location: str | None
     if location:
         return location
     return os.path.join(checkpoint_root(spark), "streams", query_name)
+
+
+def materialize(df, label: str):
+    """Write ``df`` once as a parquet table under the shared checkpoint folder
+    and read it back: cuts the lineage (recovery after executor loss reads the
+    table, not a recomputation) and gives every consumer the same rows. One
+    pass, columnar and compressed, unlike ``Dataset.checkpoint`` which computes
+    its input once to count and again to write."""
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_root(spark), "fleetreports-tables", f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
