@@ -88,3 +88,10 @@ def test_record_message_round_trip(spark, scratch_dir):
     r = ingest(spark, scratch_dir).reports.collect()[0]
     assert (r.id, r.vtype, r.ltype, r.bearing, r.lineid, r.linename, r.delay, r.laststopid, r.finalstopid,
             r.isinactive) == ("7", 5, 5, 350.0, 3, "L3", 12.0, 44, -1, "false")
+
+
+def test_null_messages_are_skipped(spark):
+    raw = spark.createDataFrame([(None,), (msg(id="x", isinactive="false"),)], "value string")
+    got = parse_messages(raw)
+    assert [r.id for r in got.reports.collect()] == ["x"]
+    assert got.quarantine.count() == 0

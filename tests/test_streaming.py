@@ -165,3 +165,28 @@ def test_snapshot_sink_is_idempotent_per_batch(spark, scratch_dir):
     last = sorted(d for d in os.listdir(out) if d.startswith("batch="))[-1]
     lines = sorted(r.value for r in spark.read.text(os.path.join(out, last)).collect())
     assert len(lines) == 5 and all(line.startswith("ID:") for line in lines)
+
+
+def test_live_window_step_ranks_one_micro_batch(spark):
+    from fleetreports.sources import make_reports
+
+    batch = make_reports(spark, G4[:6])  # one wall-clock window's arrivals
+    rows = sinks.live_window_top(batch).collect()
+    assert [r.id for r in rows] == ["1", "2", "3", "4", "5"]
+
+
+def test_average_stream_equals_batch_on_events(spark, scratch_dir):
+    reports = event_reports(spark, "/root/testdata/sf0.001")
+    lines = [r.value for r in to_messages(reports.orderBy("lastupdate", "seq")).collect()]
+    folder = landing(os.path.join(scratch_dir, "in"), [lines[i:i + 200] for i in range(0, len(lines), 200)])
+    got = []
+
+    def start(df, mode):
+        return (df.writeStream.outputMode(mode).option("checkpointLocation", os.path.join(scratch_dir, "ck"))
+                .trigger(availableNow=True).foreachBatch(lambda b, i: got.extend(b.collect())).start())
+
+    sinks.start_average_delay(stream_reports(spark, folder), start, minutes=3).awaitTermination(300)
+    streamed = {r.window_start: r.avg_delay for r in got}
+    batch = {r.window_start: r.avg_delay for r in q.average_delay(reports, 3).collect()}
+    last_open = max(batch)  # the newest window never closes without later data
+    assert streamed == {w: a for w, a in batch.items() if w != last_open}
