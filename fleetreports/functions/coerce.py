@@ -93,12 +93,3 @@ def instant_to_ntz(ts: Column) -> Column:
     """TIMESTAMP instant -> TIMESTAMP_NTZ (UTC wall clock), zone-free."""
     return micros_to_ntz(F.unix_micros(ts))
 
-
-def any_to_ntz(ts: Column, data_type: str) -> Column:
-    """Normalise a source timestamp column to the report representation."""
-    if data_type == "timestamp_ntz":
-        return ts
-    if data_type == "timestamp":
-        return instant_to_ntz(ts)
-    # epoch milliseconds in a numeric or text column
-    return millis_to_ntz(as_long(ts.cast("string")))
