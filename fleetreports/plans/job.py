@@ -56,7 +56,8 @@ def chosen(args: argparse.Namespace) -> registry.QuerySpec | None:
 
 
 def run_batch_job(spark: SparkSession, spec: registry.QuerySpec, args: argparse.Namespace) -> None:
-    got = ingest(spark, args.input)
+    # with two outputs, parse the JSON once (written to the shared folder)
+    got = ingest(spark, args.input, materialize_parse=bool(args.quarantine))
     result = registry.run_batch(spec.name, got.reports, minutes=args.minutes, n=args.n)
     rendered = render(result, spec.render)
     if args.quarantine:

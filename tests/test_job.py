@@ -79,3 +79,13 @@ def test_stream_average_text(spark, scratch_dir):
             "--checkpoint", os.path.join(scratch_dir, "ck"), "--quarantine", quarantine]
     assert main(args) == 0
     assert read_lines(spark, out) == ["Average delay:38.166666666666664"]
+
+
+def test_batch_with_quarantine_parses_once(spark, scratch_dir):
+    lines = msgs([rec(1, bearing=340), rec(2, bearing=10)]) + ["not json", ""]
+    folder = landing(os.path.join(scratch_dir, "in"), [lines])
+    out, bad = os.path.join(scratch_dir, "out"), os.path.join(scratch_dir, "bad")
+    assert main(["--north", "--batch", "--input", folder, "--output", out, "--quarantine", bad]) == 0
+    assert len(read_lines(spark, out)) == 2
+    reasons = sorted(r.reason for r in spark.read.json(bad).collect())
+    assert reasons == ["empty_message", "malformed_json"]
