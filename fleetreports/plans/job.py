@@ -20,7 +20,13 @@ from pyspark.sql import SparkSession
 from fleetreports.functions.render import render
 from fleetreports.plans import registry
 from fleetreports.session import build_session, stream_checkpoint
-from fleetreports.sources.feed import ingest, parse_messages, read_feed_stream
+from fleetreports.sources.feed import (
+    ingest,
+    parse_messages,
+    read_feed_stream,
+    read_report_table,
+    write_report_tables,
+)
 from fleetreports.streaming import sinks
 
 
@@ -31,6 +37,8 @@ def _parser() -> argparse.ArgumentParser:
         names = [f"-{f}" if len(f) == 1 else f"--{f}" for f in spec.flags]
         p.add_argument(*names, dest=f"q_{spec.name}", action="store_true")
     p.add_argument("--input")
+    p.add_argument("--reports", help="run on a report table written by --ingest-to (batch)")
+    p.add_argument("--ingest-to", help="parse --input once into report and quarantine tables, then stop")
     p.add_argument("--output")
     p.add_argument("--checkpoint")
     p.add_argument("--quarantine")
@@ -56,11 +64,16 @@ def chosen(args: argparse.Namespace) -> registry.QuerySpec | None:
 
 
 def run_batch_job(spark: SparkSession, spec: registry.QuerySpec, args: argparse.Namespace) -> None:
-    # with two outputs, parse the JSON once (written to the shared folder)
-    got = ingest(spark, args.input, materialize_parse=bool(args.quarantine))
-    result = registry.run_batch(spec.name, got.reports, minutes=args.minutes, n=args.n)
+    if args.reports:
+        reports = read_report_table(spark, args.reports)
+        got = None
+    else:
+        # with two outputs, parse the JSON once (written to the shared folder)
+        got = ingest(spark, args.input, materialize_parse=bool(args.quarantine))
+        reports = got.reports
+    result = registry.run_batch(spec.name, reports, minutes=args.minutes, n=args.n)
     rendered = render(result, spec.render)
-    if args.quarantine:
+    if args.quarantine and got is not None:
         got.quarantine.write.mode("overwrite").json(args.quarantine)
     if args.output:
         rendered.write.mode("overwrite").text(args.output)
@@ -126,10 +139,13 @@ def main(argv: list[str] | None = None) -> int:
     if spec is None:
         print(registry.help_text())
         return 0
-    if not args.input:
-        print("--input is required\n" + registry.help_text(), file=sys.stderr)
+    if not (args.input or (args.batch and args.reports)):
+        print("--input (or --batch --reports) is required\n" + registry.help_text(), file=sys.stderr)
         return 2
     spark = build_session(args.master, app_name=f"fleetreports-{spec.name}")
+    if args.ingest_to:
+        write_report_tables(ingest(spark, args.input, materialize_parse=True), args.ingest_to)
+        return 0
     if args.batch:
         run_batch_job(spark, spec, args)
         return 0

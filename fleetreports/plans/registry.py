@@ -88,6 +88,8 @@ def stream_form(name: str, reports: DataFrame, **params) -> tuple[DataFrame, str
 
 def help_text() -> str:
     lines = ["Usage: python -m fleetreports.plans.job [OPTIONS] --input DIR [--output DIR]",
+             "       python -m fleetreports.plans.job --input DIR --ingest-to TABLE_DIR",
+             "       python -m fleetreports.plans.job [OPTIONS] --batch --reports TABLE_DIR",
              " With no query option, every active report is printed.", "Options:",
              "  -h, --help      print this help"]
     for spec in QUERIES:

@@ -2,7 +2,16 @@
 adapter, and in-memory fixture builders."""
 
 from fleetreports.sources.events import event_reports, read_events, reports_from_events
-from fleetreports.sources.feed import Ingested, ingest, parse_messages, read_feed, read_feed_stream, to_messages
+from fleetreports.sources.feed import (
+    Ingested,
+    ingest,
+    parse_messages,
+    read_feed,
+    read_feed_stream,
+    read_report_table,
+    to_messages,
+    write_report_tables,
+)
 from fleetreports.sources.records import make_reports, record_message
 
 __all__ = [
@@ -14,7 +23,9 @@ __all__ = [
     "read_events",
     "read_feed",
     "read_feed_stream",
+    "read_report_table",
     "record_message",
     "to_messages",
+    "write_report_tables",
     "reports_from_events",
 ]

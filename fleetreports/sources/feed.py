@@ -169,3 +169,29 @@ def to_messages(reports: DataFrame) -> DataFrame:
 def report_columns(df: DataFrame) -> DataFrame:
     """Project to the report columns, in order."""
     return df.select(*REPORT_COLUMNS)
+
+
+REPORTS_TABLE = "reports"
+QUARANTINE_TABLE = "quarantine"
+
+
+def write_report_tables(ingested: Ingested, path: str, partition_by_day: bool = True) -> None:
+    """Write parsed reports (parquet, partitioned by the UTC day of
+    ``lastupdate``) and the quarantine under ``path``. Parse once with
+    ``materialize_parse=True`` when writing both."""
+    reports = ingested.reports
+    if partition_by_day:
+        reports.withColumn("day", F.to_date(F.col("lastupdate"))).write.mode("append").partitionBy("day").parquet(
+            f"{path.rstrip('/')}/{REPORTS_TABLE}"
+        )
+    else:
+        reports.write.mode("append").parquet(f"{path.rstrip('/')}/{REPORTS_TABLE}")
+    ingested.quarantine.write.mode("append").parquet(f"{path.rstrip('/')}/{QUARANTINE_TABLE}")
+
+
+def read_report_table(spark: SparkSession, path: str) -> DataFrame:
+    """Reports of a table written by ``write_report_tables`` (columns in report
+    order; the ``day`` partition column is available for pruning)."""
+    df = spark.read.parquet(f"{path.rstrip('/')}/{REPORTS_TABLE}")
+    extra = [c for c in df.columns if c not in REPORT_COLUMNS]
+    return df.select(*REPORT_COLUMNS, *extra)

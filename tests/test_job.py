@@ -89,3 +89,21 @@ def test_batch_with_quarantine_parses_once(spark, scratch_dir):
     assert len(read_lines(spark, out)) == 2
     reasons = sorted(r.reason for r in spark.read.json(bad).collect())
     assert reasons == ["empty_message", "malformed_json"]
+
+
+def test_ingest_to_tables_then_query(spark, scratch_dir):
+    lines = msgs(G3_W1 + G3_W2) + ["not json"]
+    folder = landing(os.path.join(scratch_dir, "in"), [lines])
+    table = os.path.join(scratch_dir, "table")
+    assert main(["--input", folder, "--ingest-to", table]) == 0
+    from fleetreports.sources import read_report_table
+    from fleetreports.schema import REPORT_COLUMNS
+
+    reports = read_report_table(spark, table)
+    assert reports.columns[: len(REPORT_COLUMNS)] == list(REPORT_COLUMNS) and "day" in reports.columns
+    assert reports.count() == 8
+    assert [r.reason for r in spark.read.parquet(os.path.join(table, "quarantine")).collect()] == ["malformed_json"]
+    out = os.path.join(scratch_dir, "out")
+    assert main(["-3", "--batch", "--reports", table, "--output", out]) == 0
+    ids = [line.split(" ")[0] for line in read_lines(spark, out)]
+    assert sorted(ids) == sorted(["ID:1", "ID:2", "ID:4", "ID:3", "ID:5"])
