@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_ORDER = ("lastupdate", "seq")
@@ -50,13 +50,13 @@ def latest_per_key(
             payload.append(c)
     method = method or ("aggregate" if df.isStreaming else "rank")
     if method == "rank":
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-        return (
-            df.select(*keys, *payload)
-            .withColumn("_latest_rank", F.row_number().over(w))
-            .filter(F.col("_latest_rank") == 1)
-            .drop("_latest_rank")
+        q = lambda c: f"`{c}`"
+        rank = (
+            f"row_number() OVER (PARTITION BY {', '.join(map(q, keys))} "
+            f"ORDER BY {', '.join(q(c) + ' DESC' for c in order)}) AS _latest_rank"
         )
+        out = [*keys, *payload]
+        return df.selectExpr(*map(q, out), rank).where("_latest_rank = 1").select(*out)
     if method == "aggregate":
         latest = F.max_by(F.struct(*payload), F.struct(*order)).alias("_latest")
         return df.groupBy(*keys).agg(latest).select(*keys, *[F.col("_latest")[c].alias(c) for c in payload])

@@ -27,6 +27,11 @@ def build_session(master: str | None = None, app_name: str = "fleetreports", shu
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # PySpark 4 records the Python call site of every Column it builds
+        # (a stack walk per call, ~1-2 ms); the job builds plans, not
+        # notebooks, so plan building skips it. Errors lose only the Python
+        # line reference.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
