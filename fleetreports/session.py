@@ -50,17 +50,20 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     scratch folder is made only in local mode. On a cluster an unset folder is
     an error: a machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
-    current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle (Spark Connect)
+        sc = None
+    current = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getConf().get(CHECKPOINT_CONF, None) if sc else None)
     if not current:
         if fallback:
             current = fallback
-        elif sc.master.startswith("local"):
+        elif sc is not None and sc.master.startswith("local"):
             current = tempfile.mkdtemp(prefix="fleetreports-ckpt-")
         else:
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. on the cluster's file system)")
         spark.conf.set(CHECKPOINT_CONF, current)
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+    if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(current)
     return current
 
