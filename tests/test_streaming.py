@@ -190,3 +190,24 @@ def test_average_stream_equals_batch_on_events(spark, scratch_dir):
     batch = {r.window_start: r.avg_delay for r in q.average_delay(reports, 3).collect()}
     last_open = max(batch)  # the newest window never closes without later data
     assert streamed == {w: a for w, a in batch.items() if w != last_open}
+
+
+def test_live_windowed_top_n_runs_per_trigger(spark, scratch_dir):
+    # two arrivals, one file each: with a 1 s processing-time trigger and one
+    # file per trigger, every micro-batch is one wall-clock window
+    folder = landing(os.path.join(scratch_dir, "in"), [msgs(G4[:6]), msgs(G4[6:])])
+    got = {}
+
+    def sink(df, batch_id):
+        got[batch_id] = [r.id for r in df.collect()]
+
+    qry = sinks.start_top_delayed_window_live(
+        stream_reports(spark, folder), sink, "live_top", minutes=1,
+        checkpoint=os.path.join(scratch_dir, "ck"), trigger={"processingTime": "1 second"},
+    )
+    try:
+        qry.processAllAvailable()
+    finally:
+        qry.stop()
+    windows = [ids for _, ids in sorted(got.items()) if ids]
+    assert windows == [["1", "2", "3", "4", "5"], ["10", "8", "6", "5", "2"]]
