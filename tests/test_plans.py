@@ -59,3 +59,20 @@ def test_hot_unit_gap_splits(plans):
     assert "Union" in plan and "LeftAnti" in plan
     # the hot unit's positions are read back from the materialized, tagged table
     assert any("_tag:bigint" in s and "_part:bigint" in s for s in read_schema(plan))
+
+
+def test_report_table_scans_push_filters(spark, scratch_dir):
+    from fleetreports.plans import queries as q
+    from fleetreports.sources import Ingested, event_reports, read_report_table, write_report_tables
+
+    reports = event_reports(spark, "/root/testdata/sf0.001")
+    write_report_tables(Ingested(reports, reports.limit(0).selectExpr("'' AS value", "'' AS reason", "seq")),
+                        scratch_dir)
+    table = read_report_table(spark, scratch_dir)
+    trains = physical_plan(q.trains_last_stop(table))
+    assert "PushedFilters: [IsNotNull(isinactive), IsNotNull(vtype), EqualTo(isinactive,false), EqualTo(vtype,5)]" \
+        in trains
+    # only the used columns are read (day is the partition column, free per file)
+    assert "FileScan parquet [id,vtype,linename,laststopid,isinactive,lastupdate,seq,day]" in trains
+    top = physical_plan(q.top_delayed(table))
+    assert "GreaterThan(delay,0.0)" in top
