@@ -42,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--output")
     p.add_argument("--checkpoint")
     p.add_argument("--quarantine")
+    p.add_argument("--stage", help="streams: parse the feed once into this parquet table, query from it")
     p.add_argument("--batch", action="store_true")
     p.add_argument("--once", action="store_true")
     p.add_argument("--minutes", type=float)
@@ -83,19 +84,28 @@ def run_batch_job(spark: SparkSession, spec: registry.QuerySpec, args: argparse.
 
 
 def start_stream_job(spark: SparkSession, spec: registry.QuerySpec, args: argparse.Namespace):
-    got = parse_messages(
-        read_feed_stream(
-            spark,
-            args.input,
-            args.max_files_per_trigger,
-            None if args.max_files_per_trigger else args.max_bytes_per_trigger,
-        )
+    raw = read_feed_stream(
+        spark,
+        args.input,
+        args.max_files_per_trigger,
+        None if args.max_files_per_trigger else args.max_bytes_per_trigger,
     )
+    started = []
+    once = {"availableNow": True} if args.once else None
+    if args.stage:
+        stage_name = f"fleetreports_{spec.name}_staging"
+        stage_ckpt = stream_checkpoint(spark, stage_name, args.checkpoint and f"{args.checkpoint}-staging")
+        staging = sinks.start_staging(raw, args.stage, stage_name, stage_ckpt, once)
+        if args.once:
+            staging.awaitTermination()  # a replay reads the staged table once it is complete
+        else:
+            started.append(staging)
+        got = sinks.read_staged(spark, args.stage, args.max_files_per_trigger)
+    else:
+        got = parse_messages(raw)
     reports = got.reports
     name = f"fleetreports_{spec.name}"
     ckpt = stream_checkpoint(spark, name, args.checkpoint)
-    once = {"availableNow": True} if args.once else None
-    started = []
     if args.quarantine:
         started.append(
             got.quarantine.writeStream.format("json").option("path", args.quarantine)

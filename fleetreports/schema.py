@@ -73,6 +73,13 @@ RAW_MESSAGE_SCHEMA = T.StructType(
     ]
 )
 
+# A staged (parsed once) message: report columns, the quarantine reason (null
+# for a good message) and the raw text of quarantined messages.
+STAGED_SCHEMA = T.StructType(
+    [T.StructField(f.name, f.dataType, True) for f in REPORT_SCHEMA.fields]
+    + [T.StructField("_reason", T.StringType(), True), T.StructField("_raw", T.StringType(), True)]
+)
+
 # Output shapes of the queries (FIXTURES.md section 1).
 TRAIN_COLUMNS = ("id", "linename", "laststopid", "lastupdate")
 TOP_COLUMNS = ("id", "linename", "delay", "lastupdate")

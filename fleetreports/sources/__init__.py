@@ -6,9 +6,11 @@ from fleetreports.sources.feed import (
     Ingested,
     ingest,
     parse_messages,
+    parsed_messages,
     read_feed,
     read_feed_stream,
     read_report_table,
+    split_parsed,
     to_messages,
     write_report_tables,
 )
@@ -20,11 +22,13 @@ __all__ = [
     "ingest",
     "make_reports",
     "parse_messages",
+    "parsed_messages",
     "read_events",
     "read_feed",
     "read_feed_stream",
     "read_report_table",
     "record_message",
+    "split_parsed",
     "to_messages",
     "write_report_tables",
     "reports_from_events",

@@ -101,24 +101,10 @@ def stream_seq(value: Column) -> Column:
     return F.shiftleft(batch_ms, _HASH_BITS).bitwiseOR(low)
 
 
-def parse_messages(
-    raw: DataFrame, value_col: str = "value", with_lineage: bool = False, materialize_parse: bool = False
-) -> Ingested:
-    """Parse JSON messages into reports.
-
-    Null messages are skipped. A message whose text is not JSON goes to
-    quarantine. An empty message, a JSON value that is not an object, or an
-    object without ``attributes`` yields a default report (empty
-    ``isinactive``), which the active filter drops later, as in the source
-    job; empty messages are also listed in the quarantine for visibility.
-    ``seq`` numbers the messages in ingest order (used only to break ties
-    between equal ``lastupdate``): unique row ids in batch, ``stream_seq`` on a
-    stream.
-
-    Both results derive from one parse. When both are consumed (batch),
-    ``materialize_parse=True`` writes the parsed rows once to the shared
-    checkpoint folder, so the JSON text is parsed once, not per output.
-    """
+def parsed_messages(raw: DataFrame, value_col: str = "value", with_lineage: bool = False) -> DataFrame:
+    """One parse of the messages: report columns plus ``_reason`` (null for a
+    good message) and ``_raw`` (the text, kept only for quarantined rows).
+    ``split_parsed`` turns it into reports and quarantine."""
     value = F.col(value_col)
     parsed = raw.filter(value.isNotNull()).select(
         value.alias("_value"),
@@ -133,16 +119,16 @@ def parse_messages(
     if with_lineage:
         cols += [rsvp_id(F.col("_value")).alias("rsvp_id"), payload_hash(F.col("_value")).alias("payload_hash")]
     status = F.when(corrupt, F.lit(REASON_MALFORMED)).when(empty, F.lit(REASON_EMPTY)).otherwise(F.lit(None))
-    combined = parsed.select(
+    return parsed.select(
         *cols,
         status.alias("_reason"),
         # the raw text is kept only where the quarantine needs it
         F.when(corrupt | empty, F.col("_value")).alias("_raw"),
     )
-    if materialize_parse and not raw.isStreaming:
-        from fleetreports.session import materialize
 
-        combined = materialize(combined, "parsed")
+
+def split_parsed(combined: DataFrame) -> Ingested:
+    """Reports (every message that is JSON) and quarantine of a parsed frame."""
     report_cols = [c for c in combined.columns if c not in ("_reason", "_raw")]
     reports = combined.filter(F.col("_reason").isNull() | (F.col("_reason") != REASON_MALFORMED)).select(
         *report_cols
@@ -153,6 +139,33 @@ def parse_messages(
     return Ingested(reports, quarantine)
 
 
+def parse_messages(
+    raw: DataFrame, value_col: str = "value", with_lineage: bool = False, materialize_parse: bool = False
+) -> Ingested:
+    """Parse JSON messages into reports.
+
+    Null messages are skipped. A message whose text is not JSON goes to
+    quarantine. An empty message, a JSON value that is not an object, or an
+    object without ``attributes`` yields a default report (empty
+    ``isinactive``), which the active filter drops later, as in the source
+    job; empty messages are also listed in the quarantine for visibility.
+    ``seq`` numbers the messages in ingest order (used only to break ties
+    between equal ``lastupdate``): unique row ids in batch, ``stream_seq`` on a
+    stream.
+
+    Both results derive from one parse. When both are consumed (batch),
+    ``materialize_parse=True`` writes the parsed rows once to the shared
+    checkpoint folder, so the JSON text is parsed once, not per output. (On
+    streams, ``streaming.sinks.start_staging`` does the same through a table.)
+    """
+    combined = parsed_messages(raw, value_col, with_lineage)
+    if materialize_parse and not raw.isStreaming:
+        from fleetreports.session import materialize
+
+        combined = materialize(combined, "parsed")
+    return split_parsed(combined)
+
+
 def ingest(spark: SparkSession, path: str, with_lineage: bool = False, materialize_parse: bool = False) -> Ingested:
     """Batch ingest of a landing folder."""
     return parse_messages(read_feed(spark, path), with_lineage=with_lineage, materialize_parse=materialize_parse)

@@ -25,8 +25,9 @@ from fleetreports.operators.filters import active, delayed
 from fleetreports.operators.latest import latest_per_key
 from fleetreports.operators.topn import top_n
 from fleetreports.operators.windows import duration
-from fleetreports.schema import TOP_COLUMNS
+from fleetreports.schema import STAGED_SCHEMA, TOP_COLUMNS
 from fleetreports.session import stream_checkpoint
+from fleetreports.sources.feed import Ingested, parsed_messages, split_parsed
 from fleetreports.streaming import queries as sq
 
 SNAPSHOT_INTERVAL = "10 seconds"  # snapshot cadence of the source job
@@ -148,3 +149,22 @@ def text_batch_sink(path: str | None, kind: str) -> Callable[[DataFrame, int], N
                 print(row.value)
 
     return write
+
+
+def start_staging(raw: DataFrame, path: str, name: str, checkpoint: str | None = None,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Parse the landing stream once into a parquet table at ``path`` (file
+    sink: exactly-once through its commit log). Downstream queries stream
+    from the table with ``read_staged`` instead of parsing the JSON again."""
+    trigger = trigger or {"processingTime": FILE_ROLL_INTERVAL}
+    writer = _writer(parsed_messages(raw), "append", name, checkpoint, trigger)
+    return writer.format("parquet").option("path", path).start()
+
+
+def read_staged(spark, path: str, max_files_per_trigger: int | None = None) -> Ingested:
+    """Stream of a staged table (schema fixed, no inference), split into
+    reports and quarantine."""
+    reader = spark.readStream.schema(STAGED_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return split_parsed(reader.parquet(path))

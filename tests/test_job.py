@@ -107,3 +107,17 @@ def test_ingest_to_tables_then_query(spark, scratch_dir):
     assert main(["-3", "--batch", "--reports", table, "--output", out]) == 0
     ids = [line.split(" ")[0] for line in read_lines(spark, out)]
     assert sorted(ids) == sorted(["ID:1", "ID:2", "ID:4", "ID:3", "ID:5"])
+
+
+def test_stream_with_staging_parses_once(spark, scratch_dir):
+    w1 = [rec(i, delay=d, t=10000) for i, d in enumerate([100, 60, 10, 50, 1, 8])]
+    closing = [rec(99, delay=0, t=130000)]
+    folder = landing(os.path.join(scratch_dir, "in"), [msgs(w1) + ["not json"], msgs(closing)])
+    out, bad, stage = (os.path.join(scratch_dir, d) for d in ("out", "bad", "stage"))
+    args = ["--average", "--input", folder, "--output", out, "--once", "--stage", stage,
+            "--checkpoint", os.path.join(scratch_dir, "ck"), "--quarantine", bad]
+    assert main(args) == 0
+    assert read_lines(spark, out) == ["Average delay:38.166666666666664"]
+    assert [r.reason for r in spark.read.json(bad).collect()] == ["malformed_json"]
+    staged = spark.read.parquet(stage)
+    assert staged.count() == 8 and staged.filter("_reason IS NOT NULL").count() == 1
