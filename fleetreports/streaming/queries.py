@@ -75,7 +75,8 @@ def average_delay_stream(reports: DataFrame, minutes: float = AVG_MINUTES) -> tu
 
 
 def trains_last_stop_stream(reports: DataFrame) -> tuple[DataFrame, str]:
-    return trains_last_stop(reports), "complete"
+    """Every train seen, re-emitted whole per trigger, oldest update first."""
+    return trains_last_stop(reports).orderBy("lastupdate", "id"), "complete"
 
 
 def top_delayed_stream(reports: DataFrame, n: int = TOP_N) -> tuple[DataFrame, str]:
