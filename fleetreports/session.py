@@ -58,7 +58,7 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     if not current:
         if fallback:
             current = fallback
-        elif sc is not None and sc.master.startswith("local"):
+        elif (sc.master if sc is not None else (spark.conf.get("spark.master", "") or "")).startswith("local"):
             current = tempfile.mkdtemp(prefix="fleetreports-ckpt-")
         else:
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. on the cluster's file system)")
