@@ -32,6 +32,12 @@ def build_session(master: str | None = None, app_name: str = "fleetreports", shu
         # notebooks, so plan building skips it. Errors lose only the Python
         # line reference.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # Streaming state (latest report per unit, open windows, gap stamps)
+        # grows with the number of units: keep it in RocksDB (off-heap, on
+        # local disk, checkpointed incrementally) instead of the JVM heap.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
