@@ -87,13 +87,14 @@ def _report_projection(attrs: Column, lastupdate_ms: Column) -> list[Column]:
     ]
 
 
-_HASH_BITS = 22
+# 43 bits of epoch milliseconds (until the 2240s) + 20 hash bits fit a long.
+_HASH_BITS = 20
 
 
 def stream_seq(value: Column) -> Column:
     """Ingest order on a stream (where row ids are unavailable): the
     micro-batch time stamp in the high bits - recorded in the offset log, so a
-    replayed batch gets the same numbers - and a content hash in the low 22
+    replayed batch gets the same numbers - and a content hash in the low 20
     bits. Later micro-batches order after earlier ones; within one micro-batch
     the order is deterministic."""
     batch_ms = F.unix_millis(F.current_timestamp())

@@ -95,3 +95,15 @@ def test_null_messages_are_skipped(spark):
     got = parse_messages(raw)
     assert [r.id for r in got.reports.collect()] == ["x"]
     assert got.quarantine.count() == 0
+
+
+def test_stream_seq_stays_positive_for_decades(spark):
+    from pyspark.sql import functions as F
+
+    from fleetreports.sources.feed import _HASH_BITS
+
+    far = 8_700_000_000_000  # epoch ms in the 2240s
+    assert (far << _HASH_BITS) + (1 << _HASH_BITS) - 1 < 1 << 63
+    df = spark.createDataFrame([("x",)], "value string")
+    row = df.select((F.lit(far).cast("bigint") * (1 << _HASH_BITS)).alias("hi")).collect()[0]
+    assert row.hi > 0
