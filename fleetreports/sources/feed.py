@@ -65,6 +65,16 @@ def read_feed_stream(
     return reader.load(path)
 
 
+# Epoch milliseconds of 0001-01-01 and 9999-12-31 23:59:59.999 (UTC): stamps
+# outside cannot be timestamps and take the missing-value default (epoch 0).
+_MIN_MS = -62135596800000
+_MAX_MS = 253402300799999
+
+
+def in_timestamp_range(ms: Column) -> Column:
+    return F.when((ms >= F.lit(_MIN_MS)) & (ms <= F.lit(_MAX_MS)), ms).otherwise(F.lit(0).cast("bigint"))
+
+
 def _report_projection(attrs: Column, lastupdate_ms: Column) -> list[Column]:
     a = lambda name: attrs.getField(name)
     return [
@@ -83,7 +93,7 @@ def _report_projection(attrs: Column, lastupdate_ms: Column) -> list[Column]:
         as_long(a("laststopid")).alias("laststopid"),
         as_long(a("finalstopid")).alias("finalstopid"),
         as_text(a("isinactive")).alias("isinactive"),
-        millis_to_ntz(lastupdate_ms).alias("lastupdate"),
+        millis_to_ntz(in_timestamp_range(lastupdate_ms)).alias("lastupdate"),
     ]
 
 

@@ -107,3 +107,16 @@ def test_stream_seq_stays_positive_for_decades(spark):
     df = spark.createDataFrame([("x",)], "value string")
     row = df.select((F.lit(far).cast("bigint") * (1 << _HASH_BITS)).alias("hi")).collect()[0]
     assert row.hi > 0
+
+
+def test_out_of_range_stamps_do_not_fail_the_job(spark):
+    import datetime as dt
+
+    raw = spark.createDataFrame(
+        [(msg(id="a", isinactive="false", lastupdate=99999999999999999),),
+         (msg(id="b", isinactive="false", lastupdate=-99999999999999999),),
+         (msg(id="c", isinactive="false", lastupdate="1e300"),)],
+        "value string",
+    )
+    rows = {r.id: r.lastupdate for r in parse_messages(raw).reports.collect()}
+    assert rows == {k: dt.datetime(1970, 1, 1) for k in "abc"}
