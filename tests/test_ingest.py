@@ -120,3 +120,25 @@ def test_out_of_range_stamps_do_not_fail_the_job(spark):
     )
     rows = {r.id: r.lastupdate for r in parse_messages(raw).reports.collect()}
     assert rows == {k: dt.datetime(1970, 1, 1) for k in "abc"}
+
+
+def test_more_edge_messages(spark):
+    from fleetreports.plans import queries as q
+
+    rows = [
+        msg(id="a", isinactive="false", bearing="NaN", delay="NaN", lat="Infinity", lineid=1e30,
+            vtype="9999999999", lastupdate=1700000000000),
+        msg(id="b", isinactive="false", bearing=-0.0, delay=-0.5, lastupdate="  1700000000000  "),
+        msg(id="c", isinactive=" false", lastupdate=1700000000000),
+        '{"attributes": {"id": "d", "isinactive": "false", "lastupdate": 1700000000000}} trailing',
+        '[{"attributes": {"id": "e"}}]',
+        '{"attributes": "notanobject"}',
+    ]
+    got = parse_messages(spark.createDataFrame([(r,) for r in rows], "value string"))
+    rep = {r.id: r for r in got.reports.collect()}
+    a = rep["a"]
+    assert (a.vtype, a.delay, a.lineid, a.lat) == (0, 0.0, 0, float("inf")) and a.bearing != a.bearing  # NaN
+    assert rep["b"].delay == 0.0 and rep["b"].lastupdate.year == 2023
+    assert sorted(r.id for r in q.north_reports(got.reports).collect()) == ["b", "d"]  # NaN is not north
+    assert sorted(r.id for r in q.passthrough(got.reports).collect()) == ["a", "b", "d"]  # ' false' is not active
+    assert sorted(r.reason for r in got.quarantine.collect()) == ["malformed_json", "malformed_json"]
