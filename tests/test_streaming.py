@@ -231,3 +231,15 @@ def test_gap_stream_resumes_from_checkpoint(spark, scratch_dir):
     for r in sorted(rows, key=lambda r: (r["id"], r["lastupdate"], r["seq"])):
         got.setdefault(r["id"], []).append(r["avg_gap_s"])
     assert got == G6_EXPECT
+
+
+def test_top5_snapshot_state_survives_restart(spark, scratch_dir):
+    folder = os.path.join(scratch_dir, "in")
+    ckpt = os.path.join(scratch_dir, "ck")
+    landing(folder, [msgs(G3_W1)])
+    first = run_collect(sq.top_delayed_current_stream(stream_reports(spark, folder))[0], "complete", ckpt)
+    assert [r["id"] for r in first[-1]] == ["1", "2", "4", "3", "7"]
+    with open(os.path.join(folder, "batch-0001.json"), "w") as f:
+        f.write("\n".join(msgs(G3_W2)) + "\n")
+    second = run_collect(sq.top_delayed_current_stream(stream_reports(spark, folder))[0], "complete", ckpt)
+    assert [r["id"] for r in second[-1]] == ["2", "4", "3", "5", "6"]  # unit 1 recovered to 0 after restart
