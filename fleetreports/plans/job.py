@@ -39,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--input")
     p.add_argument("--reports", help="run on a report table written by --ingest-to (batch)")
     p.add_argument("--ingest-to", help="parse --input once into report and quarantine tables, then stop")
+    p.add_argument("--lineage", action="store_true", help="with --ingest-to: keep rsvp_id and payload_hash columns")
     p.add_argument("--output")
     p.add_argument("--checkpoint")
     p.add_argument("--quarantine")
@@ -154,7 +155,8 @@ def main(argv: list[str] | None = None) -> int:
         return 2
     spark = build_session(args.master, app_name=f"fleetreports-{spec.name}")
     if args.ingest_to:
-        write_report_tables(ingest(spark, args.input, materialize_parse=True), args.ingest_to)
+        write_report_tables(ingest(spark, args.input, with_lineage=args.lineage, materialize_parse=True),
+                            args.ingest_to)
         return 0
     if args.batch:
         run_batch_job(spark, spec, args)

@@ -121,3 +121,14 @@ def test_stream_with_staging_parses_once(spark, scratch_dir):
     assert [r.reason for r in spark.read.json(bad).collect()] == ["malformed_json"]
     staged = spark.read.parquet(stage)
     assert staged.count() == 8 and staged.filter("_reason IS NOT NULL").count() == 1
+
+
+def test_ingest_with_lineage(spark, scratch_dir):
+    folder = landing(os.path.join(scratch_dir, "in"), [msgs(G3_W1)])
+    table = os.path.join(scratch_dir, "table")
+    assert main(["--input", folder, "--ingest-to", table, "--lineage"]) == 0
+    from fleetreports.sources import read_report_table
+
+    rows = read_report_table(spark, table).select("rsvp_id", "payload_hash").collect()
+    assert len(rows) == 5 and {r.rsvp_id for r in rows} == {"NOT FOUND"}
+    assert all(len(r.payload_hash) == 32 for r in rows)
