@@ -132,3 +132,19 @@ def test_ingest_with_lineage(spark, scratch_dir):
     rows = read_report_table(spark, table).select("rsvp_id", "payload_hash").collect()
     assert len(rows) == 5 and {r.rsvp_id for r in rows} == {"NOT FOUND"}
     assert all(len(r.payload_hash) == 32 for r in rows)
+
+
+def test_registry_is_consistent(spark):
+    from fleetreports.functions import render
+    from fleetreports.sources import make_reports
+
+    reports = make_reports(spark, G4)
+    for name, spec in registry.BY_NAME.items():
+        assert spec.output in ("append", "snapshot", "windowed"), name
+        assert (spec.stream is None) == (spec.output == "windowed"), name
+        result = registry.run_batch(name, reports)
+        assert render(result, spec.render).count() == result.count(), name
+    # parameter overrides reach the query; unknown parameters are ignored
+    one = registry.run_batch("average", reports, minutes=1, n=99).count()
+    three = registry.run_batch("average", reports, minutes=3).count()
+    assert (one, three) == (2, 1)
