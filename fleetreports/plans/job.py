@@ -13,13 +13,14 @@ with ``--quarantine``.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
 from fleetreports.functions.render import render
 from fleetreports.plans import registry
-from fleetreports.session import build_session, stream_checkpoint
+from fleetreports.session import build_session, checkpoint_root, stream_checkpoint
 from fleetreports.sources.feed import (
     ingest,
     parse_messages,
@@ -43,7 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--output")
     p.add_argument("--checkpoint")
     p.add_argument("--quarantine")
-    p.add_argument("--stage", help="streams: parse the feed once into this parquet table, query from it")
+    p.add_argument("--stage", help="streams: parse the feed once into this parquet table, query from it "
+                   "(automatic, under the checkpoint folder, when --quarantine is given)")
     p.add_argument("--batch", action="store_true")
     p.add_argument("--once", action="store_true")
     p.add_argument("--minutes", type=float)
@@ -93,15 +95,20 @@ def start_stream_job(spark: SparkSession, spec: registry.QuerySpec, args: argpar
     )
     started = []
     once = {"availableNow": True} if args.once else None
-    if args.stage:
+    stage = args.stage
+    if stage is None and args.quarantine:
+        # two outputs of one feed: parse it once, into a table beside the checkpoints
+        stage = (f"{args.checkpoint}-stage-table" if args.checkpoint
+                 else os.path.join(checkpoint_root(spark), "fleetreports-stage", spec.name))
+    if stage:
         stage_name = f"fleetreports_{spec.name}_staging"
         stage_ckpt = stream_checkpoint(spark, stage_name, args.checkpoint and f"{args.checkpoint}-staging")
-        staging = sinks.start_staging(raw, args.stage, stage_name, stage_ckpt, once)
+        staging = sinks.start_staging(raw, stage, stage_name, stage_ckpt, once)
         if args.once:
             staging.awaitTermination()  # a replay reads the staged table once it is complete
         else:
             started.append(staging)
-        got = sinks.read_staged(spark, args.stage, args.max_files_per_trigger)
+        got = sinks.read_staged(spark, stage, args.max_files_per_trigger)
     else:
         got = parse_messages(raw)
     reports = got.reports
