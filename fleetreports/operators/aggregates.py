@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetreports.defaults import AVG_MINUTES
 from fleetreports.operators.windows import tumbling
 
-AVG_MINUTES = 1  # width as deployed; the documentation says 3
 
 
 def avg_delay(reports: DataFrame, minutes: float = AVG_MINUTES, ts: str = "lastupdate") -> DataFrame:

@@ -1,25 +1,18 @@
-"""Stateless row filters (plain Catalyst predicates; no shuffle).
-
-Fixed values of the source job (kept together):
-  active      : isinactive = 'false' exactly
-  north       : 0 <= bearing <= 45, or bearing >= 315 (bounds inclusive)
-  train       : vtype = 5
-  delayed     : delay > 0 (strict)
-"""
+"""Stateless row filters (plain Catalyst predicates; no shuffle). The fixed
+bounds and codes are in ``fleetreports.defaults``: active is
+``isinactive = 'false'`` exactly, north bounds are inclusive, delayed is
+strict."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NORTH_LOW = 0.0
-NORTH_HIGH = 45.0
-NORTH_WRAP = 315.0
-TRAIN_VTYPE = 5
+from fleetreports.defaults import ACTIVE_VALUE, NORTH_HIGH, NORTH_LOW, NORTH_WRAP, TRAIN_VTYPE
 
 
 def is_active() -> Column:
-    return F.col("isinactive") == F.lit("false")
+    return F.col("isinactive") == F.lit(ACTIVE_VALUE)
 
 
 def is_north(low: float = NORTH_LOW, high: float = NORTH_HIGH, wrap: float = NORTH_WRAP) -> Column:
@@ -43,7 +36,7 @@ def is_delayed() -> Column:
 
 def active(reports: DataFrame) -> DataFrame:
     """Reports of active units only (applied before every query)."""
-    return reports.filter("isinactive = 'false'")
+    return reports.filter(f"isinactive = '{ACTIVE_VALUE}'")
 
 
 def north(reports: DataFrame, low: float = NORTH_LOW, high: float = NORTH_HIGH, wrap: float = NORTH_WRAP) -> DataFrame:

@@ -41,10 +41,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetreports.defaults import GAP_REPORTS
 from fleetreports.functions.coerce import epoch_ntz, ntz_to_millis
 from fleetreports.session import materialize
 
-GAP_REPORTS = 10  # reports per count window, as deployed
 
 _LOW_BITS = 33  # monotonically_increasing_id: row index bits within a partition
 

@@ -18,7 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TOP_N = 5
+from fleetreports.defaults import TOP_N
+
 
 
 def delay_rank_order() -> list[Column]:

@@ -18,6 +18,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from fleetreports.defaults import SNAPSHOT_INTERVAL
 from fleetreports.functions.render import render
 from fleetreports.plans import registry
 from fleetreports.session import build_session, checkpoint_root, stream_checkpoint
@@ -143,7 +144,7 @@ def start_stream_job(spark: SparkSession, spec: registry.QuerySpec, args: argpar
             started.append(sinks.start_snapshot(df, mode, args.output, name, spec.render, ckpt, once))
         else:
             started.append(sinks.start_console(render(df, spec.render), mode, name, ckpt,
-                                               once or {"processingTime": sinks.SNAPSHOT_INTERVAL}))
+                                               once or {"processingTime": SNAPSHOT_INTERVAL}))
     elif args.output:
         started.append(sinks.start_text(df, spec.render, args.output, name, ckpt, once))
     else:

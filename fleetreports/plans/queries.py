@@ -20,15 +20,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetreports.operators.aggregates import AVG_MINUTES, avg_delay
+from fleetreports.defaults import AVG_MINUTES, GAP_REPORTS, TOP_N, TOP_WINDOW_MINUTES
+from fleetreports.operators.aggregates import avg_delay
 from fleetreports.operators.filters import active, delayed, north, trains
-from fleetreports.operators.gap import GAP_REPORTS, avg_report_gap
+from fleetreports.operators.gap import avg_report_gap
 from fleetreports.operators.latest import latest_per_key
-from fleetreports.operators.topn import TOP_N, top_n, top_n_per_group
+from fleetreports.operators.topn import top_n, top_n_per_group
 from fleetreports.operators.windows import tumbling
 from fleetreports.schema import TOP_COLUMNS, TRAIN_COLUMNS, WINDOW_TOP_COLUMNS
 
-TOP_WINDOW_MINUTES = 3  # windowed top-N width, as deployed
 
 
 def passthrough(reports: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame
 
+from fleetreports.defaults import AVG_MINUTES, GAP_REPORTS, TOP_N, TOP_WINDOW_MINUTES
 from fleetreports.plans import queries as q
 from fleetreports.streaming import queries as sq
 
@@ -38,20 +39,20 @@ QUERIES: tuple[QuerySpec, ...] = (
     QuerySpec("trains", ("2", "trains"), q.trains_last_stop, sq.trains_last_stop_stream, "train", "snapshot",
               help="every train since start with its last stop and last update"),
     QuerySpec("delayed", ("3", "delayed"), q.top_delayed, sq.top_delayed_stream, "top", "snapshot",
-              {"n": 5}, help="top 5 delayed units since start"),
+              {"n": TOP_N}, help="top 5 delayed units since start"),
     QuerySpec("delayedw", ("4", "delayedw"), q.top_delayed_window, None, "top", "windowed",
-              {"minutes": q.TOP_WINDOW_MINUTES, "n": 5}, help="top 5 delayed units per window"),
+              {"minutes": TOP_WINDOW_MINUTES, "n": TOP_N}, help="top 5 delayed units per window"),
     QuerySpec("average", ("5", "average"), q.average_delay, sq.average_delay_stream, "average", "append",
-              {"minutes": 1}, help="average delay of all units per window"),
+              {"minutes": AVG_MINUTES}, help="average delay of all units per window"),
     QuerySpec("diff", ("6", "diff"), q.report_gap, sq.report_gap_stream, "gap", "append",
-              {"n": 10}, help="average time between each unit's last 10 reports"),
+              {"n": GAP_REPORTS}, help="average time between each unit's last 10 reports"),
 )
 PASSTHROUGH = QuerySpec("passthrough", (), q.passthrough, sq.passthrough_stream, "report", "append",
                         help="every active report")
 # Extra queries reachable by name (not by the numbered flags).
 EXTRA: tuple[QuerySpec, ...] = (
     QuerySpec("delayed_current", ("delayed-current",), q.top_delayed_current, sq.top_delayed_current_stream,
-              "top", "snapshot", {"n": 5}, help="top 5 by each unit's latest delay"),
+              "top", "snapshot", {"n": TOP_N}, help="top 5 by each unit's latest delay"),
 )
 
 BY_NAME: dict[str, QuerySpec] = {s.name: s for s in (*QUERIES, PASSTHROUGH, *EXTRA)}

@@ -33,17 +33,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fleetreports.functions.coerce import epoch_ntz, instant_to_ntz, ntz_to_instant, ntz_to_millis
-from fleetreports.operators.aggregates import AVG_MINUTES
+from fleetreports.defaults import AVG_MINUTES, GAP_REPORTS, TOP_N, TOP_WINDOW_MINUTES, WATERMARK_DELAY
 from fleetreports.operators.filters import active, delayed, north
-from fleetreports.operators.gap import GAP_REPORTS
 from fleetreports.operators.latest import latest_per_key
-from fleetreports.operators.topn import TOP_N, top_n, top_n_per_group
+from fleetreports.operators.topn import top_n, top_n_per_group
 from fleetreports.operators.windows import duration
-from fleetreports.plans.queries import TOP_WINDOW_MINUTES, trains_last_stop
+from fleetreports.plans.queries import trains_last_stop
 from fleetreports.schema import TOP_COLUMNS, WINDOW_TOP_COLUMNS
 
 EVENT_TIME = "event_time"
-WATERMARK_DELAY = "0 seconds"  # timestamps are taken as monotonous, as in the source job
 # In Spark, a row one micro-batch late still reaches a window when several
 # stateful operators are allowed; the source job drops it. The average query
 # is a single stateful operator, so it starts with this set to false.

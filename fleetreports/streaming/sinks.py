@@ -20,6 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from fleetreports.defaults import AVG_MINUTES, FILE_ROLL_INTERVAL, SNAPSHOT_INTERVAL, TOP_N, TOP_WINDOW_MINUTES
 from fleetreports.functions.render import render
 from fleetreports.operators.filters import active, delayed
 from fleetreports.operators.latest import latest_per_key
@@ -30,8 +31,6 @@ from fleetreports.session import stream_checkpoint
 from fleetreports.sources.feed import Ingested, parsed_messages, split_parsed
 from fleetreports.streaming import queries as sq
 
-SNAPSHOT_INTERVAL = "10 seconds"  # snapshot cadence of the source job
-FILE_ROLL_INTERVAL = "10 seconds"
 MAX_RECORDS_PER_FILE = 200_000
 
 
@@ -85,7 +84,7 @@ def start_snapshot(df: DataFrame, mode: str, path: str, name: str, kind: str | N
 
 
 def start_top_delayed_window(reports: DataFrame, sink: Callable[[DataFrame, int], None], name: str,
-                             minutes: float = sq.TOP_WINDOW_MINUTES, n: int = sq.TOP_N,
+                             minutes: float = TOP_WINDOW_MINUTES, n: int = TOP_N,
                              checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Windowed top-N on a stream: closed windows' latest rows per unit arrive
     whole in one micro-batch; the batch top-N step ranks them and hands the
@@ -99,7 +98,7 @@ def start_top_delayed_window(reports: DataFrame, sink: Callable[[DataFrame, int]
 
 
 def start_average_delay(reports: DataFrame, start: Callable[[DataFrame, str], StreamingQuery],
-                        minutes: float = sq.AVG_MINUTES) -> StreamingQuery:
+                        minutes: float = AVG_MINUTES) -> StreamingQuery:
     """Start the windowed average with late rows dropped as in the source job
     (one stateful operator: the late filter uses the current watermark).
     The session setting is restored once the query has started."""
@@ -113,7 +112,7 @@ def start_average_delay(reports: DataFrame, start: Callable[[DataFrame, str], St
         spark.conf.set(sq.ALLOW_MULTIPLE_CONF, old)
 
 
-def live_window_top(batch: DataFrame, n: int = sq.TOP_N) -> DataFrame:
+def live_window_top(batch: DataFrame, n: int = TOP_N) -> DataFrame:
     """Batch step of the wall-clock windowed top-N: one micro-batch is one
     window of arrival time, as in the source job's processing-time windows."""
     latest = latest_per_key(delayed(active(batch)), ["id"], columns=["linename", "delay"])
@@ -122,7 +121,7 @@ def live_window_top(batch: DataFrame, n: int = sq.TOP_N) -> DataFrame:
 
 
 def start_top_delayed_window_live(reports: DataFrame, sink: Callable[[DataFrame, int], None], name: str,
-                                  minutes: float = sq.TOP_WINDOW_MINUTES, n: int = sq.TOP_N,
+                                  minutes: float = TOP_WINDOW_MINUTES, n: int = TOP_N,
                                   checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Windowed top-N over wall-clock windows: a processing-time trigger of
     ``minutes`` makes every micro-batch one window; each is ranked on its own
