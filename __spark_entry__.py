@@ -51,11 +51,11 @@ def _gap_hot_unit(reports: DataFrame) -> DataFrame:
     # The hot unit (a third of all rows) takes the range-partitioned path, the
     # other units one window each; the size shortcut is off so the split runs
     # at every scale.
-    from fleetreports.operators.gap import avg_report_gap
+    from fleetreports.defaults import GAP_REPORTS
     from fleetreports.operators.filters import active
+    from fleetreports.operators.gap import avg_report_gap
 
-    n_reports = 10
-    return avg_report_gap(active(_hot_unit(reports)), n=n_reports, strategy="auto",
+    return avg_report_gap(active(_hot_unit(reports)), n=GAP_REPORTS, strategy="auto",
                           hot_key_rows=1000, small_input_bytes=0)
 
 
