@@ -51,6 +51,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--once", action="store_true")
     p.add_argument("--minutes", type=float)
     p.add_argument("--n", type=int)
+    p.add_argument("--gap-strategy", choices=("auto", "window", "distributed"),
+                   help="--diff in batch: how units are split (default auto)")
     p.add_argument("--max-files-per-trigger", type=int)
     # Bounds a micro-batch, so a backlog is processed in slices and no key
     # group of a stateful step grows with the backlog.
@@ -76,7 +78,7 @@ def run_batch_job(spark: SparkSession, spec: registry.QuerySpec, args: argparse.
         # with two outputs, parse the JSON once (written to the shared folder)
         got = ingest(spark, args.input, materialize_parse=bool(args.quarantine))
         reports = got.reports
-    result = registry.run_batch(spec.name, reports, minutes=args.minutes, n=args.n)
+    result = registry.run_batch(spec.name, reports, minutes=args.minutes, n=args.n, strategy=args.gap_strategy)
     rendered = render(result, spec.render)
     if args.quarantine and got is not None:
         got.quarantine.write.mode("overwrite").json(args.quarantine)
@@ -121,7 +123,7 @@ def start_stream_job(spark: SparkSession, spec: registry.QuerySpec, args: argpar
             .option("checkpointLocation", ckpt + "-quarantine").trigger(**(once or {"processingTime": "10 seconds"}))
             .start()
         )
-    params = registry.params_for(spec, minutes=args.minutes, n=args.n)
+    params = registry.params_for(spec, minutes=args.minutes, n=args.n, strategy=args.gap_strategy)
     if spec.output == "windowed":
         sink = sinks.text_batch_sink(args.output, spec.render)
         if args.once:  # a replay has no wall clock: rank closed event-time windows

@@ -85,6 +85,7 @@ def average_delay(reports: DataFrame, minutes: float = AVG_MINUTES) -> DataFrame
     return avg_delay(active(reports), minutes)
 
 
-def report_gap(reports: DataFrame, n: int = GAP_REPORTS) -> DataFrame:
-    """After every report: mean seconds between the unit's last ``n`` reports."""
-    return avg_report_gap(active(reports), n)
+def report_gap(reports: DataFrame, n: int = GAP_REPORTS, strategy: str = "auto") -> DataFrame:
+    """After every report: mean seconds between the unit's last ``n`` reports.
+    ``strategy``: ``auto``, ``window`` or ``distributed`` (see operators.gap)."""
+    return avg_report_gap(active(reports), n, strategy=strategy)

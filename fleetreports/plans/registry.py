@@ -8,6 +8,7 @@ diff; with none of them, every active report is passed through.
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import partial
@@ -45,7 +46,7 @@ QUERIES: tuple[QuerySpec, ...] = (
     QuerySpec("average", ("5", "average"), q.average_delay, sq.average_delay_stream, "average", "append",
               {"minutes": AVG_MINUTES}, help="average delay of all units per window"),
     QuerySpec("diff", ("6", "diff"), q.report_gap, sq.report_gap_stream, "gap", "append",
-              {"n": GAP_REPORTS}, help="average time between each unit's last 10 reports"),
+              {"n": GAP_REPORTS, "strategy": "auto"}, help="average time between each unit's last 10 reports"),
 )
 PASSTHROUGH = QuerySpec("passthrough", (), q.passthrough, sq.passthrough_stream, "report", "append",
                         help="every active report")
@@ -84,7 +85,9 @@ def stream_form(name: str, reports: DataFrame, **params) -> tuple[DataFrame, str
     spec = BY_NAME[name]
     if spec.stream is None:
         raise ValueError(f"{name} runs through start_query (ranked per closed window)")
-    return spec.stream(reports, **params_for(spec, **params))
+    # batch-only settings (e.g. the gap strategy) do not apply to the stream form
+    accepted = inspect.signature(spec.stream).parameters
+    return spec.stream(reports, **{k: v for k, v in params_for(spec, **params).items() if k in accepted})
 
 
 def help_text() -> str:

@@ -148,3 +148,17 @@ def test_registry_is_consistent(spark):
     one = registry.run_batch("average", reports, minutes=1, n=99).count()
     three = registry.run_batch("average", reports, minutes=3).count()
     assert (one, three) == (2, 1)
+
+
+def test_gap_strategy_option(spark, scratch_dir):
+    from tests.test_goldens import g6_records
+
+    folder = landing(os.path.join(scratch_dir, "in"), [msgs(g6_records())])
+    outs = {}
+    for strategy in ("window", "distributed"):
+        out = os.path.join(scratch_dir, strategy)
+        assert main(["-6", "--batch", "--n", "5", "--gap-strategy", strategy, "--input", folder,
+                     "--output", out]) == 0
+        outs[strategy] = sorted(read_lines(spark, out))
+    assert outs["window"] == outs["distributed"] and len(outs["window"]) == 11
+    assert "ID: 2 Average: 1.175" in outs["window"]
