@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetreports.llm import fingerprints, language_id, near_dedup, quality, substring_dedup
+from fleetreports.llm import fingerprints, language_id, mixing, near_dedup, quality, sharding, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,10 +18,18 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
@@ -37,7 +45,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_near_dedup": op2_near_dedup,
+        "op3_sharding": op3_sharding,
         "op5_language_id": op5_language_id,
+        "op6_mixing": op6_mixing,
         "op7_substring_dedup": op7_substring_dedup,
         "op9_fingerprints": op9_fingerprints,
         "op10_quality": op10_quality,
