@@ -7,13 +7,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetreports.llm import fingerprints, language_id, mixing, near_dedup, quality, sharding, substring_dedup
+from fleetreports.llm import (
+    fingerprints,
+    language_id,
+    mixing,
+    near_dedup,
+    quality,
+    secret_scan,
+    sharding,
+    substring_dedup,
+    url_rules,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rule_table(spark))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,6 +48,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -44,11 +62,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_rules": op1_url_rules,
         "op2_near_dedup": op2_near_dedup,
         "op3_sharding": op3_sharding,
         "op5_language_id": op5_language_id,
         "op6_mixing": op6_mixing,
         "op7_substring_dedup": op7_substring_dedup,
+        "op8_secret_scan": op8_secret_scan,
         "op9_fingerprints": op9_fingerprints,
         "op10_quality": op10_quality,
     }
