@@ -15,11 +15,12 @@ Two documents are linked if 100 * |A and B| >= 75 * |A or B|.
    alone has need no posting, and a representative with fewer than T shared
    tokens is out. *Skip merging*: a posting list whose members are already in
    one component is skipped.
-3. Long lists are not expanded into pairs: for a few rounds every list is
-   compared with one member, the one whose tokens are the most common (the
-   original of a group of edited copies has most of them). What is then still in
-   different components within a list is compared pair by pair, so no pair is
-   lost. Pairs with T collisions are confirmed on the full shingle sets.
+3. Long lists are not expanded into pairs: first every list is compared with
+   one member, the one whose tokens are the most common (the original of a
+   group of edited copies has most of them). What is then still in different
+   components within a list is merged pair by pair, so no pair is lost; only
+   pairs of like set sizes with T collisions leave the merge. All are confirmed
+   on the full shingle sets.
 4. Connected components of the confirmed links; component_id is the smallest
    doc_id that can be reached.
 
@@ -44,7 +45,7 @@ from fleetreports.llm.bitmaps import id_filter, passes, spot_of
 from fleetreports.llm.components import components
 from fleetreports.llm.tables import dropped, stored
 
-SHINGLE, K, T, STAR_ROUNDS = 5, 64, 30, 2
+SHINGLE, K, T, STAR_ROUNDS = 5, 64, 30, 1
 _RNG = np.random.Generator(np.random.PCG64(77))
 _ADD = _RNG.integers(0, 1 << 64, K, dtype=np.uint64)
 _MUL = _RNG.integers(0, 1 << 64, K, dtype=np.uint64) | np.uint64(1)
@@ -127,15 +128,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stored(rows.where("n_shingles > 0 and doc_id is not null").groupBy(*by_set)
                      .agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")), "classes")
     reps = (sig.where("n_shingles > 0").join(classes.select(F.col("rep").alias("doc_id"), *by_set), ["doc_id", *by_set])
-            .select(F.col("doc_id").alias("rep"), "tokens").dropDuplicates(["rep"]))
+            .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "tokens").dropDuplicates(["rep"]))
 
     # Postings: tokens of at least two representatives, each representative's rarest first.
-    flat = reps.select("rep", F.explode("tokens").alias("token"))
+    flat = reps.select("rep", "n", F.explode("tokens").alias("token"))
     df = flat.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    shared = (flat.join(df, "token").groupBy("rep")
+    shared = (flat.join(df, "token").groupBy("rep", "n")
               .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("p")).where(F.size("p") >= T))
     posted = stored(shared.select(
-        "rep", F.aggregate("p", F.lit(0).cast("bigint"), lambda s, x: s + x["df"]).alias("common"),
+        "rep", "n", F.aggregate("p", F.lit(0).cast("bigint"), lambda s, x: s + x["df"]).alias("common"),
         F.col("p.token").alias("tokens"),
         F.slice("p.token", 1, F.greatest(F.lit(0), F.size("p") - (T - 1))).alias("prefix")), "postings")
 
@@ -147,23 +148,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links: list[DataFrame] = []
     label = None
     for step in range(STAR_ROUNDS + 1):
-        lists = posted.select("rep", "common", F.explode("prefix").alias("token"))
+        lists = posted.select("rep", "n", "common", F.explode("prefix").alias("token"))
         if label is None:
             lists = lists.withColumn("label", F.col("rep"))
         else:
             lists = lists.join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         open_lists = (lists.groupBy("token")
                       .agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                           F.max(F.struct("common", -F.col("rep"), "label")).alias("mid"))
+                           F.max(F.struct("common", -F.col("rep"), "label", "n")).alias("mid"))
                       .where("low < high"))
+        alike = "4 * least(n, n_b) >= 3 * greatest(n, n_b)"
         if step < STAR_ROUNDS:
-            mids = open_lists.select("token", (-F.col("mid.col2")).alias("b"), F.col("mid.label").alias("label_b"))
-            pairs = lists.join(mids, "token").where("label <> label_b").select(F.col("rep").alias("a"), "b")
+            mids = open_lists.select("token", (-F.col("mid.col2")).alias("b"), F.col("mid.label").alias("label_b"), F.col("mid.n").alias("n_b"))
+            pairs = lists.join(mids, "token").where(f"label <> label_b and {alike}").select(F.col("rep").alias("a"), "b")
         else:
-            rest = lists.join(open_lists.select("token"), "token").select("token", "rep", "label")
-            rest = rest.repartition("token")
-            other = rest.select("token", F.col("rep").alias("b"), F.col("label").alias("label_b"))
-            pairs = rest.join(other, "token").where("rep < b and label <> label_b").select(F.col("rep").alias("a"), "b")
+            rest = lists.join(open_lists.select("token"), "token").join(posted.select("rep", "tokens"), "rep")
+            rest = rest.select("token", "rep", "n", "label", "tokens")
+            other = rest.select("token", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("tokens").alias("tokens_b"))
+            both = F.array_intersect("tokens", "tokens_b")  # a pair leaves the list of its rarest common token
+            pairs = (rest.join(other, (rest["token"] == other["token"]) & F.expr(f"rep < b and label <> label_b and {alike}")
+                               & (F.size(both) >= T) & (F.get(both, F.lit(0)) == rest["token"]))
+                     .select(F.col("rep").alias("a"), "b"))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         found = _links(pairs, posted.select("rep", "tokens"), sets)
         if found is None:
