@@ -164,10 +164,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         else:
             rest = lists.join(open_lists.select("token"), "token").join(posted.select("rep", "tokens"), "rep")
             rest = rest.select("token", "rep", "n", "label", "tokens")
-            other = rest.select("token", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("tokens").alias("tokens_b"))
+            other = rest.select(F.col("token").alias("token_b"), F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("tokens").alias("tokens_b"))
             both = F.array_intersect("tokens", "tokens_b")  # a pair leaves the list of its rarest common token
-            pairs = (rest.join(other, (rest["token"] == other["token"]) & F.expr(f"rep < b and label <> label_b and {alike}")
-                               & (F.size(both) >= T) & (F.get(both, F.lit(0)) == rest["token"]))
+            pairs = (rest.join(other, F.expr(f"token = token_b and rep < b and label <> label_b and {alike}")
+                               & (F.size(both) >= T) & (F.get(both, F.lit(0)) == F.col("token")))
                      .select(F.col("rep").alias("a"), "b"))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         found = _links(pairs, posted.select("rep", "tokens"), sets)
