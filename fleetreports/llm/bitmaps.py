@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 BITS = 26  # 8 MB
 
 
-def id_filter(df: DataFrame, key: Column, bits: int = BITS) -> np.ndarray:
+def id_filter(df: DataFrame, key: Column, bits: int = BITS, spot: Column | None = None) -> np.ndarray:
     """Bitmap (uint8) of the hashed ``key`` of all rows, 2^bits bits. Spark
     builds it in blocks of 32,768 bits; the driver gets at most 2^bits bits."""
-    spot = F.pmod(F.xxhash64(key), F.lit(1 << bits)) + 1  # the functions count from 1
-    rows = (df.select(spot.alias("spot"))
+    spot = spot_of(key, bits) if spot is None else spot
+    rows = (df.select((spot + 1).alias("spot"))  # the functions count from 1
             .groupBy(F.bitmap_bucket_number("spot").alias("block"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")).collect())
     out = np.zeros((1 << bits) // 8, np.uint8)
@@ -34,3 +34,13 @@ def spot_of(key: Column, bits: int = BITS) -> Column:
 
 def passes(bitmap: np.ndarray, spots: np.ndarray) -> np.ndarray:
     return (bitmap[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1 == 1
+
+
+def hash_filter(df: DataFrame, hashed: Column, bits: int = BITS) -> np.ndarray:
+    """As ``id_filter``, for a bigint that is a mixed hash already: its low bits
+    are the spot, which tasks take from their own hashes with ``low_spots``."""
+    return id_filter(df, hashed, bits, hashed.bitwiseAND(F.lit((1 << bits) - 1)))
+
+
+def low_spots(hashes: np.ndarray, bits: int = BITS) -> np.ndarray:
+    return (hashes & np.uint64((1 << bits) - 1)).astype(np.int64)
