@@ -171,10 +171,11 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None)
 
 def in_known_language(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language: not ``und``, and
-    with a cosine of ``min_score`` or more to its prototype. All columns stay."""
+    with a cosine of ``min_score`` or more to its prototype. All columns stay; so do
+    all rows where no language can be learned."""
     names, prototypes = learn(docs)
     if not names:
-        return docs.limit(0)
+        return docs
     held = _held(names, prototypes, min_score)
     return docs.where(F.col("text").isNotNull()).mapInArrow(held, docs.schema)
 

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetreports.llm import (
+    decontaminate,
     fingerprints,
     language_id,
     mixing,
@@ -36,6 +37,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_url_rules": op1_url_rules,
         "op2_near_dedup": op2_near_dedup,
         "op3_sharding": op3_sharding,
+        "op4_decontaminate": op4_decontaminate,
         "op5_language_id": op5_language_id,
         "op6_mixing": op6_mixing,
         "op7_substring_dedup": op7_substring_dedup,
