@@ -13,6 +13,7 @@ from fleetreports.llm import (
     language_id,
     mixing,
     near_dedup,
+    oracle,
     quality,
     secret_scan,
     sharding,
@@ -81,4 +82,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
