@@ -23,11 +23,21 @@ def epoch_ntz() -> Column:
     return F.expr(EPOCH_NTZ_SQL)
 
 
-def as_text(c: Column) -> Column:
-    """Text value. Absent or JSON null -> ''. A nested object or array -> ''
-    (a container has no scalar text)."""
+def as_text(c: Column, message: Column, path: str) -> Column:
+    """Text value of the attribute at ``path`` of the JSON ``message``, read as the
+    text ``c``. Absent or JSON null -> ''. A nested object or array -> '' (a
+    container has no scalar text); a string stays, whatever it begins with.
+    Only text that looks like a container has its kind looked up, in the
+    message itself."""
     lt = F.ltrim(c)
-    return F.when(c.isNull() | lt.startswith("{") | lt.startswith("["), F.lit("")).otherwise(c)
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(message), path, "variant"))
+    container = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    return (
+        F.when(c.isNull(), F.lit(""))
+        .when(~(lt.startswith("{") | lt.startswith("[")), c)
+        .when(container, F.lit(""))
+        .otherwise(c)
+    )
 
 
 def as_double(c: Column) -> Column:

@@ -17,9 +17,9 @@ from fleetreports.operators.windows import tumbling
 
 
 def avg_delay(reports: DataFrame, minutes: float = AVG_MINUTES, ts: str = "lastupdate") -> DataFrame:
-    """``window_start, avg_delay`` per tumbling window of ``minutes``."""
+    """``window_start, window_end, avg_delay`` per tumbling window of ``minutes``."""
     return (
         reports.groupBy(tumbling(F.col(ts), minutes).alias("w"))
         .agg(F.avg("delay").alias("avg_delay"))
-        .select(F.col("w.start").alias("window_start"), "avg_delay")
+        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "avg_delay")
     )

@@ -49,19 +49,16 @@ from fleetreports.session import materialize
 _LOW_BITS = 33  # monotonically_increasing_id: row index bits within a partition
 
 
-# Target bytes per range partition of the skew-safe path.
-RANGE_PARTITION_BYTES = 256 * 1024 * 1024
+# Target rows per range partition of the skew-safe path.
+RANGE_PARTITION_ROWS = 4_000_000
 MAX_RANGE_PARTITIONS = 1 << 17
 
 
 def range_partitions(df: DataFrame) -> int:
     """Number of range partitions: the session's shuffle partitions, or more
-    when Catalyst's size estimate says partitions would exceed the target."""
+    where the counted rows would give partitions over the target."""
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = estimated_bytes(df)
-    if size is None:
-        return base
-    return int(min(max(base, -(-size // RANGE_PARTITION_BYTES)), MAX_RANGE_PARTITIONS))
+    return int(min(max(base, -(-df.count() // RANGE_PARTITION_ROWS)), MAX_RANGE_PARTITIONS))
 
 
 def positions(
@@ -143,25 +140,6 @@ def _gap_window(base: DataFrame, n: int, key: str) -> DataFrame:
     return out.select(key, "seq", "lastupdate", gap.alias("avg_gap_s"))
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (file bytes of the scan, scaled by
-    column pruning; filters do not lower it, so it bounds the rows any one
-    key can hold). None when unavailable."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate only
-        return None
-    # Sources without statistics report spark.sql.defaultSizeInBytes ("unknown").
-    try:
-        unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
-    except ValueError:
-        unknown = (1 << 63) - 1
-    return None if size >= unknown else size
-
-
-# Inputs whose estimate is below this need no per-unit count: even all of
-# them in one window task is a small task.
-SMALL_INPUT_BYTES = 128 * 1024 * 1024
 # A unit with more reports than this is "hot": its reports take the
 # distributed path. A per-unit window task of this many narrow rows (about
 # 40 bytes each) stays well inside one executor's memory.
@@ -178,17 +156,16 @@ def avg_report_gap(
     strategy: str = "auto",
     hot_key_rows: int = HOT_KEY_ROWS,
     num_partitions: int | None = None,
-    small_input_bytes: int = SMALL_INPUT_BYTES,
 ) -> DataFrame:
     """``id, seq, lastupdate, avg_gap_s`` for every report with a real stamp.
 
     ``strategy``:
-      ``auto``        if Catalyst's size estimate of the input is small
-                      (``SMALL_INPUT_BYTES``), one window per unit; else
-                      count reports per unit (two-phase aggregate): units
-                      above ``hot_key_rows`` go the distributed way, the
-                      rest through one window per unit, whose size the count
-                      has just bounded.
+      ``auto``        count reports per unit (two-phase aggregate, kept as a
+                      small table): units above ``hot_key_rows`` go the
+                      distributed way, the rest through one window per unit,
+                      whose size the count has just bounded. The source is
+                      read three times: for the counts, for the hot units'
+                      rows (written once as a table) and for the others.
       ``distributed`` every unit through the skew-safe path.
       ``window``      every unit through one window task (only for inputs
                       whose units are known to be small).
@@ -207,16 +184,15 @@ def avg_report_gap(
     if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    size = estimated_bytes(base)
-    if size is not None and size <= small_input_bytes:
-        return _gap_window(base, n, key)
-    hot = base.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_key_rows).select(key)
+    hot = materialize(
+        base.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_key_rows).select(key),
+        "hot-units")
     n_hot = hot.count()
     if n_hot == 0:
         return _gap_window(base, n, key)
     hot_side = F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST else hot
     cold = _gap_window(base.join(hot_side, key, "left_anti"), n, key)
-    heavy = _gap_distributed(base.join(hot_side, key, "left_semi"), n, key, num_partitions)
+    heavy = _gap_distributed(materialize(base.join(hot_side, key, "left_semi"), "hot-rows"), n, key, num_partitions)
     return cold.unionByName(heavy)
 
 

@@ -13,8 +13,10 @@ with ``--quarantine``.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import os
 import sys
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,7 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--reports", help="run on a report table written by --ingest-to (batch)")
     p.add_argument("--ingest-to", help="parse --input once into report and quarantine tables, then stop")
     p.add_argument("--lineage", action="store_true", help="with --ingest-to: keep rsvp_id and payload_hash columns")
-    p.add_argument("--output")
+    p.add_argument("--output", help="folder for the result lines (default: a new one beside the checkpoints, printed)")
+    p.add_argument("--preview", type=int, help="batch: also show this many lines here")
     p.add_argument("--checkpoint")
     p.add_argument("--quarantine")
     p.add_argument("--stage", help="streams: parse the feed once into this parquet table, query from it "
@@ -82,10 +85,10 @@ def run_batch_job(spark: SparkSession, spec: registry.QuerySpec, args: argparse.
     rendered = render(result, spec.render)
     if args.quarantine and got is not None:
         got.quarantine.write.mode("overwrite").json(args.quarantine)
-    if args.output:
-        rendered.write.mode("overwrite").text(args.output)
-    else:
-        for row in rendered.toLocalIterator():
+    rendered.write.mode("overwrite").text(args.output)
+    if args.preview:
+        print(f"The first {args.preview} lines:")
+        for row in spark.read.text(args.output).limit(args.preview).collect():
             print(row.value)
 
 
@@ -111,7 +114,7 @@ def start_stream_job(spark: SparkSession, spec: registry.QuerySpec, args: argpar
             staging.awaitTermination()  # a replay reads the staged table once it is complete
         else:
             started.append(staging)
-        got = sinks.read_staged(spark, stage, args.max_files_per_trigger)
+        got = sinks.read_staged(spark, stage, args.max_files_per_trigger, args.max_bytes_per_trigger)
     else:
         got = parse_messages(raw)
     reports = got.reports
@@ -126,31 +129,19 @@ def start_stream_job(spark: SparkSession, spec: registry.QuerySpec, args: argpar
     params = registry.params_for(spec, minutes=args.minutes, n=args.n, strategy=args.gap_strategy)
     if spec.output == "windowed":
         sink = sinks.text_batch_sink(args.output, spec.render)
-        if args.once:  # a replay has no wall clock: rank closed event-time windows
-            started.append(sinks.start_top_delayed_window(reports, sink, name, checkpoint=ckpt, trigger=once,
-                                                         **params))
-        else:
-            started.append(sinks.start_top_delayed_window_live(reports, sink, name, checkpoint=ckpt, **params))
+        started.append(sinks.start_top_delayed_window_live(reports, sink, name, checkpoint=ckpt, **params))
         return started
     if spec.name == "average":
         def start(df, mode):
-            if args.output:
-                return sinks.start_text(df, spec.render, args.output, name, ckpt, once)
-            return sinks.start_console(render(df, spec.render), mode, name, ckpt, once)
+            return sinks.start_text(df, spec.render, args.output, name, ckpt, once)
 
         started.append(sinks.start_average_delay(reports, start, **params))
         return started
     df, mode = registry.stream_form(spec.name, reports, **params)
     if spec.output == "snapshot":
-        if args.output:
-            started.append(sinks.start_snapshot(df, mode, args.output, name, spec.render, ckpt, once))
-        else:
-            started.append(sinks.start_console(render(df, spec.render), mode, name, ckpt,
-                                               once or {"processingTime": SNAPSHOT_INTERVAL}))
-    elif args.output:
-        started.append(sinks.start_text(df, spec.render, args.output, name, ckpt, once))
+        started.append(sinks.start_snapshot(df, mode, args.output, name, spec.render, ckpt, once))
     else:
-        started.append(sinks.start_console(render(df, spec.render), mode, name, ckpt, once))
+        started.append(sinks.start_text(df, spec.render, args.output, name, ckpt, once))
     return started
 
 
@@ -166,9 +157,13 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(args.master, app_name=f"fleetreports-{spec.name}")
     if args.ingest_to:
         write_report_tables(ingest(spark, args.input, with_lineage=args.lineage, materialize_parse=True),
-                            args.ingest_to)
+                            args.ingest_to, ingest_id=hashlib.md5(args.input.encode()).hexdigest()[:12])
         return 0
-    if args.batch:
+    if not args.output:  # every line, wherever it was made; a terminal would show the driver's only
+        args.output = os.path.join(checkpoint_root(spark), "fleetreports-lines", f"{spec.name}-{uuid.uuid4().hex[:8]}")
+        print(f"Lines are written to {args.output}")
+    # A finished feed has no window left open: windows are computed as a batch.
+    if args.batch or (args.once and (spec.output == "windowed" or spec.name == "average")):
         run_batch_job(spark, spec, args)
         return 0
     for query in start_stream_job(spark, spec, args):

@@ -26,7 +26,7 @@ from fleetreports.operators.filters import active, delayed, north, trains
 from fleetreports.operators.gap import avg_report_gap
 from fleetreports.operators.latest import latest_per_key
 from fleetreports.operators.topn import top_n, top_n_per_group
-from fleetreports.operators.windows import tumbling
+from fleetreports.operators.windows import duration, tumbling
 from fleetreports.schema import TOP_COLUMNS, TRAIN_COLUMNS, WINDOW_TOP_COLUMNS
 
 
@@ -77,7 +77,7 @@ def top_delayed_window(
     top = top_n_per_group(latest, ["window_start"], n)
     within = ["window_start", "lastupdate", F.col("delay").desc(), "seq"]
     top = top.orderBy(*within) if ordered else top.sortWithinPartitions(*within)
-    return top.select(*WINDOW_TOP_COLUMNS)
+    return top.withColumn("window_end", F.expr(f"window_start + INTERVAL {duration(minutes)}")).select(*WINDOW_TOP_COLUMNS)
 
 
 def average_delay(reports: DataFrame, minutes: float = AVG_MINUTES) -> DataFrame:

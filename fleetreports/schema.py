@@ -77,12 +77,13 @@ RAW_MESSAGE_SCHEMA = T.StructType(
 # for a good message) and the raw text of quarantined messages.
 STAGED_SCHEMA = T.StructType(
     [T.StructField(f.name, f.dataType, True) for f in REPORT_SCHEMA.fields]
+    + [T.StructField("arrival", T.TimestampType(), True)]
     + [T.StructField("_reason", T.StringType(), True), T.StructField("_raw", T.StringType(), True)]
 )
 
 # Output shapes of the queries (FIXTURES.md section 1).
 TRAIN_COLUMNS = ("id", "linename", "laststopid", "lastupdate")
 TOP_COLUMNS = ("id", "linename", "delay", "lastupdate")
-WINDOW_TOP_COLUMNS = ("window_start", "id", "linename", "delay", "lastupdate")
-AVG_COLUMNS = ("window_start", "avg_delay")
+WINDOW_TOP_COLUMNS = ("window_start", "window_end", "id", "linename", "delay", "lastupdate")
+AVG_COLUMNS = ("window_start", "window_end", "avg_delay")
 GAP_COLUMNS = ("id", "seq", "lastupdate", "avg_gap_s")

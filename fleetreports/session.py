@@ -6,10 +6,13 @@ are the defaults for the CLI job, the tests and the benchmark.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -58,7 +61,7 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle (Spark Connect)
+    except (AttributeError, PySparkAttributeError):  # sessions without a SparkContext handle (Spark Connect)
         sc = None
     current = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getConf().get(CHECKPOINT_CONF, None) if sc else None)
     if not current:
@@ -90,5 +93,27 @@ def materialize(df, label: str):
     its input once to count and again to write."""
     spark = df.sparkSession
     path = os.path.join(checkpoint_root(spark), "fleetreports-tables", f"{label}-{uuid.uuid4().hex}")
+    _materialized[path] = spark
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_materialized: dict[str, SparkSession] = {}
+
+
+def drop_materialized() -> None:
+    """Remove the tables that ``materialize`` has written. Lazy results that read
+    them must have been consumed. Runs by itself when the process ends."""
+    for path in list(_materialized):
+        spark = _materialized.pop(path)
+        if spark.sparkContext._jsc is not None:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@atexit.register
+def _drop_at_exit() -> None:
+    try:
+        drop_materialized()
+    except (Py4JError, ConnectionError, AttributeError):
+        pass  # the session ended first; the files stay in the checkpoint folder

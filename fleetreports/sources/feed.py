@@ -62,7 +62,8 @@ def read_feed_stream(
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
-    return reader.load(path)
+    # A message's arrival is its file's time stamp: the same on every replay.
+    return reader.load(path).select("value", F.col("_metadata.file_modification_time").alias("arrival"))
 
 
 # Epoch milliseconds of 0001-01-01 and 9999-12-31 23:59:59.999 (UTC): stamps
@@ -75,24 +76,25 @@ def in_timestamp_range(ms: Column) -> Column:
     return F.when((ms >= F.lit(_MIN_MS)) & (ms <= F.lit(_MAX_MS)), ms).otherwise(F.lit(0).cast("bigint"))
 
 
-def _report_projection(attrs: Column, lastupdate_ms: Column) -> list[Column]:
+def _report_projection(attrs: Column, lastupdate_ms: Column, message: Column) -> list[Column]:
     a = lambda name: attrs.getField(name)
+    text = lambda name: as_text(a(name), message, f"$.attributes.{name}").alias(name)
     return [
-        as_text(a("id")).alias("id"),
+        text("id"),
         as_int(a("vtype")).alias("vtype"),
         as_int(a("ltype")).alias("ltype"),
         as_double(a("lat")).alias("lat"),
         as_double(a("lng")).alias("lng"),
         as_double(a("bearing")).alias("bearing"),
         as_long(a("lineid")).alias("lineid"),
-        as_text(a("linename")).alias("linename"),
+        text("linename"),
         as_long(a("routeid")).alias("routeid"),
-        as_text(a("course")).alias("course"),
-        as_text(a("lf")).alias("lf"),
+        text("course"),
+        text("lf"),
         as_whole_double(a("delay")).alias("delay"),
         as_long(a("laststopid")).alias("laststopid"),
         as_long(a("finalstopid")).alias("finalstopid"),
-        as_text(a("isinactive")).alias("isinactive"),
+        text("isinactive"),
         millis_to_ntz(in_timestamp_range(lastupdate_ms)).alias("lastupdate"),
     ]
 
@@ -117,7 +119,9 @@ def parsed_messages(raw: DataFrame, value_col: str = "value", with_lineage: bool
     good message) and ``_raw`` (the text, kept only for quarantined rows).
     ``split_parsed`` turns it into reports and quarantine."""
     value = F.col(value_col)
+    arrival = ["arrival"] if "arrival" in raw.columns else []
     parsed = raw.filter(value.isNotNull()).select(
+        *arrival,
         value.alias("_value"),
         F.from_json(value, RAW_MESSAGE_SCHEMA, _JSON_OPTIONS).alias("_m"),
         (stream_seq(value) if raw.isStreaming else F.monotonically_increasing_id()).alias("seq"),
@@ -126,12 +130,13 @@ def parsed_messages(raw: DataFrame, value_col: str = "value", with_lineage: bool
     empty = F.trim(F.col("_value")) == ""
     attrs = F.col("_m.attributes")
 
-    cols = _report_projection(attrs, as_long(attrs.getField("lastupdate"))) + [F.col("seq")]
+    cols = _report_projection(attrs, as_long(attrs.getField("lastupdate")), F.col("_value")) + [F.col("seq")]
     if with_lineage:
         cols += [rsvp_id(F.col("_value")).alias("rsvp_id"), payload_hash(F.col("_value")).alias("payload_hash")]
     status = F.when(corrupt, F.lit(REASON_MALFORMED)).when(empty, F.lit(REASON_EMPTY)).otherwise(F.lit(None))
     return parsed.select(
         *cols,
+        *arrival,
         status.alias("_reason"),
         # the raw text is kept only where the quarantine needs it
         F.when(corrupt | empty, F.col("_value")).alias("_raw"),
@@ -144,8 +149,9 @@ def split_parsed(combined: DataFrame) -> Ingested:
     reports = combined.filter(F.col("_reason").isNull() | (F.col("_reason") != REASON_MALFORMED)).select(
         *report_cols
     )
+    lineage = [c for c in ("rsvp_id", "payload_hash") if c in combined.columns]
     quarantine = combined.filter(F.col("_reason").isNotNull()).select(
-        F.col("_raw").alias("value"), F.col("_reason").alias("reason"), F.col("seq")
+        F.col("_raw").alias("value"), F.col("_reason").alias("reason"), F.col("seq"), *lineage
     )
     return Ingested(reports, quarantine)
 
@@ -199,18 +205,20 @@ REPORTS_TABLE = "reports"
 QUARANTINE_TABLE = "quarantine"
 
 
-def write_report_tables(ingested: Ingested, path: str, partition_by_day: bool = True) -> None:
-    """Write parsed reports (parquet, partitioned by the UTC day of
-    ``lastupdate``) and the quarantine under ``path``. Parse once with
+def write_report_tables(ingested: Ingested, path: str, partition_by_day: bool = True, ingest_id: str = "0") -> None:
+    """Write parsed reports (parquet, by ingest and UTC day of ``lastupdate``) and
+    the quarantine under ``path``. Repeating an ingest replaces what the same
+    ``ingest_id`` wrote before. Rows are range-partitioned by day and id first,
+    so a day is a few files, not one for each task. Parse once with
     ``materialize_parse=True`` when writing both."""
-    reports = ingested.reports
+    reports, part = ingested.reports, f"ingest={ingest_id}"
+    target = f"{path.rstrip('/')}/{REPORTS_TABLE}/{part}"
     if partition_by_day:
-        reports.withColumn("day", F.to_date(F.col("lastupdate"))).write.mode("append").partitionBy("day").parquet(
-            f"{path.rstrip('/')}/{REPORTS_TABLE}"
-        )
+        dated = reports.withColumn("day", F.to_date(F.col("lastupdate")))
+        dated.repartitionByRange("day", "id").write.mode("overwrite").partitionBy("day").parquet(target)
     else:
-        reports.write.mode("append").parquet(f"{path.rstrip('/')}/{REPORTS_TABLE}")
-    ingested.quarantine.write.mode("append").parquet(f"{path.rstrip('/')}/{QUARANTINE_TABLE}")
+        reports.write.mode("overwrite").parquet(target)
+    ingested.quarantine.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{QUARANTINE_TABLE}/{part}")
 
 
 def read_report_table(spark: SparkSession, path: str) -> DataFrame:

@@ -67,7 +67,7 @@ def average_delay_stream(reports: DataFrame, minutes: float = AVG_MINUTES) -> tu
         with_event_time(active(reports))
         .groupBy(F.window(EVENT_TIME, duration(minutes)).alias("w"))
         .agg(F.avg("delay").alias("avg_delay"))
-        .select(instant_to_ntz(F.col("w.start")).alias("window_start"), "avg_delay")
+        .select(instant_to_ntz(F.col("w.start")).alias("window_start"), instant_to_ntz(F.col("w.end")).alias("window_end"), "avg_delay")
     )
     return out, "append"
 
@@ -87,17 +87,21 @@ def top_delayed_current_stream(reports: DataFrame, n: int = TOP_N) -> tuple[Data
     return top_n(delayed(latest), n).select(*TOP_COLUMNS), "complete"
 
 
-def window_latest_stream(reports: DataFrame, minutes: float = TOP_WINDOW_MINUTES) -> tuple[DataFrame, str]:
-    """Latest report per (event-time window, unit) of delayed reports; each
-    window's rows are appended together, in the micro-batch after the
-    watermark passes its end."""
-    w = F.window(EVENT_TIME, duration(minutes))
+def window_latest_stream(reports: DataFrame, minutes: float = TOP_WINDOW_MINUTES,
+                         arrival: bool = False) -> tuple[DataFrame, str]:
+    """Latest report per (window, unit) of delayed reports; each window's rows
+    are appended together, in the micro-batch after the watermark passes its
+    end. Windows are of event time or, with ``arrival``, of the messages' arrival
+    stamps, whatever the size of the micro-batches they come in."""
+    late = delayed(active(reports))
+    late = late.withWatermark("arrival", WATERMARK_DELAY) if arrival else with_event_time(late)
+    w = F.window("arrival" if arrival else EVENT_TIME, duration(minutes))
     latest = (
-        with_event_time(delayed(active(reports)))
-        .groupBy(w.alias("w"), "id")
+        late.groupBy(w.alias("w"), "id")
         .agg(F.max_by(F.struct("linename", "delay", "lastupdate", "seq"), F.struct("lastupdate", "seq")).alias("m"))
         .select(
             instant_to_ntz(F.col("w.start")).alias("window_start"),
+            instant_to_ntz(F.col("w.end")).alias("window_end"),
             "id",
             F.col("m.linename").alias("linename"),
             F.col("m.delay").alias("delay"),
@@ -110,7 +114,7 @@ def window_latest_stream(reports: DataFrame, minutes: float = TOP_WINDOW_MINUTES
 
 def top_of_closed_windows(batch: DataFrame, n: int = TOP_N) -> DataFrame:
     """Batch step of the windowed top-N: the micro-batch holds complete windows."""
-    top = top_n_per_group(batch, ["window_start"], n)
+    top = top_n_per_group(batch, ["window_start", "window_end"], n)
     return top.orderBy("window_start", "lastupdate", F.col("delay").desc(), "seq").select(*WINDOW_TOP_COLUMNS)
 
 

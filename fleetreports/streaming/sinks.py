@@ -22,11 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetreports.defaults import AVG_MINUTES, FILE_ROLL_INTERVAL, SNAPSHOT_INTERVAL, TOP_N, TOP_WINDOW_MINUTES
 from fleetreports.functions.render import render
-from fleetreports.operators.filters import active, delayed
-from fleetreports.operators.latest import latest_per_key
-from fleetreports.operators.topn import top_n
-from fleetreports.operators.windows import duration
-from fleetreports.schema import STAGED_SCHEMA, TOP_COLUMNS
+from fleetreports.schema import STAGED_SCHEMA
 from fleetreports.session import stream_checkpoint
 from fleetreports.sources.feed import Ingested, parsed_messages, split_parsed
 from fleetreports.streaming import queries as sq
@@ -48,8 +44,11 @@ def start_memory(df: DataFrame, mode: str, name: str, checkpoint: str | None = N
 
 
 def start_console(df: DataFrame, mode: str, name: str, checkpoint: str | None = None,
-                  trigger: dict | None = None) -> StreamingQuery:
-    return _writer(df, mode, name, checkpoint, trigger).format("console").option("truncate", "false").start()
+                  trigger: dict | None = None, rows: int = 20) -> StreamingQuery:
+    """A preview: the first ``rows`` rows of each micro-batch on the driver's
+    console. For all rows use a file sink."""
+    writer = _writer(df, mode, name, checkpoint, trigger).format("console")
+    return writer.option("truncate", "false").option("numRows", int(rows)).start()
 
 
 def start_text(df: DataFrame, kind: str, path: str, name: str, checkpoint: str | None = None,
@@ -112,40 +111,27 @@ def start_average_delay(reports: DataFrame, start: Callable[[DataFrame, str], St
         spark.conf.set(sq.ALLOW_MULTIPLE_CONF, old)
 
 
-def live_window_top(batch: DataFrame, n: int = TOP_N) -> DataFrame:
-    """Batch step of the wall-clock windowed top-N: one micro-batch is one
-    window of arrival time, as in the source job's processing-time windows."""
-    latest = latest_per_key(delayed(active(batch)), ["id"], columns=["linename", "delay"])
-    top = top_n(latest, n)
-    return top.orderBy("lastupdate", top["delay"].desc(), "seq").select(*TOP_COLUMNS)
-
-
 def start_top_delayed_window_live(reports: DataFrame, sink: Callable[[DataFrame, int], None], name: str,
                                   minutes: float = TOP_WINDOW_MINUTES, n: int = TOP_N,
                                   checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Windowed top-N over wall-clock windows: a processing-time trigger of
-    ``minutes`` makes every micro-batch one window; each is ranked on its own
-    (no state carries over between windows)."""
-    trigger = trigger or {"processingTime": duration(minutes)}
+    """Windowed top-N over arrival time: every message belongs to the window of
+    its arrival stamp, and a window is ranked once a later arrival has closed
+    it. How many micro-batches a window comes in makes no difference."""
+    latest, mode = sq.window_latest_stream(reports, minutes, arrival=True)
+    trigger = trigger or {"processingTime": FILE_ROLL_INTERVAL}
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        sink(live_window_top(batch, n), batch_id)
+        sink(sq.top_of_closed_windows(batch, n), batch_id)
 
-    return _writer(reports, "append", name, checkpoint, trigger).foreachBatch(step).start()
+    return _writer(latest, mode, name, checkpoint, trigger).foreachBatch(step).start()
 
 
-def text_batch_sink(path: str | None, kind: str) -> Callable[[DataFrame, int], None]:
+def text_batch_sink(path: str, kind: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch sink for ranked windows: rendered lines into
-    ``path/batch=<id>`` (overwrite: a retried batch replaces its output), or
-    printed when no path is given."""
+    ``path/batch=<id>`` (overwrite: a retried batch replaces its output)."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        rendered = render(df, kind)
-        if path:
-            rendered.write.mode("overwrite").text(os.path.join(path, f"batch={batch_id}"))
-        else:
-            for row in rendered.toLocalIterator():
-                print(row.value)
+        render(df, kind).write.mode("overwrite").text(os.path.join(path, f"batch={batch_id}"))
 
     return write
 
@@ -160,10 +146,13 @@ def start_staging(raw: DataFrame, path: str, name: str, checkpoint: str | None =
     return writer.format("parquet").option("path", path).start()
 
 
-def read_staged(spark, path: str, max_files_per_trigger: int | None = None) -> Ingested:
+def read_staged(spark, path: str, max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: int | None = None) -> Ingested:
     """Stream of a staged table (schema fixed, no inference), split into
-    reports and quarantine."""
+    reports and quarantine; micro-batches are bounded as those of the feed."""
     reader = spark.readStream.schema(STAGED_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     return split_parsed(reader.parquet(path))

@@ -6,6 +6,7 @@ Usable from pytest and standalone: ``python -m tests.oracle [sf_dir] [names...]`
 from __future__ import annotations
 
 import math
+import re
 import sys
 
 import duckdb
@@ -17,6 +18,12 @@ TABLES = (
 ).split()
 
 
+def core(names) -> list[str]:
+    """The queries of this library's own job: the optional training-data
+    operators (opN_..., pipeline) have their tests beside them."""
+    return sorted(n for n in names if not re.match(r"op\d+_|pipeline$", n))
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:

@@ -128,7 +128,7 @@ def g6_records():
 def test_g6_gap(spark, strategy):
     df = make_reports(spark, g6_records())
     # id 2 (6 rows) is hot; the size shortcut is switched off to exercise the split
-    kw = {"hot_key_rows": 5, "small_input_bytes": 0} if strategy == "auto" else {}
+    kw = {"hot_key_rows": 5} if strategy == "auto" else {}
     out = avg_report_gap(df, n=5, strategy=strategy, **kw).orderBy("id", "lastupdate", "seq").collect()
     got = {}
     for r in out:
@@ -162,7 +162,7 @@ def test_gap_strategies_agree_on_events(spark):
     base = sorted(avg_report_gap(reports, strategy="window").collect())
     assert len(base) > 0
     assert sorted(avg_report_gap(reports, strategy="distributed", num_partitions=5).collect()) == base
-    split = avg_report_gap(reports, strategy="auto", hot_key_rows=60, small_input_bytes=0)
+    split = avg_report_gap(reports, strategy="auto", hot_key_rows=60)
     assert sorted(split.collect()) == base
 
 

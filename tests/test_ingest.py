@@ -142,3 +142,29 @@ def test_more_edge_messages(spark):
     assert sorted(r.id for r in q.north_reports(got.reports).collect()) == ["b", "d"]  # NaN is not north
     assert sorted(r.id for r in q.passthrough(got.reports).collect()) == ["a", "b", "d"]  # ' false' is not active
     assert sorted(r.reason for r in got.quarantine.collect()) == ["malformed_json", "malformed_json"]
+
+
+def test_text_that_looks_like_a_container_stays(spark):
+    lines = ['{"attributes":{"id":"[A]1","linename":"{x","course":["y"],"lf":{"z":1},"isinactive":" [f"}}',
+             '{"attributes":{"id":"[B]2","linename":"[1, 2]","course":"[\\"q\\"]","lf":12,"isinactive":false}}']
+    rows = parse_messages(spark.createDataFrame([(x,) for x in lines], "value string")).reports.collect()
+    got = {r.id: (r.linename, r.course, r.lf, r.isinactive) for r in rows}
+    assert got == {"[A]1": ("{x", "", "", " [f"), "[B]2": ("[1, 2]", '["q"]', "12", "false")}
+
+
+def test_repeated_ingest_replaces_itself(spark, scratch_dir):
+    import glob
+    import os
+
+    from fleetreports.sources.feed import read_report_table, write_report_tables
+
+    lines = [record_message((str(i), 1, 0.0, 1, "L", i, 0, 86_400_000 * (i % 5))) for i in range(200)] + ["not json"]
+    raw = spark.createDataFrame([(x,) for x in lines], "value string").repartition(16)
+    for _ in range(2):
+        write_report_tables(parse_messages(raw, with_lineage=True), scratch_dir, ingest_id="a")
+    assert read_report_table(spark, scratch_dir).count() == 200
+    write_report_tables(parse_messages(raw), scratch_dir, ingest_id="b")
+    assert read_report_table(spark, scratch_dir).count() == 400
+    bad = spark.read.parquet(os.path.join(scratch_dir, "quarantine", "ingest=a")).collect()
+    assert [(r.reason, r.rsvp_id) for r in bad] == [("malformed_json", "NULL")]
+    assert len(glob.glob(f"{scratch_dir}/reports/ingest=a/day=*/*.parquet")) <= 5 + 16  # not tasks x days

@@ -6,13 +6,14 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from fleetreports.plans.explain import physical_plan
+from tests.oracle import core
 
 SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: physical_plan(fn(spark, SF)) for name, fn in entry_mod.queries().items()}
+    return {name: physical_plan(entry_mod.queries()[name](spark, SF)) for name in core(entry_mod.queries())}
 
 
 def read_schema(plan):

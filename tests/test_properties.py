@@ -24,24 +24,16 @@ def to_records(rows):
     return [(str(i), 1, 0.0, 1, "L1", d, 0, t) for i, t, d in rows]
 
 
-def fold_gaps(stamps, n):
-    """The source's accumulator (count, sum of differences, last stamp),
-    refolded over the last n stamps after every report."""
-    out = []
-    for j in range(len(stamps)):
-        count = total = last = 0
-        for t in stamps[max(0, j - n + 1): j + 1]:
-            if last > 0:
-                count, total, last = count + 1, total + (t - last), t
-            else:
-                count, total, last = 0, 0, t
-        out.append(0.0 if count == 0 else (total / count) / 1000)
-    return out
+def mean_gaps(stamps, n):
+    """After each stamp: the mean difference, in seconds, of neighbours among
+    the last n stamps; 0.0 where there is one only."""
+    recent = [stamps[max(0, j + 1 - n):j + 1] for j in range(len(stamps))]
+    return [sum(b - a for a, b in zip(r, r[1:])) / (len(r) - 1) / 1000 if len(r) > 1 else 0.0 for r in recent]
 
 
 @SETTINGS
 @given(rows=reports_st, n=st.integers(1, 6), strategy=st.sampled_from(["window", "distributed"]))
-def test_gap_equals_fold(spark, rows, n, strategy):
+def test_gap_equals_definition(spark, rows, n, strategy):
     df = make_reports(spark, to_records(rows))
     got = avg_report_gap(df, n=n, strategy=strategy, num_partitions=3).collect()
     by_id = {}
@@ -50,7 +42,7 @@ def test_gap_equals_fold(spark, rows, n, strategy):
     expect = {}
     for i, items in by_id.items():
         items.sort()
-        for (t, seq), g in zip(items, fold_gaps([t for t, _ in items], n)):
+        for (t, seq), g in zip(items, mean_gaps([t for t, _ in items], n)):
             expect[seq] = g
     assert {r.seq: r.avg_gap_s for r in got} == expect
 

@@ -167,14 +167,6 @@ def test_snapshot_sink_is_idempotent_per_batch(spark, scratch_dir):
     assert len(lines) == 5 and all(line.startswith("ID:") for line in lines)
 
 
-def test_live_window_step_ranks_one_micro_batch(spark):
-    from fleetreports.sources import make_reports
-
-    batch = make_reports(spark, G4[:6])  # one wall-clock window's arrivals
-    rows = sinks.live_window_top(batch).collect()
-    assert [r.id for r in rows] == ["1", "2", "3", "4", "5"]
-
-
 def test_average_stream_equals_batch_on_events(spark, scratch_dir):
     reports = event_reports(spark, "/root/testdata/sf0.001")
     lines = [r.value for r in to_messages(reports.orderBy("lastupdate", "seq")).collect()]
@@ -192,25 +184,23 @@ def test_average_stream_equals_batch_on_events(spark, scratch_dir):
     assert streamed == {w: a for w, a in batch.items() if w != last_open}
 
 
-def test_live_windowed_top_n_runs_per_trigger(spark, scratch_dir):
-    # two arrivals, one file each: with a 1 s processing-time trigger and one
-    # file per trigger, every micro-batch is one wall-clock window
-    folder = landing(os.path.join(scratch_dir, "in"), [msgs(G4[:6]), msgs(G4[6:])])
-    got = {}
-
-    def sink(df, batch_id):
-        got[batch_id] = [r.id for r in df.collect()]
-
-    qry = sinks.start_top_delayed_window_live(
-        stream_reports(spark, folder), sink, "live_top", minutes=1,
-        checkpoint=os.path.join(scratch_dir, "ck"), trigger={"processingTime": "1 second"},
-    )
-    try:
-        qry.processAllAvailable()
-    finally:
-        qry.stop()
-    windows = [ids for _, ids in sorted(got.items()) if ids]
-    assert windows == [["1", "2", "3", "4", "5"], ["10", "8", "6", "5", "2"]]
+@pytest.mark.parametrize("files", [1, 2, 10])
+def test_live_window_does_not_depend_on_micro_batches(spark, scratch_dir, files):
+    # two arrival windows of three files each, and a later arrival that closes them
+    parts = [G4[:2], G4[2:4], G4[4:6], G4[6:8], G4[8:9], G4[9:], [rec(99, delay=1)]]
+    folder = landing(os.path.join(scratch_dir, "in"), [msgs(p) for p in parts])
+    base = 1_700_000_040
+    for i, name in enumerate(sorted(os.listdir(folder))):
+        at = base + [1, 20, 50, 61, 90, 110, 400][i]
+        os.utime(os.path.join(folder, name), (at, at))
+    got = []
+    reports = parse_messages(read_feed_stream(spark, folder, max_files_per_trigger=files)).reports
+    sinks.start_top_delayed_window_live(
+        reports, lambda df, i: got.extend(df.collect()), "live_top", minutes=1,
+        checkpoint=os.path.join(scratch_dir, "ck"), trigger={"availableNow": True},
+    ).awaitTermination(300)
+    assert [r.id for r in got] == ["1", "2", "3", "4", "5"] + ["10", "8", "6", "5", "2"]
+    assert {(r.window_end - r.window_start).total_seconds() for r in got} == {60}
 
 
 def test_gap_stream_resumes_from_checkpoint(spark, scratch_dir):
