@@ -17,10 +17,13 @@ Two documents are linked if 100 * |A and B| >= 75 * |A or B|.
    one component is skipped.
 3. Long lists are not expanded into pairs: first every list is compared with
    one member, the one whose tokens are the most common (the original of a
-   group of edited copies has most of them). What is then still in different
-   components within a list is merged pair by pair, so no pair is lost; only
-   pairs of like set sizes with T collisions leave the merge. All are confirmed
-   on the full shingle sets.
+   group of edited copies has most of them). Representatives that are then still
+   in lists with several components are merged on their full sets, again by
+   prefix, rarest shingle first: a pair at the similarity shares one among the
+   larger set's first |A| - ceil(3/4 |A|) + 1 and the smaller set's first
+   |B| - ceil(6/7 |B|) + 1, and enough of either set comes after it. A passage that many documents share is not among a
+   document's rarest shingles, so its crowd is not expanded, and no pair is
+   lost. Pairs with T collisions are confirmed on the full shingle sets.
 4. Connected components of the confirmed links; component_id is the smallest
    doc_id that can be reached.
 
@@ -102,6 +105,29 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select([0, 1]).filter(pa.array(keep))
 
 
+def _open_pairs(reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``reps`` (rep, label) in different components that share a
+    shingle among the rarest of their full sets; see step 3 of the module."""
+    full = sets.dropDuplicates(["doc_id"]).join(reps, F.col("doc_id") == F.col("rep")).select("rep", "label", F.size("shingles").alias("n"), "shingles")
+    flat = full.select("rep", "label", "n", F.explode("shingles").alias("shingle"))
+    df = flat.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    alone = F.col("n") - F.size("p")  # shingles of one set only come first and meet nothing
+    probe, index = F.expr("n - ceil(0.75 * n) + 1"), F.expr("n - ceil(6 * n / 7) + 1")
+    ranked = (flat.join(df, "shingle").groupBy("rep", "label", "n")
+              .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("p"))  # one document's shingles
+              .select("rep", "label", "n", (index - alone).alias("index"), alone.alias("alone"),
+                      F.posexplode(F.slice("p.shingle", F.lit(1), F.greatest(F.lit(0), (probe - alone).cast("int")))).alias("at", "shingle")))
+    several = ranked.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("shingle")
+    ranked = ranked.join(several, "shingle")
+    # What both sets have in common begins, in the order of rarity, at the first such shingle.
+    ranked = ranked.withColumn("rest", F.expr("n - alone - at"))
+    small = ranked.where("at < index").select(F.col("shingle").alias("shingle_b"), F.col("rep").alias("b"), F.col("n").alias("n_b"),
+                                              F.col("label").alias("label_b"), F.col("rest").alias("rest_b"))
+    return (ranked.join(small, F.expr("shingle = shingle_b and label <> label_b and struct(n_b, b) < struct(n, rep) and 4 * n_b >= 3 * n "
+                                      "and 7 * least(rest, rest_b) >= 3 * (n + n_b)"))
+            .select(F.col("rep").alias("a"), "b"))
+
+
 def _links(pairs: DataFrame, tokens: DataFrame, sets: DataFrame) -> DataFrame | None:
     """The pairs (a, b) with T collisions, confirmed on full sets; a table."""
     ta = tokens.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"))
@@ -157,18 +183,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       .agg(F.min("label").alias("low"), F.max("label").alias("high"),
                            F.max(F.struct("common", -F.col("rep"), "label", "n")).alias("mid"))
                       .where("low < high"))
-        alike = "4 * least(n, n_b) >= 3 * greatest(n, n_b)"
         if step < STAR_ROUNDS:
             mids = open_lists.select("token", (-F.col("mid.col2")).alias("b"), F.col("mid.label").alias("label_b"), F.col("mid.n").alias("n_b"))
-            pairs = lists.join(mids, "token").where(f"label <> label_b and {alike}").select(F.col("rep").alias("a"), "b")
+            pairs = lists.join(mids, "token").where("label <> label_b and 4 * least(n, n_b) >= 3 * greatest(n, n_b)").select(F.col("rep").alias("a"), "b")
         else:
-            rest = lists.join(open_lists.select("token"), "token").join(posted.select("rep", "tokens"), "rep")
-            rest = rest.select("token", "rep", "n", "label", "tokens")
-            other = rest.select(F.col("token").alias("token_b"), F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("tokens").alias("tokens_b"))
-            both = F.array_intersect("tokens", "tokens_b")  # a pair leaves the list of its rarest common token
-            pairs = (rest.join(other, F.expr(f"token = token_b and rep < b and label <> label_b and {alike}")
-                               & (F.size(both) >= T) & (F.get(both, F.lit(0)) == F.col("token")))
-                     .select(F.col("rep").alias("a"), "b"))
+            still = lists.join(open_lists.select("token"), "token").select("rep", "label").distinct()
+            pairs = _open_pairs(still, sets)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         found = _links(pairs, posted.select("rep", "tokens"), sets)
         if found is None:
