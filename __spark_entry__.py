@@ -74,6 +74,28 @@ def _gap_hot_unit(reports: DataFrame) -> DataFrame:
     return avg_report_gap(active(_hot_unit(reports)), n=GAP_REPORTS, strategy="auto", hot_key_rows=1000)
 
 
+def _blanked(reports: DataFrame) -> DataFrame:
+    """Every fifth event without a usable stamp."""
+    from pyspark.sql import functions as F
+
+    from fleetreports.functions.coerce import epoch_ntz
+
+    return reports.withColumn("lastupdate", F.when(F.col("seq") % 5 == 0, epoch_ntz()).otherwise(F.col("lastupdate")))
+
+
+def _gap_accounted(reports: DataFrame) -> DataFrame:
+    """Gap of the stamped reports, and the others with the reason: every active
+    report is in the result once."""
+    from pyspark.sql import functions as F
+
+    from fleetreports.operators import without_stamp
+    from fleetreports.operators.filters import active
+
+    blanked = _blanked(reports)
+    gap = q.report_gap(blanked, n=10).withColumn("reason", F.lit(None).cast("string"))
+    return gap.unionByName(without_stamp(active(blanked)).withColumn("avg_gap_s", F.lit(None).cast("double")))
+
+
 def _bracketed(reports: DataFrame) -> DataFrame:
     """Ids and line names that begin like a JSON container, on part of the units."""
     from pyspark.sql import functions as F
@@ -130,6 +152,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "avg_delay_3m": _on_events(partial(q.average_delay, minutes=3)),
         "avg_report_gap": _on_events(partial(q.report_gap, n=10)),
         "avg_report_gap_hot_unit": _on_events(_gap_hot_unit),
+        "gap_accounted": _on_events(_gap_accounted),
         "feed_reports": _on_events(_feed_reports),
         "feed_lineage": _feed_lineage,
         "feed_quarantine": _feed_quarantine,
@@ -280,6 +303,10 @@ _AVG_LINE = "'Average delay:' || CAST(avg_delay AS VARCHAR)"
 _GAP_LINE = "'ID: ' || id || ' Average: ' || CAST(avg_gap_s AS VARCHAR)"
 
 
+_ACCOUNTED = _gap_sql(10, _ACTIVE.replace("FROM events", "FROM (SELECT * REPLACE (CASE WHEN event_id % 5 = 0 THEN TIMESTAMP '1970-01-01 00:00:00' ELSE ts END AS ts) FROM events)"))
+_ACCOUNTED = _ACCOUNTED.replace("SELECT id, seq, lastupdate,\n", "SELECT id, seq, lastupdate, CAST(NULL AS VARCHAR) AS reason,\n") + """
+UNION ALL SELECT id, seq, lastupdate, 'no_stamp' AS reason, CAST(NULL AS DOUBLE) AS avg_gap_s
+FROM active WHERE lastupdate <= TIMESTAMP '1970-01-01 00:00:00'"""
 _MARKED = "CASE WHEN CAST(id AS BIGINT) % 7 = 0 THEN '[' || {c} || ']' WHEN CAST(id AS BIGINT) % 11 = 0 THEN '{{' || {c} ELSE {c} END AS {c}"
 _FEED = (
     _ACTIVE + "SELECT " + ", ".join(
@@ -324,6 +351,7 @@ def oracle_sql() -> dict[str, str]:
         "avg_delay_3m": _avg_sql(3),
         "avg_report_gap": _gap_sql(10),
         "avg_report_gap_hot_unit": _gap_sql(10, _ACTIVE_HOT),
+        "gap_accounted": _ACCOUNTED,
         "feed_reports": _FEED,
         "feed_lineage": _LINEAGE,
         "feed_quarantine": _QUARANTINE,

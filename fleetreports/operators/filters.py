@@ -5,10 +5,14 @@ strict."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetreports.defaults import ACTIVE_VALUE, NORTH_HIGH, NORTH_LOW, NORTH_WRAP, TRAIN_VTYPE
+from fleetreports.schema import REPORT_COLUMNS
 
 
 def is_active() -> Column:
@@ -30,6 +34,13 @@ def is_delayed() -> Column:
     return F.col("delay") > F.lit(0.0)
 
 
+def same_report(left: str, right: str) -> Column:
+    """Two aliased reports are equal: every field, null-safe; ``seq``, the place in
+    the feed, does not count."""
+    fields = (F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in REPORT_COLUMNS if c != "seq")
+    return reduce(and_, fields)
+
+
 def active(reports: DataFrame) -> DataFrame:
     """Reports of active units only (applied before every query)."""
     return reports.filter(is_active())

@@ -104,6 +104,16 @@ def positions(
     )
 
 
+NO_STAMP = "no_stamp"
+
+
+def without_stamp(reports: DataFrame, key: str = "id") -> DataFrame:
+    """The reports that the gap leaves out, with the reason: ``key, seq,
+    lastupdate, reason``. Together with the gap's rows they are all reports."""
+    left_out = F.col("lastupdate").isNull() | (F.col("lastupdate") <= epoch_ntz())
+    return reports.filter(left_out).select(key, "seq", "lastupdate", F.lit(NO_STAMP).alias("reason"))
+
+
 def _stamped(reports: DataFrame, key: str) -> DataFrame:
     return reports.filter(F.col("lastupdate") > epoch_ntz()).select(
         key, "seq", "lastupdate", ntz_to_millis(F.col("lastupdate")).alias("_ms")

@@ -20,8 +20,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from fleetreports.defaults import SNAPSHOT_INTERVAL
 from fleetreports.functions.render import render
+from fleetreports.operators import active, without_stamp
 from fleetreports.plans import registry
 from fleetreports.session import build_session, checkpoint_root, stream_checkpoint
 from fleetreports.sources.feed import (
@@ -83,8 +83,11 @@ def run_batch_job(spark: SparkSession, spec: registry.QuerySpec, args: argparse.
         reports = got.reports
     result = registry.run_batch(spec.name, reports, minutes=args.minutes, n=args.n, strategy=args.gap_strategy)
     rendered = render(result, spec.render)
-    if args.quarantine and got is not None:
-        got.quarantine.write.mode("overwrite").json(args.quarantine)
+    if args.quarantine:
+        if got is not None:
+            got.quarantine.write.mode("overwrite").json(args.quarantine)
+        if spec.name == "diff":  # what the gap leaves out
+            without_stamp(active(reports)).write.mode("overwrite").json(f"{args.quarantine.rstrip('/')}-gap")
     rendered.write.mode("overwrite").text(args.output)
     if args.preview:
         print(f"The first {args.preview} lines:")

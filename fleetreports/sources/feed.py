@@ -33,6 +33,7 @@ _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_re
 # Quarantine reasons.
 REASON_MALFORMED = "malformed_json"
 REASON_EMPTY = "empty_message"
+REASON_STAMP = "stamp_out_of_range"
 
 
 @dataclass(frozen=True)
@@ -130,16 +131,18 @@ def parsed_messages(raw: DataFrame, value_col: str = "value", with_lineage: bool
     empty = F.trim(F.col("_value")) == ""
     attrs = F.col("_m.attributes")
 
-    cols = _report_projection(attrs, as_long(attrs.getField("lastupdate")), F.col("_value")) + [F.col("seq")]
+    stamp = as_long(attrs.getField("lastupdate"))
+    out_of_range = (stamp < F.lit(_MIN_MS)) | (stamp > F.lit(_MAX_MS))
+    cols = _report_projection(attrs, stamp, F.col("_value")) + [F.col("seq")]
     if with_lineage:
         cols += [rsvp_id(F.col("_value")).alias("rsvp_id"), payload_hash(F.col("_value")).alias("payload_hash")]
-    status = F.when(corrupt, F.lit(REASON_MALFORMED)).when(empty, F.lit(REASON_EMPTY)).otherwise(F.lit(None))
+    status = F.when(corrupt, F.lit(REASON_MALFORMED)).when(empty, F.lit(REASON_EMPTY)).when(out_of_range, F.lit(REASON_STAMP)).otherwise(F.lit(None))
     return parsed.select(
         *cols,
         *arrival,
         status.alias("_reason"),
         # the raw text is kept only where the quarantine needs it
-        F.when(corrupt | empty, F.col("_value")).alias("_raw"),
+        F.when(corrupt | empty | out_of_range, F.col("_value")).alias("_raw"),
     )
 
 
@@ -165,7 +168,8 @@ def parse_messages(
     quarantine. An empty message, a JSON value that is not an object, or an
     object without ``attributes`` yields a default report (empty
     ``isinactive``), which the active filter drops later, as in the source
-    job; empty messages are also listed in the quarantine for visibility.
+    job; empty messages, and those whose stamp is no possible time (their report
+    takes epoch 0), are also listed in the quarantine for visibility.
     ``seq`` numbers the messages in ingest order (used only to break ties
     between equal ``lastupdate``): unique row ids in batch, ``stream_seq`` on a
     stream.
