@@ -76,7 +76,7 @@ def _forms(node) -> list[list[str]]:
             return [[""], *_sequence(part)]
         if least == most and least <= 8:
             return _sequence(list(part) * least)
-        return [["", ""]]
+        return [[*w, ""] for w in _sequence(part)] if least else [["", ""]]
     return [["", ""]]  # any character may stand here
 
 

@@ -375,7 +375,7 @@ def test_secret_scan(spark, docs, none):
     got = secret_scan.scan(everything).collect()
     assert ordered((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in got) == ordered(want)
     spans = {r.doc_id: r.spans for r in got if r.spans}
-    assert spans[2].endswith("private_key:28:59,github:60:100")
+    assert spans[2] == "assign:0:27,private_key:28:59,github:60:100,hex:64:100"
     assert secret_scan.scan(none).count() == 0
 
 
