@@ -108,14 +108,13 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _open_pairs(reps: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) of ``reps`` (rep, label) in different components that share a
     shingle among the rarest of their full sets; see step 3 of the module."""
-    full = sets.dropDuplicates(["doc_id"]).join(reps, F.col("doc_id") == F.col("rep")).select("rep", "label", F.size("shingles").alias("n"), "shingles")
-    flat = full.select("rep", "label", "n", F.explode("shingles").alias("shingle"))
+    flat = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     df = flat.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     alone = F.col("n") - F.size("p")  # shingles of one set only come first and meet nothing
     probe, index = F.expr("n - ceil(0.75 * n) + 1"), F.expr("n - ceil(6 * n / 7) + 1")
-    ranked = (flat.join(df, "shingle").groupBy("rep", "label", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("p"))  # one document's shingles
-              .select("rep", "label", "n", (index - alone).alias("index"), alone.alias("alone"),
+    ranked = (flat.join(df, "shingle").groupBy("rep", "n")
+              .agg(F.sort_array(F.collect_set(F.struct("df", "shingle"))).alias("p"))  # one document's shingles
+              .join(reps, "rep").select("rep", "label", "n", (index - alone).alias("index"), alone.alias("alone"),
                       F.posexplode(F.slice("p.shingle", F.lit(1), F.greatest(F.lit(0), (probe - alone).cast("int")))).alias("at", "shingle")))
     several = ranked.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("shingle")
     ranked = ranked.join(several, "shingle")
