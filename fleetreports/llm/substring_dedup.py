@@ -204,8 +204,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     sketch = spark.sparkContext.broadcast(_repeated_cells(docs))
     found = stored(docs.select("ord", "text_key", "text", spot_of(key).alias("spot"))
                    .mapInArrow(_occurrences(sketch, bitmap), "h bigint, h2 int, ord bigint, text_key bigint, pos int"), "windows")
-    least = found.groupBy("h", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last")
-    again = found.join(least.select("h", "h2", "first"), ["h", "h2"]).where("ord > first")
+    least = found.groupBy("h", "h2").agg(F.min("ord").alias("first"))
+    again = found.join(least, ["h", "h2"]).where("ord > first")
     removed = again.groupBy("ord", "text_key").agg(F.collect_list("pos").alias("removed")).withColumn("whole", F.lit(False))
     copies = (texts.join(firsts.where("first < last").select(*same, "first"), same).where("ord > first")
               .select("ord", "text_key", F.array().cast("array<int>").alias("removed"), F.lit(True).alias("whole")).distinct())

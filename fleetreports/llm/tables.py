@@ -25,7 +25,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/fleetreports-llm/{label}-{uuid.uuid4().hex}"
     _open[path] = spark
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_path = path
     return out
