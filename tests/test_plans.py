@@ -73,7 +73,7 @@ def test_report_table_scans_push_filters(spark, scratch_dir):
     trains = physical_plan(q.trains_last_stop(table))
     assert "PushedFilters: [IsNotNull(isinactive), IsNotNull(vtype), EqualTo(isinactive,false), EqualTo(vtype,5)]" \
         in trains
-    # only the used columns are read (day is the partition column, free per file)
-    assert "FileScan parquet [id,vtype,linename,laststopid,isinactive,lastupdate,seq,day]" in trains
+    # only the used columns are read (ingest and day are partition columns, free per file)
+    assert "FileScan parquet [id,vtype,linename,laststopid,isinactive,lastupdate,seq,ingest,day]" in trains
     top = physical_plan(q.top_delayed(table))
     assert "GreaterThan(delay,0.0)" in top
