@@ -58,10 +58,11 @@ def _with_cdf(rate: DataFrame) -> DataFrame:
             .withColumn("_cdf", F.aggregate(F.sequence(F.lit(1), terms), start, step)["cdf"]).drop("_mean", "rate"))
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, seed: str = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, seed: str = SEED, marks: bool = True) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) mixed to the weights, with ``copy``
-    (from 0) and ``mix_key``, the place in the global shuffle."""
-    docs = docs.drop("copy", "mix_key")
+    (from 0) and ``mix_key``, the place in the global shuffle; without ``marks``
+    the columns of ``docs`` only, all of them."""
+    docs = docs.drop("copy", "mix_key") if marks else docs
     table = _with_cdf(rates(docs, weights, epochs))
     if docs.select("source").distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         table = table.withColumnRenamed("source", "_source")
@@ -78,6 +79,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0,
     copies = F.aggregate(F.transform(F.sequence(F.lit(1), F.col("_parts")), drawn), F.lit(0), lambda s, x: s + x)
     keep = docs.columns
     out = (joined.withColumn("_copies", copies).where("_copies > 0")
-           .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
-           .select(*keep, "copy", hashed(F.lit(f"{seed}-place"), F.col("doc_id"), F.col("copy")).alias("mix_key")))
-    return out.repartition("mix_key").sortWithinPartitions("mix_key", "doc_id", "copy")
+           .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+           .select(*keep, "_copy", hashed(F.lit(f"{seed}-place"), F.col("doc_id"), F.col("_copy")).alias("_mix_key")))
+    out = out.repartition("_mix_key").sortWithinPartitions("_mix_key", "doc_id", "_copy")
+    return out.select(*keep, F.col("_copy").alias("copy"), F.col("_mix_key").alias("mix_key")) if marks else out.select(*keep)
