@@ -429,3 +429,47 @@ def test_fingerprints(docs, rows, none, monkeypatch):
 def test_one_row_is_its_own_next(spark):
     r = fingerprints.fingerprints(spark.createDataFrame([(7, "abcdef")], "doc_id bigint, text string")).first()
     assert r.edited_sha256 == hashlib.sha256(b"abcabc").hexdigest() and r.near_next == 1
+
+
+def test_fingerprints_find_edited_texts(spark):
+    """Texts with one changed word, and near copies at a similarity of 0.75 and more, count as within."""
+    import random
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7)))
+    shingles = lambda w: {tuple(w[k:k + 3]) for k in range(len(w) - 2)}
+    rows = []
+    for k in range(120):
+        own = [word() for _ in range((60, 200, 400)[k % 3])]
+        near = list(own)
+        near[rng.randrange(len(near))] = word()
+        while k % 2:  # to the least similarity that is to be found
+            more = list(near)
+            more[rng.randrange(len(more))] = word()
+            a, b = shingles(own), shingles(more)
+            if len(a & b) < 0.75 * len(a | b):
+                break
+            near = more
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(near))]
+    got = fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string"), query_step=2).collect()
+    found = {r.doc_id: r.n_within for r in got if r.doc_id % 2 == 0}
+    assert set(found.values()) <= {0, 1}  # no unrelated text
+    assert all(found[4 * k] == 1 for k in range(60)) and sum(found[4 * k + 2] for k in range(60)) >= 56
+
+
+def test_fingerprints_in_many_cells(spark, monkeypatch):
+    """More than one cell each way; a crowd of equal and near fingerprints."""
+    for name, value in (("CELL_PRINTS", 40), ("CELL_QUERIES", 30), ("LEAST_CELLS", 3), ("_PAIRS", 100)):
+        monkeypatch.setattr(fingerprints, name, value)
+    rng = np.random.default_rng(2)
+    fp = rng.integers(-(1 << 63), (1 << 63) - 1, (300, 2))
+    fp[100:] = fp[0]
+    for k in range(150, 300):
+        for bit in rng.choice(128, k % 45, replace=False):
+            fp[k, bit // 64] ^= np.int64(np.uint64(1 << (int(bit) % 64)).astype(np.int64))
+    every = [(int(a), int(b)) for a, b in fp]
+    rows = spark.createDataFrame(every, "hi bigint, lo bigint")
+    asked = every[::3]
+    got = {(r.hi, r.lo): r.n for r in fingerprints.within(spark.createDataFrame(asked, "hi bigint, lo bigint"), rows.groupBy("hi", "lo").agg(F.count("*").alias("n"))).collect()}
+    apart = lambda a, b: sum(((x ^ y) & ((1 << 64) - 1)).bit_count() for x, y in zip(a, b, strict=True))
+    assert got == {a: sum(apart(a, b) <= fingerprints.RADIUS for b in every) for a in asked}
