@@ -14,8 +14,10 @@ of fixed size; document windows that pass it are hash-joined with the benchmark'
 less place in the item) are an alignment. Its slots must correspond one to one:
 equal item values meet equal text values, and different ones different ones, so
 a question with other numbers and names is caught and a chance template is not.
+Windows with a slot that does not are left out, the alignment's others stay;
+windows whose slots all equal the item's count in any case.
 
-A document holds an item if consistent alignments cover ``SHARE`` = 0.75 or more of
+A document holds an item if the windows left cover ``SHARE`` = 0.75 or more of
 the item's distinct windows. Items with the same template and the same pattern
 of equal slots are one class, named by its smallest item_id.
 
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetreports.llm import words as W
@@ -205,6 +207,11 @@ def _doc_windows(bitmap):
     return run
 
 
+def _repeated(values: str) -> Column:
+    """The values that a sorted array holds more than once."""
+    return F.filter(values, lambda x, i: (i > 0) & (x == F.get(F.col(values), i - 1)))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, n_windows, n_matched, share): the benchmark
     items that documents hold, one row a document and item class."""
@@ -221,10 +228,13 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     one = found.join(items, "h").select(
         "doc_id", "text_key", "item_id", (F.col("at") - F.col("item_at")).alias("distance"), "h", pairs.alias("pairs"))
     aligned = (one.groupBy("doc_id", "text_key", "item_id", "distance")
-               .agg(F.collect_set("h").alias("windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
-    fair = aligned.where(
-        (F.size("pairs") == F.size(F.array_distinct("pairs.item_slots"))) & (F.size("pairs") == F.size(F.array_distinct("pairs.slots"))))
-    return (fair.select("doc_id", "text_key", "item_id", F.explode("windows").alias("h")).distinct()
+               .agg(F.collect_set(F.struct("h", "pairs")).alias("windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+               .withColumn("item_values", F.array_sort("pairs.item_slots")).withColumn("values", F.array_sort("pairs.slots"))
+               .withColumn("item_values", _repeated("item_values")).withColumn("values", _repeated("values")))
+    fair = aligned.select("doc_id", "text_key", "item_id", F.filter("windows", lambda w: F.forall(
+        w["pairs"], lambda p: p["item_slots"] == p["slots"]) | ~(
+        F.arrays_overlap(w["pairs"]["item_slots"], F.col("item_values")) | F.arrays_overlap(w["pairs"]["slots"], F.col("values")))).alias("windows"))
+    return (fair.select("doc_id", "text_key", "item_id", F.explode("windows.h").alias("h")).distinct()
             .groupBy("doc_id", "text_key", "item_id").agg(F.count("*").alias("n_matched"))
             .join(size, "item_id").withColumn("share", F.col("n_matched") / F.col("n_windows")).where(F.col("share") >= SHARE)
             .select("doc_id", "text_key", "item_id", "n_windows", "n_matched", "share"))

@@ -183,6 +183,23 @@ def test_decontaminate_slots(spark):
     assert ordered((r.doc_id, r.item_id) for r in got.collect()) == ordered([(1, 1), (2, 1), (3, 1), (None, 1)])
 
 
+def test_decontaminate_drops_conflicting_windows_only(spark):
+    """One changed value of a repeated one, and two values that became equal, cost their own windows."""
+    words = [f"{a}{b}w" for a in "abcdef" for b in "klmnopqrst"]
+    item = " ".join(["Alice has 5 apples and 5 pears and 3 plums", *words, "in the end"]) + "."
+    rows = [(1, item.replace("5 pears", "7 pears")), (2, item.replace("5", "4").replace("3 plums", "4 plums")),
+            (3, item.replace("5 apples", "8 apples").replace("5 pears", "9 pears")), (4, "Alice has 5 apples and 7 pears"),
+            (5, " ".join(words[:30]))]
+    both = [(r.doc_id, r.item_id) for r in decontaminate.contaminated(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame([(1, item)], "item_id bigint, text string")).collect()]
+    assert ordered(both) == [(1, 1), (2, 1), (3, 1)]
+    # A short item word for word, but for the last of its equal numbers.
+    short = "we add 5 to the sum and then 5 to it again and write down what we have got and after that also 5"
+    (r,) = decontaminate.contaminated(spark.createDataFrame([(1, short[:-1] + "7")], "doc_id bigint, text string"),
+                                      spark.createDataFrame([(1, short)], "item_id bigint, text string")).collect()
+    assert (r.n_windows, r.n_matched) == (20, 19)
+
+
 # ------------------------------------------------------------------ op5, op10
 
 
