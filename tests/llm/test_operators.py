@@ -66,6 +66,16 @@ def test_url_rules(spark, monkeypatch):
     assert {r.verdict for r in url_rules.judge(pages, url_rules.rule_table(spark, [])).collect()} == {"allow"}
 
 
+def test_url_rules_second_scheme(spark):
+    """Only the first :// of a url counts, also where no path stands before the second."""
+    urls = ["https://example.org?u=http://a.net/fr/x", "https://a.example.com?u=http://b.org/de/x", "http://b.net#http://c.net/", "http://q.net?x",
+            "http://q.org/fr/?u=http://a.net/y", "http://?u=x://a.net/y", "a://b.net://c.net/y", "http://q.net"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_rules.judge(pages, url_rules.rule_table(spark)).collect()]
+    assert ordered(got) == ordered((k, *judged_by_hand(u, url_rules.RULES)) for k, u in enumerate(urls))
+    assert {r[0]: r[2] for r in got}[0] == ""
+
+
 # ------------------------------------------------------------------ op2
 
 
