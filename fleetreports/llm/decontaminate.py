@@ -10,6 +10,13 @@ them; an item of fewer tokens is one window of its own length, which only a
 text of that template has as a whole. Windows of the benchmark fill a bitmap
 of fixed size; document windows that pass it are hash-joined with the benchmark's.
 
+*Plain form.* Which words are a <name> depends on capitals and line feeds, so each
+window has a plain form as well: its tokens without capitals, no placeholders. A
+window is matched if either form is, the plain one at any place. An item of fewer
+than ``WINDOW`` tokens is also matched by its plain tokens anywhere in a text,
+and a longer item without a usable window (numbers) only by its whole
+sequence of plain tokens, all its runs of ``WINDOW`` at one distance.
+
 *Slots.* The windows of one document and item at one distance (place in the text
 less place in the item) are an alignment. Its slots must correspond one to one:
 equal item values meet equal text values, and different ones different ones, so
@@ -19,10 +26,11 @@ windows whose slots all equal the item's count in any case.
 
 A document holds an item if the windows left cover ``SHARE`` = 0.75 or more of
 the item's distinct windows. Items with the same template and the same pattern
-of equal slots are one class, named by its smallest item_id.
+of equal slots are one class, named by its smallest item_id; the plain forms of
+all of them count for the class. Without a usable window, equal plain tokens make a class.
 
 Defined cases: null or empty texts, and items, have no window; an item without
-a usable window matches nothing; repeated rows give one result row; rows with a
+a token matches nothing; repeated rows give one result row; rows with a
 null doc_id are reported with it; only ``doc_id`` and ``text``, and ``item_id`` and
 ``text`` of the benchmark, are read.
 """
@@ -57,6 +65,7 @@ UNITS = [
 
 _PUNCT = np.zeros(256, bool)
 _PUNCT[[i for i in range(33, 127) if not chr(i).isalnum()]] = True
+_PLAIN = np.uint64(0x3C6EF372FE94F82B)
 _SLOT = np.array([0, 0x1234567890ABCDEF, 0x0FEDCBA987654321, 0x5A5A5A5A3C3C3C3C], np.uint64)
 
 
@@ -145,9 +154,9 @@ def _tokens(c: W.Chunk) -> tuple[W.Words, np.ndarray, np.ndarray]:
     return W.Words(start, end, template, doc, first), kind, value
 
 
-def _windows(c: W.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, W.Words]:
+def _windows(c: W.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, W.Words, np.ndarray]:
     """Usable windows of a chunk: hash, first token, row; slot values (0: a word)
-    of all tokens; the tokens."""
+    of all tokens; the tokens; their plain values."""
     t, kind, value = _tokens(c)
     slots = np.where(kind == WORD, np.uint64(0), value ^ _SLOT[kind] | np.uint64(1))
     h, begin = W.runs(t, WINDOW)
@@ -164,45 +173,87 @@ def _windows(c: W.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
                 v = W.mix(v ^ x)
             whole[k] = v[0]
         h, begin = np.concatenate((h, whole)), np.concatenate((begin, t.first[short]))
-    return h, begin, t.doc[begin] if len(begin) else begin, slots, t
+    return h, begin, t.doc[begin] if len(begin) else begin, slots, t, value
+
+
+def _plain(t: W.Words, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of n plain tokens, and the first token of each."""
+    h, begin = W.runs(t, n, value)
+    return W.mix(h ^ (_PLAIN + np.uint64(n))), begin
 
 
-def _slot_lists(slots: np.ndarray, begin: np.ndarray, t: W.Words) -> pa.Array:
-    """Slot values of each window's tokens."""
-    size = np.minimum(WINDOW, np.diff(t.first)[t.doc[begin]]) if len(begin) else begin
+def _slot_lists(slots: np.ndarray, begin: np.ndarray, t: W.Words, plain: np.ndarray) -> pa.Array:
+    """Slot values of each window's tokens; none of plain windows."""
+    size = np.where(plain, 0, np.minimum(WINDOW, np.diff(t.first)[t.doc[begin]])) if len(begin) else begin
     off = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
     at = np.repeat(begin - off[:-1], size) + np.arange(off[-1])
     return W.lists(W.signed(slots[at]), off)
 
 
+#: Forms of an item's windows: of its template; plain; a run of a whole plain sequence.
+TEMPLATE, PLAIN, WHOLE = 0, 1, 2
+
+
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows of items: ``w`` names the window, ``h`` is the hash of one form of it."""
     for c in W.chunks(batches):
-        h, begin, row, slots, t = _windows(c)
-        order = np.argsort(row, kind="stable")
-        h, begin, row = h[order], begin[order], row[order]
+        h, begin, row, slots, t, value = _windows(c)
+        count = np.diff(t.first)
+        usable = np.bincount(row, minlength=len(c)) > 0
+        plain = np.zeros(len(t.hash), np.uint64)
+        for n in range(1, WINDOW + 1):
+            own, at = _plain(t, value, n)
+            fits = (count[t.doc[at]] == n) | (n == WINDOW) & (count[t.doc[at]] > n) if len(at) else np.zeros(0, bool)
+            plain[at[fits]] = own[fits]
+            if n == WINDOW:
+                runs = at[~usable[t.doc[at]]] if len(at) else at
+        w = np.concatenate((h, h, plain[runs]))
+        form = np.repeat([TEMPLATE, PLAIN, WHOLE], [len(h), len(h), len(runs)])
+        key = np.concatenate((h, plain[begin], plain[runs]))
+        begin = np.concatenate((begin, begin, runs)).astype(np.int64)
+        row = t.doc[begin] if len(begin) else begin
         alike = []  # template and pattern of equal slots
         for i in range(len(c)):
             s = slots[t.first[i]:t.first[i + 1]]
             _, pattern = np.unique(s, return_inverse=True)
             ranks = {}
             pattern = np.array([ranks.setdefault(p, len(ranks)) for p in pattern.tolist()], np.uint64)
+            if not usable[i]:
+                pattern = value[t.first[i]:t.first[i + 1]]
             alike.append(t.hash[t.first[i]:t.first[i + 1]].tobytes() + pattern.tobytes())
+        place = np.where(form == PLAIN, 0, begin - t.first[row])
+        places = np.where(form == WHOLE, count[row] - WINDOW + 1, 0)
         yield pa.RecordBatch.from_arrays(
-            [c.rows.column(0).take(pa.array(row)), pa.array([alike[i] for i in row], pa.binary()), pa.array(W.signed(h)),
-             pa.array((begin - t.first[row]).astype(np.int32)), _slot_lists(slots, begin, t)],
-            names=["item_id", "alike", "h", "item_at", "item_slots"])
+            [c.rows.column(0).take(pa.array(row)), pa.array([alike[i] for i in row], pa.binary()), pa.array(form.astype(np.int32)),
+             pa.array(W.signed(w)), pa.array(W.signed(key)), pa.array(place.astype(np.int32)), pa.array(places.astype(np.int32)),
+             pa.array(count[row].astype(np.int32)), _slot_lists(slots, begin, t, form != TEMPLATE)],
+            names=["own_id", "alike", "form", "w", "h", "item_at", "places", "tokens", "item_slots"])
 
 
-def _doc_windows(bitmap):
+def _doc_windows(bitmap, short: list[int]):
+    """``short``: the lengths of items with fewer than WINDOW tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in W.chunks(batches):
-            h, begin, row, slots, t = _windows(c)
+            h, begin, _, slots, t, value = _windows(c)
             hit = passes(bitmap.value, low_spots(h))
-            h, begin, row = h[hit], begin[hit], row[hit]
+            found = [(h[hit], begin[hit])]
+            for n in [*short, WINDOW]:
+                h, begin = _plain(t, value, n)
+                hit = passes(bitmap.value, low_spots(h))
+                h, begin = h[hit], begin[hit]
+                if n < WINDOW and len(h):  # once a text
+                    order = np.lexsort((h, t.doc[begin]))
+                    h, begin = h[order], begin[order]
+                    new = np.concatenate(([True], (h[1:] != h[:-1]) | (t.doc[begin[1:]] != t.doc[begin[:-1]])))
+                    h, begin = h[new], begin[new]
+                found.append((h, begin))
+            h, begin = (np.concatenate(x) for x in zip(*found, strict=True))
             if len(h):
+                row = t.doc[begin]
+                plain = np.arange(len(h)) >= len(found[0][0])
                 yield pa.RecordBatch.from_arrays(
                     [c.rows.column(0).take(pa.array(row)), c.rows.column(1).take(pa.array(row)), pa.array(W.signed(h)),
-                     pa.array((begin - t.first[row]).astype(np.int32)), _slot_lists(slots, begin, t)],
+                     pa.array((begin - t.first[row]).astype(np.int32)), _slot_lists(slots, begin, t, plain)],
                     names=["doc_id", "text_key", "h", "at", "slots"])
     return run
 
@@ -216,19 +267,24 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, n_windows, n_matched, share): the benchmark
     items that documents hold, one row a document and item class."""
     items = stored(benchmark.select("item_id", "text").mapInArrow(
-        _item_windows, "item_id bigint, alike binary, h bigint, item_at int, item_slots array<bigint>"), "items")
-    heads = items.groupBy(F.sha2("alike", 256).alias("alike")).agg(F.min("item_id").alias("item_id"))
-    items = (items.withColumn("alike", F.sha2("alike", 256)).join(heads, ["alike", "item_id"])
-             .select("item_id", "h", "item_at", "item_slots").distinct())
-    size = items.groupBy("item_id").agg(F.countDistinct("h").alias("n_windows"))
+        _item_windows, "own_id bigint, alike binary, form int, w bigint, h bigint, item_at int, places int, tokens int, "
+                       "item_slots array<bigint>"), "items").withColumn("alike", F.sha2("alike", 256))
+    heads = items.groupBy("alike").agg(F.min("own_id").alias("item_id"))
+    short = sorted(r["tokens"] for r in items.where(F.col("tokens") < WINDOW).select("tokens").distinct().collect())  # 4 rows at most
+    items = (items.join(heads, "alike").where((F.col("form") != TEMPLATE) | (F.col("own_id") == F.col("item_id")))
+             .select("item_id", "form", "w", "h", "item_at", "places", "item_slots").distinct())
+    size = items.groupBy("item_id").agg(F.countDistinct("w").alias("n_windows"))
     bitmap = docs.sparkSession.sparkContext.broadcast(hash_filter(items, F.col("h")))
     found = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-             .mapInArrow(_doc_windows(bitmap), "doc_id bigint, text_key bigint, h bigint, at int, slots array<bigint>"))
+             .mapInArrow(_doc_windows(bitmap, short), "doc_id bigint, text_key bigint, h bigint, at int, slots array<bigint>"))
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != 0)
     one = found.join(items, "h").select(
-        "doc_id", "text_key", "item_id", (F.col("at") - F.col("item_at")).alias("distance"), "h", pairs.alias("pairs"))
+        "doc_id", "text_key", "item_id", F.when(F.col("form") == PLAIN, 0).otherwise(F.col("at") - F.col("item_at")).alias("distance"),
+        F.col("w").alias("h"), pairs.alias("pairs"), "places", F.when(F.col("form") == WHOLE, F.col("item_at")).alias("spot"))
     aligned = (one.groupBy("doc_id", "text_key", "item_id", "distance")
-               .agg(F.collect_set(F.struct("h", "pairs")).alias("windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+               .agg(F.collect_set(F.struct("h", "pairs")).alias("windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+                    F.max("places").alias("places"), F.countDistinct("spot").alias("spots"))
+               .where(F.col("spots") == F.col("places"))
                .withColumn("item_values", F.array_sort("pairs.item_slots")).withColumn("values", F.array_sort("pairs.slots"))
                .withColumn("item_values", _repeated("item_values")).withColumn("values", _repeated("values")))
     fair = aligned.select("doc_id", "text_key", "item_id", F.filter("windows", lambda w: F.forall(

@@ -210,6 +210,23 @@ def test_decontaminate_drops_conflicting_windows_only(spark):
     assert (r.n_windows, r.n_matched) == (20, 19)
 
 
+def test_decontaminate_plain_forms(spark):
+    """Other wrapping and capitals, quoted short items, and items of numbers."""
+    items = [
+        (1, "Read the list\nGive every second entry\nAdd them all up\nName what you have got and then stop here"),
+        (2, "Which river is the longest"), (3, "Blue whale"), (4, "3 1 4 1 5 9 2 6"), (5, "3 1 4 1 5 9 2 7"), (6, "What is 7 plus 9 here now, please?"),
+        (7, "What is 8 plus 6 here now, please?"),
+    ]
+    text = dict(items)
+    rows = [(1, text[1].replace("\n", " ")), (2, "so " + text[1].lower()), (3, "they asked us Which river is the longest of them"),
+            (4, "a BLUE whale swam by, a blue whale"), (5, "whale blue"), (6, "digits: 3, 1, 4, 1, 5, 9, 2, 6 and so on"), (7, "3 1 4 1 5 9 2 8"),
+            (8, "4 1 5 9 2 6 3 1 4 1 5"), (9, "ask: what\nis\n8 plus 6 here now please"), (10, text[1].upper()), (11, "3 1 4 1 5 1 4 1 5 9 2 6"),
+            (None, "blue whale"), (12, "blue"), (13, "")]
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert ordered((r.doc_id, r.item_id) for r in got.collect()) == ordered(
+        [(1, 1), (2, 1), (3, 2), (4, 3), (6, 4), (9, 6), (10, 1), (None, 3)])
+
+
 # ------------------------------------------------------------------ op5, op10
 
 
