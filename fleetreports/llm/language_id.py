@@ -12,6 +12,11 @@ the hash of doc_id, at a rate known from exact counts); prototypes are summed as
 integers, so the result does not depend on the order of tasks. Prediction reads
 every whole text and nothing but the text.
 
+*Rejection* is by the share of n-grams that no training text holds (a bitmap of
+their hashes), as a cosine near the noise says little. Of a text's m n-grams, up
+to (``UNSEEN`` = 0.25 plus the share that 95 % of the language's held-out texts don't
+exceed) times m, plus ``SLACK`` = 2, may be unseen: one odd letter makes three.
+
 Defined cases: null text, or one without a letter, is ``und`` with score 0, as is
 every text where no language could be learned; ties go to the first language in
 alphabetical order; rows without doc_id are not held out; repeated rows give
@@ -28,9 +33,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetreports.llm import words as W
+from fleetreports.llm.bitmaps import hash_filter, low_spots, passes
 
 DIM, TRAIN_DOCS, FOLDS, UNKNOWN = 1024, 2000, 5, "und"
-MIN_SCORE = 0.05
+UNSEEN, SLACK, HELD_DOCS = 0.25, 2, 2000
 _UNIT = 1 << 20  # a unit profile's coordinates are summed in these steps
 _CELLS = 4_000_000
 _letters: dict[str, np.ndarray] = {}
@@ -58,6 +64,13 @@ def _signs(letters: np.ndarray) -> np.ndarray:
 
 def _profiles(c: W.Chunk) -> Iterator[tuple[int, int, np.ndarray]]:
     """Profiles of a chunk's texts: first row, row after the last, bundles."""
+    for i, j, count, _, vectors in _counted(c):
+        yield i, j, count @ vectors
+
+
+def _counted(c: W.Chunk) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """N-grams of a chunk's texts: first row, row after the last, counts (rows,
+    n-grams), and the n-grams' hashes and vectors."""
     n, data = len(c), c.data
     lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
     off = lead[c.off]  # in code points
@@ -67,7 +80,7 @@ def _profiles(c: W.Chunk) -> Iterator[tuple[int, int, np.ndarray]]:
     line[np.arange(len(points)) + doc + 1] = _folded()[np.minimum(points, 0x10FFFF)]
     at = np.flatnonzero(line)
     if not len(at):
-        yield 0, n, np.zeros((n, DIM), np.float32)
+        yield 0, n, np.zeros((n, 0), np.float32), np.zeros(0, np.uint64), np.zeros((0, DIM), np.float32)
         return
     letters, code = np.unique(line, return_inverse=True) if len(line) < 4096 else (None, None)
     if letters is None:
@@ -92,13 +105,15 @@ def _profiles(c: W.Chunk) -> Iterator[tuple[int, int, np.ndarray]]:
     signs = _signs(letters)
     bound = np.roll(signs, 2, axis=1)[grams // (k * k)] ^ np.roll(signs, 1, axis=1)[grams // k % k] ^ signs[grams % k]
     vectors = 1 - 2 * bound.astype(np.float32)
+    names = letters.astype(np.uint64)
+    hashes = W.mix(names[grams // (k * k)] << np.uint64(42) | names[grams // k % k] << np.uint64(21) | names[grams % k])
     first = np.searchsorted(owner, np.arange(n + 1))
     step = max(1, _CELLS // len(grams))
     for i in range(0, n, step):
         j = min(n, i + step)
         cells = (owner[first[i]:first[j]] - i) * len(grams) + gram[first[i]:first[j]]
         count = np.bincount(cells, minlength=(j - i) * len(grams)).astype(np.float32).reshape(j - i, -1)
-        yield i, j, count @ vectors
+        yield i, j, count, hashes, vectors
 
 
 def _unit(profiles: np.ndarray) -> np.ndarray:
@@ -122,17 +137,24 @@ def held_out(doc_id: Column, folds: int = FOLDS, fold: int = 0) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
 
 
+def _sample(docs: DataFrame, of: Column, most: int) -> DataFrame | None:
+    """About ``most`` texts of each lang (text, lang) from the rows that ``of`` holds for."""
+    rows = docs.select("doc_id", "text", "lang").where(of & F.col("lang").isNotNull())
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    if not counts:
+        return None
+    rate = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(most / n))])
+    draw = F.pmod(F.xxhash64(F.lit("train"), F.col("doc_id")), F.lit(1 << 30)) / (1 << 30)
+    return rows.where(draw < rate[F.col("lang")]).select("text", "lang")
+
+
 def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages and their unit prototypes, from the rows of ``docs`` (doc_id,
     text, lang) that are not held out and have a lang."""
-    rows = docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
-    if not counts:
+    rows = _sample(docs, ~held_out(F.col("doc_id")), TRAIN_DOCS)
+    if rows is None:
         return [], np.zeros((0, DIM))
-    rate = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(TRAIN_DOCS / n))])
-    draw = F.pmod(F.xxhash64(F.lit("train"), F.col("doc_id")), F.lit(1 << 30)) / (1 << 30)
-    sums = (rows.where(draw < rate[F.col("lang")]).select("text", "lang")
-            .mapInArrow(_bundles, "lang string, place int, total bigint")
+    sums = (rows.mapInArrow(_bundles, "lang string, place int, total bigint")
             .groupBy("lang", "place").agg(F.sum("total").alias("total")).collect())  # DIM rows a language
     names = sorted({r["lang"] for r in sums})
     out = np.zeros((len(names), DIM))
@@ -169,22 +191,56 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None)
             .mapInArrow(_predicted(names, prototypes), "doc_id bigint, held_out boolean, lang_pred string, score double"))
 
 
-def in_known_language(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the n-grams of texts, once a chunk."""
+    for c in W.chunks(batches):
+        for _, _, _, hashes, _ in _counted(c):
+            yield pa.RecordBatch.from_pydict({"h": pa.array(W.signed(hashes))})
+            break
+
+
+def _unseen(c: W.Chunk, seen: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """First row, row after the last, profiles, n-grams and how many of them are unseen."""
+    for i, j, count, hashes, vectors in _counted(c):
+        yield i, j, count @ vectors, count.sum(axis=1), count @ (~passes(seen, low_spots(hashes))).astype(np.float32)
+
+
+def _shares(seen):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in W.chunks(batches):
+            lang = c.rows.column(1)
+            for i, j, _, total, unseen in _unseen(c, seen.value):
+                some = total > 0
+                yield pa.RecordBatch.from_pydict({"lang": lang.slice(i, j - i).filter(pa.array(some)),
+                                                  "share": pa.array((unseen[some] / total[some]).astype(np.float64))})
+    return run
+
+
+def in_known_language(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language: not ``und``, and
-    with a cosine of ``min_score`` or more to its prototype. All columns stay; so do
-    all rows where no language can be learned."""
+    without too many n-grams that no training text holds. All columns stay; so do
+    all rows where no language can be learned, or no text of the language is held out."""
     names, prototypes = learn(docs)
     if not names:
         return docs
-    held = _held(names, prototypes, min_score)
-    return docs.where(F.col("text").isNotNull()).mapInArrow(held, docs.schema)
-
-
-def _held(names: list[str], prototypes: np.ndarray, min_score: float):
+    trained = _sample(docs, ~held_out(F.col("doc_id")), TRAIN_DOCS).mapInArrow(_grams, "h bigint")
+    seen = docs.sparkSession.sparkContext.broadcast(hash_filter(trained, F.col("h")))
+    most = np.ones(len(names))
+    held = _sample(docs, held_out(F.col("doc_id")), HELD_DOCS)
+    if held is not None:
+        for r in held.mapInArrow(_shares(seen), "lang string, share double").groupBy("lang").agg(
+                F.percentile("share", F.lit(0.95)).alias("share")).collect():  # one row a language
+            if r["lang"] in names:
+                most[names.index(r["lang"])] = min(1.0, UNSEEN + r["share"])
+    return docs.where(F.col("text").isNotNull()).mapInArrow(_held(prototypes, seen, most), docs.schema)
+
+
+def _held(prototypes: np.ndarray, seen, most: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in W.chunks(batches):
             keep = np.zeros(len(c), bool)
-            for i, j, p in _profiles(c):
-                keep[i:j] = (p != 0).any(axis=1) & ((_unit(p) @ prototypes.T).max(axis=1) >= min_score)
+            for i, j, p, total, unseen in _unseen(c, seen.value):
+                bound = most[(_unit(p) @ prototypes.T).argmax(axis=1)]
+                keep[i:j] = (total > 0) & (unseen <= bound * total + SLACK)
             yield c.rows.filter(pa.array(keep))
     return run

@@ -256,6 +256,25 @@ def test_language_id(docs, rows, none):
     assert {r.lang_pred for r in language_id.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_known_language_at_every_length(spark):
+    """Foreign and garbled texts go, clean ones of one word and more stay."""
+    import random
+
+    rng = random.Random(11)
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    words = sorted({w for r in given.where("lang = 'en'").collect() for w in r.text.split()[:60] if w.isalpha()})
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(3, 9)))
+    latin, cyrillic = "abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя"
+    odd = [(100_000 + 1000 * k + i, " ".join(make() for _ in range(n)), None) for k, (n, make) in enumerate([
+        (1, lambda: rng.choice(words)), (2, lambda: rng.choice(words)), (300, lambda: word(latin)), (300, lambda: word(cyrillic)),
+        (1500, lambda: word(latin)), (3, lambda: word(cyrillic)), (5, lambda: word(latin))]) for i in range(300 if n < 300 else 60)]
+    rows = given.unionByName(spark.createDataFrame(odd, given.schema))
+    kept = Counter(r.doc_id // 1000 for r in language_id.in_known_language(rows).select("doc_id").collect())
+    assert kept[0] == given.count()
+    assert kept[100] >= 297 and kept[101] >= 299
+    assert kept[102] + kept[103] + kept[104] + kept[105] == 0 and kept[106] <= 15
+
+
 def test_language_profiles_by_hand():
     """The bundle of a text is the sum of its bound letter vectors."""
     import pyarrow as pa
