@@ -15,6 +15,9 @@ in the library imports this package.
   secret_scan      op8   secrets by trigram index and regex check
   fingerprints     op9   SimHash fingerprints and Hamming search
   quality          op10  line-level CRF quality score
+  vector_codes     op11  product quantisation with anchors-hierarchy trees
+  hard_negatives   op12  hard negatives by multiway trees with distance ranges
+  jaccard_join     op13  3-word shingle sets of similarity 0.9, light and heavy
 
 Helpers: ``words`` (vectorised words and hashes inside tasks), ``tables``
 (intermediate tables in the shared checkpoint folder), ``components``

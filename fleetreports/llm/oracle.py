@@ -1,14 +1,15 @@
 """DuckDB SQL for the queries that SQL can express, over the same tables.
 
 op1: rules as a VALUES list, longest match by a join. op2: exact set similarity
-of whole shingle sets through shared shingles, then a recursive walk. op4 (as
+of whole shingle sets through shared shingles, then a recursive walk (op13
+alike). op11: the rounds written out, in integers. op12: all scores. op4 (as
 template windows), op5, op9 and op10 have no SQL (learned models, SimHash); op3
 orders by a hash that DuckDB lacks. They are tested against brute force.
 """
 
 from __future__ import annotations
 
-from fleetreports.llm import mixing, secret_scan, substring_dedup, url_rules
+from fleetreports.llm import hard_negatives, mixing, secret_scan, substring_dedup, url_rules, vector_codes
 
 
 def _text(x: str) -> str:
@@ -40,7 +41,16 @@ FROM judged LEFT JOIN (SELECT * FROM fits WHERE rank = 1) USING (rid)"""
 
 
 def near_dedup_sql() -> str:
-    return """
+    return _linked_sql(5, 75).replace(", component_id FROM sets", ", component_id, doc_id = component_id AS kept FROM sets")
+
+
+def jaccard_join_sql() -> str:
+    return _linked_sql(3, 90)
+
+
+def _linked_sql(n: int, percent: int) -> str:
+    """Components of documents whose sets of n-word shingles are this similar."""
+    sql = """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
          'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0b\\f\\r]+'), lambda x: x <> '') AS words FROM documents
@@ -59,7 +69,9 @@ walk(doc_id, seen) AS (
   UNION SELECT walk.doc_id, links.b FROM walk JOIN links ON walk.seen = links.a
 ),
 least AS (SELECT doc_id, min(seen) AS component_id FROM walk GROUP BY 1)
-SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)"""
+SELECT doc_id, len(s) AS n_shingles, component_id FROM sets JOIN least USING (doc_id)"""
+    return (sql.replace("len(words) - 4", f"len(words) - {n - 1}").replace("words[i:i + 4]", f"words[i:i + {n - 1}]")
+            .replace(">= 75 *", f">= {percent} *"))
 
 
 def mixing_sql() -> str:
@@ -138,6 +150,73 @@ spans AS (SELECT doc_id, {', '.join(spans)} FROM found)
 SELECT doc_id, {counts}, sha256({joined(base)}) AS base_sha256, {joined(every)} AS spans FROM spans"""
 
 
+def vector_codes_sql() -> str:
+    """All parts against all entries in every round."""
+    parts, scale = vector_codes.PARTS, vector_codes.SCALE
+    steps = [f"""
+kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+cut AS (
+  SELECT vec_id, label, part, v[part * (len(v) // {parts}) + 1:(part + 1) * (len(v) // {parts})] AS p
+  FROM kept, unnest(range(0, {parts})) t(part)
+),
+book0 AS (
+  SELECT part, entry, p AS c
+  FROM (SELECT part, p, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM cut) WHERE entry < {vector_codes.ENTRIES}
+)"""]
+    for k in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""
+near{k} AS (
+  SELECT vec_id, any_value(label) AS label, part, any_value(p) AS p,
+         min(list_sum(list_transform(list_zip(p, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 256 + entry) AS best
+  FROM cut JOIN book{k} USING (part) GROUP BY vec_id, part
+)""")
+        if k < vector_codes.ROUNDS:
+            steps.append(f"""
+sum{k} AS (
+  SELECT part, entry, i, sum(x)::BIGINT AS s, count(*) AS n
+  FROM (SELECT part, best % 256 AS entry, unnest(p) AS x, unnest(range(1, len(p) + 1)) AS i FROM near{k}) GROUP BY ALL
+),
+new{k} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM sum{k} GROUP BY part, entry),
+book{k + 1} AS (SELECT part, entry, coalesce(new{k}.c, book{k}.c) AS c FROM book{k} LEFT JOIN new{k} USING (part, entry))""")
+    last = vector_codes.ROUNDS
+    return "WITH" + ",".join(steps) + f""",
+coded AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(lower(printf('%02x', best % 256)), '' ORDER BY part) AS code, sum(best // 256)::BIGINT AS error
+  FROM near{last} GROUP BY vec_id
+),
+sha AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{last})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, sha"""
+
+
+def hard_negatives_sql() -> str:
+    return f"""
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM kept a JOIN kept b ON a.vec_id % {hard_negatives.EVERY} = 0 AND a.vec_id <> b.vec_id
+),
+positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same)
+  WHERE place <= {hard_negatives.POSITIVES}
+),
+negatives AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+   AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= {hard_negatives.NEGATIVES}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_rules": url_rules_sql(),
@@ -145,4 +224,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_mixing": mixing_sql(),
         "op7_substring_dedup": substring_dedup_sql(),
         "op8_secret_scan": secret_scan_sql(),
+        "op11_vector_codes": vector_codes_sql(),
+        "op12_hard_negatives": hard_negatives_sql(),
+        "op13_jaccard_join": jaccard_join_sql(),
     }

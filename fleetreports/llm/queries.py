@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetreports.llm import (
     decontaminate,
     fingerprints,
+    hard_negatives,
+    jaccard_join,
     language_id,
     mixing,
     near_dedup,
@@ -19,6 +21,7 @@ from fleetreports.llm import (
     sharding,
     substring_dedup,
     url_rules,
+    vector_codes,
 )
 
 
@@ -66,6 +69,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_rules": op1_url_rules,
@@ -78,6 +93,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": op8_secret_scan,
         "op9_fingerprints": op9_fingerprints,
         "op10_quality": op10_quality,
+        "op11_vector_codes": op11_vector_codes,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_jaccard_join": op13_jaccard_join,
     }
 
 
