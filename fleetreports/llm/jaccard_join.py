@@ -7,7 +7,7 @@ have at least o(a, b) = ceil(9 * (a + b) / 19) shingles in common.
 
 1. One pass over the texts gives every document the size and a 128-bit hash of
    its set, and the set's prefix: the p = n - ceil(0.9 n) + l shingles of least
-   hash, l = n // 10 + 1. Equal sets are one class from here on. A linked pair
+   hash, l = n // 20 + 1. Equal sets are one class from here on. A linked pair
    has at least the smaller l of the two in common within the prefixes.
 2. *Light sets* (up to x shingles) list their subsets of exactly o(a, b)
    shingles for every pair of sizes (a, b) that can be linked and occurs. Sets
@@ -19,7 +19,8 @@ have at least o(a, b) = ceil(9 * (a + b) / 19) shingles in common.
    in lists of several sets is out. First every list is compared with one
    member, whose shingles are the most common; pairs with enough common prefix
    shingles are confirmed on the full sets. Sets that are then still in lists
-   with several components scan lists of their full sets, rarest shingle first:
+   with several components scan lists of their full sets, rarest shingle first
+   (rarity in classes, read from bitmaps of the counted shingles):
    the larger set of a linked pair has a common shingle among its first
    a - ceil(0.9 a) + 1, the smaller among its first b - ceil(18 b / 19) + 1, and
    from there on both have o(a, b) shingles left that are not theirs alone. So a
@@ -47,16 +48,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetreports.llm import words as W
-from fleetreports.llm.bitmaps import id_filter, passes, spot_of
+from fleetreports.llm.bitmaps import hash_filter, id_filter, low_spots, passes, spot_of
 from fleetreports.llm.components import components
-from fleetreports.llm.tables import dropped, stored
+from fleetreports.llm.tables import dropped, released, stored
 
 SHINGLE = 3
 LEAST = 9  # sets of fewer shingles are linked with equal sets only
 LIGHT_MOST = 32  # the boundary is looked for up to this size
-STAR_ROUNDS = 2
+MORE = 20  # l = n // MORE + 1
+LEVELS = (2, 4, 16, 64, 256, 1024)  # sets that hold a shingle: classes of rarity
 
 _SIG = "doc_id bigint, n_shingles bigint, set_hi bigint, set_lo bigint, prefix array<bigint>, small array<bigint>"
+_SETS = "rep bigint, set_hi bigint, shingles array<bigint>"
 _SET = ["set_hi", "set_lo", "n_shingles"]
 
 
@@ -88,7 +91,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hi[full] = np.add.reduceat(W.mix(sets), off[:-1][full])
             lo[full] = np.add.reduceat(W.mix(sets ^ np.uint64(0xA5A5A5A55A5A5A5A)), off[:-1][full])
         place = np.arange(len(sets)) - np.repeat(off[:-1], size)  # sets are sorted by hash
-        first = np.where(size >= LEAST, size - (9 * size + 9) // 10 + size // 10 + 1, 0)
+        first = np.where(size >= LEAST, size - (9 * size + 9) // 10 + size // MORE + 1, 0)
         few = np.where(size <= LIGHT_MOST, np.where(size >= LEAST, size, 0), 0)
         ends = lambda x: np.concatenate(([0], np.cumsum(x)))
         yield pa.RecordBatch.from_arrays(
@@ -98,6 +101,24 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "n_shingles", "set_hi", "set_lo", "prefix", "small"])
 
 
+def _shared(bitmap, bits: int):
+    """Representatives with the prefix shingles that pass the bitmap, if they are
+    enough for a link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = np.asarray(b.column(2))
+            tokens = np.asarray(b.column(3).flatten())
+            of = np.repeat(np.arange(len(n)), np.asarray(b.column(3).value_lengths()))
+            met = passes(bitmap.value, low_spots(tokens.view(np.uint64), bits))
+            count = np.bincount(of[met], minlength=len(n))
+            keep = count >= (9 * n + 9) // 10 // MORE + 1
+            met &= keep[of]
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(i).filter(pa.array(keep)) for i in range(3)), W.lists(tokens[met], np.concatenate(([0], np.cumsum(count[keep]))))],
+                names=["rep", "set_hi", "n", "tokens"])
+    return run
+
+
 def _sets(bitmap):
     """Full sets of the rows whose id passes the bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,13 +184,29 @@ def _light_links(reps: DataFrame, most: int, sizes: frozenset[int]) -> DataFrame
 # ------------------------------------------------------------------ heavy sets
 
 
+def _only(bitmap, bits: int):
+    """Sets whose rep passes the bitmap."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(passes(bitmap.value, np.asarray(b.column(3))))).select([0, 1, 2])
+    return run
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, a_hi, b, b_hi) that are links by their full sets; a table."""
-    left = sets.select(F.col("rep").alias("a"), F.col("set_hi").alias("a_hi"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("rep").alias("b"), F.col("set_hi").alias("b_hi"), F.col("shingles").alias("sb"))
+    """The pairs (a, a_hi, b, b_hi) that are links by their full sets; a table.
+    Only sets that are in a pair are shuffled."""
+    pairs = stored(pairs, "pairs")
+    def of(side: str) -> DataFrame:
+        ids = pairs.select(side).distinct()
+        bits = _bits(ids)
+        bitmap = pairs.sparkSession.sparkContext.broadcast(id_filter(ids, F.col(side), bits))
+        some = sets.withColumn("spot", spot_of(F.col("rep"), bits)).mapInArrow(_only(bitmap, bits), _SETS)
+        return some.toDF(side, f"{side}_hi", f"s{side}")
     both = F.size(F.array_intersect("sa", "sb"))
     linked = 100 * both >= 90 * (F.size("sa") + F.size("sb") - both)
-    return stored(pairs.join(left, ["a", "a_hi"]).join(right, ["b", "b_hi"]).where(linked).select("a", "b").distinct(), "links")
+    links = stored(pairs.join(of("a"), ["a", "a_hi"]).join(of("b"), ["b", "b_hi"]).where(linked).select("a", "b").distinct(), "links")
+    dropped(pairs)
+    return links
 
 
 def _star_pairs(lists: DataFrame) -> DataFrame:
@@ -183,25 +220,52 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
     return (lists.join(mids, "token").where("label <> label_b and 10 * least(n, n_b) >= 9 * greatest(n, n_b)")
             .groupBy(F.col("rep").alias("a"), F.col("set_hi").alias("a_hi"), "b", "b_hi")
             .agg(F.count("*").alias("met"), F.min(F.least("n", "n_b")).alias("n"))
-            .where("met >= floor(n / 10) + 1").select("a", "a_hi", "b", "b_hi"))
+            .where(f"met >= floor(n / {MORE}) + 1").select("a", "a_hi", "b", "b_hi"))
+
+
+def _ranked(bitmaps):
+    """(rep, set_hi, n, first, left, shingle): each set's rarest shingles, without
+    those that are its alone, as many as a larger set scans; ``first`` tells how many
+    of them a smaller set is listed under, ``left`` what the set has from there on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
+                n = np.asarray(some.column(2).value_lengths()).astype(np.int64)
+                flat = np.asarray(some.column(2).flatten())
+                of = np.repeat(np.arange(len(n)), n)
+                level = np.zeros(len(flat), np.int64)
+                for held in bitmaps.value:
+                    level += passes(held, low_spots(flat.view(np.uint64), (8 * len(held)).bit_length() - 1))
+                order = np.lexsort((flat, level, of))
+                alone = np.bincount(of[level == 0], minlength=len(n))
+                place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n) - alone[of]  # (order keeps the documents' runs)
+                larger = n - (9 * n + 9) // 10 + 1 - alone
+                smaller = n + (-18 * n // 19) + 1 - alone
+                keep = (place >= 0) & (place < larger[of])
+                of, place = of[keep], place[keep]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0).take(pa.array(of)), some.column(1).take(pa.array(of)), pa.array(n[of]), pa.array(place < smaller[of]),
+                     pa.array((n - alone)[of] - place), pa.array(flat[order][keep])],
+                    names=["rep", "set_hi", "n", "listed", "left", "shingle"])
+    return run
 
 
 def _scan_pairs(still: DataFrame, sets: DataFrame, most: int) -> DataFrame:
     """Pairs of ``still`` (rep, set_hi, label) in different components, one of
     them heavy, that meet in lists of their full sets; step 3 of the module."""
-    flat = (sets.join(still, ["rep", "set_hi"])
-            .select("rep", "set_hi", "label", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")))
-    df = flat.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    alone = F.col("n") - F.size("p")  # shingles of one set only come first and meet nothing
-    larger, smaller = F.expr("n - ceil(0.9 * n) + 1"), F.expr("n - ceil(18 * n / 19) + 1")
-    ranked = (flat.join(df, "shingle").groupBy("rep", "set_hi", "label", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("p"))  # one document's shingles
-              .select("rep", "set_hi", "label", "n", (smaller - alone).alias("first"), F.size("p").alias("left"),
-                      F.posexplode(F.slice("p.shingle", F.lit(1), F.greatest(F.lit(0), (larger - alone).cast("int")))).alias("at", "shingle"))
-              .withColumn("left", F.expr("left - at")))
+    sc = sets.sparkSession.sparkContext
+    df = stored(sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "lists")
+    levels = []
+    for least in LEVELS:
+        some = df.where(F.col("df") >= least)
+        levels.append(hash_filter(some, F.col("shingle"), _bits(some, 27)))
+    dropped(df)
+    ranked = sets.mapInArrow(_ranked(sc.broadcast(levels)), "rep bigint, set_hi bigint, n bigint, listed boolean, left bigint, shingle bigint")
+    ranked = stored(ranked.join(still, ["rep", "set_hi"]), "scanned")
     several = ranked.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("shingle")
     ranked = ranked.join(several, "shingle")
-    small = ranked.where("at < first").select(
+    small = ranked.where("listed").select(
         "shingle", F.col("rep").alias("b"), F.col("set_hi").alias("b_hi"), F.col("n").alias("n_b"),
         F.col("label").alias("label_b"), F.col("left").alias("left_b"))
     return (ranked.join(small, "shingle")
@@ -226,20 +290,22 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     component_id. See the module for the method and the defined cases."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sig = stored(docs.mapInArrow(_signatures, _SIG), "signatures")
-    rows = sig.select("doc_id", *_SET)
-    classes = stored(rows.where("n_shingles > 0 and doc_id is not null").groupBy(*_SET).agg(F.min("doc_id").alias("rep")), "classes")
-    reps = (sig.where(f"n_shingles >= {LEAST}")
-            .join(classes.where(f"n_shingles >= {LEAST}").select(F.col("rep").alias("doc_id"), *_SET), ["doc_id", *_SET])
-            .groupBy(F.col("doc_id").alias("rep"), "set_hi", F.col("n_shingles").alias("n"))  # a row that comes again counts once
-            .agg(F.first("prefix").alias("prefix"), F.first("small").alias("small")))
-    reps = stored(reps, "reps")
+    classes = stored(sig.where("n_shingles > 0 and doc_id is not null").groupBy(*_SET)
+                     .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("small").alias("small")), "classes")
+    rows = stored(sig.select("doc_id", *_SET), "rows")
+    dropped(sig)
+    reps = classes.where(f"n_shingles >= {LEAST}").withColumnRenamed("n_shingles", "n")
+    classes = classes.select("rep", *_SET)
 
     # Inverted lists of the prefixes, without the entries that stand alone.
-    flat = reps.select("rep", "set_hi", "n", F.explode("prefix").alias("token"))
-    df = flat.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    posted = stored(flat.join(df, "token").groupBy("rep", "set_hi", "n")
-                    .agg(F.collect_list("token").alias("tokens"), F.sum("df").alias("common"))
-                    .where("size(tokens) >= floor(ceil(0.9 * n) / 10) + 1"), "postings")
+    sc = docs.sparkSession.sparkContext
+    df = stored(reps.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "lists")
+    bits = _bits(df)
+    some = reps.select("rep", "set_hi", "n", "prefix").mapInArrow(
+        _shared(sc.broadcast(hash_filter(df, F.col("token"), bits)), bits), "rep bigint, set_hi bigint, n bigint, tokens array<bigint>")
+    posted = stored(some.select("rep", "set_hi", "n", F.explode("tokens").alias("token")).join(df, "token").groupBy("rep", "set_hi", "n")
+                    .agg(F.collect_list("token").alias("tokens"), F.sum("df").alias("common")).where(_enough("size(tokens)")), "postings")
+    dropped(df)
     most, occur = _boundary(posted, reps.groupBy("n").agg(F.count("*").alias("sets")))
 
     links = [stored(_light_links(reps, most, occur), "links")]
@@ -248,37 +314,51 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
                         .groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.collect_set("rep").alias("reps"))
                         .where("low < high").select(F.col("doc_id").alias("a"), F.explode("reps").alias("b")), "links"))
     # A class whose least id is such a doc_id too is that node itself.
-    dropped(reps)
 
     heavy = posted.where(f"10 * n >= 9 * {most + 1}")
-    bits = max(20, min(29, int(heavy.count() * 16).bit_length()))
-    bitmap = docs.sparkSession.sparkContext.broadcast(id_filter(heavy, F.col("rep"), bits))
-    sets = stored(docs.where("doc_id is not null").select("doc_id", "text", spot_of(F.col("doc_id"), bits).alias("spot"))
-                  .mapInArrow(_sets(bitmap), "rep bigint, set_hi bigint, shingles array<bigint>")
-                  .dropDuplicates(["rep", "set_hi"]), "sets")
-
-    label = None
-    for step in range(STAR_ROUNDS + 1):
-        old, label = label, components(_union(links))
+    bits = _bits(heavy)
+    bitmap = sc.broadcast(id_filter(heavy, F.col("rep"), bits))
+    found = docs.where("doc_id is not null").select("doc_id", "text", spot_of(F.col("doc_id"), bits).alias("spot")).mapInArrow(_sets(bitmap), _SETS)
+    sets = stored(found, "sets")
+    if sets.select("rep", "set_hi").distinct().count() < sets.count():  # rows that come again
+        old, sets = sets, stored(sets.dropDuplicates(["rep", "set_hi"]), "sets")
         dropped(old)
+    released(docs.sparkSession)
+
+    def labelled() -> tuple[DataFrame, DataFrame]:
+        label = components(_union(links))
         lists = (heavy.select("rep", "set_hi", "n", "common", F.explode("tokens").alias("token"))
                  .join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep")))
-        if step < STAR_ROUNDS:
-            pairs = _star_pairs(lists)
-        else:
-            several = lists.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-            still = lists.join(several, "token").groupBy("rep", "set_hi", "label", "n").agg(F.count("*").alias("open"))
-            still = still.where("open >= floor(ceil(0.9 * n) / 10) + 1").select("rep", "set_hi", "label")
-            pairs = _scan_pairs(still, sets, most)
-        links.append(_confirmed(pairs, sets))
-    old, label = label, components(_union(links))
-    dropped(old, posted, sets, *links)
+        return label, lists
+
+    label, lists = labelled()
+    links.append(_confirmed(_star_pairs(lists), sets))
+    dropped(label)
+    released(docs.sparkSession)
+    label, lists = labelled()
+    several = lists.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
+    still = lists.join(several, "token").groupBy("rep", "set_hi", "label", "n").agg(F.count("*").alias("open"))
+    links.append(_confirmed(_scan_pairs(still.where(_enough("open")).select("rep", "set_hi", "label"), sets, most), sets))
+    dropped(label, posted, sets)
+    label = components(_union(links))
+    dropped(*links)
 
     named = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select(*_SET, F.coalesce("label", "rep").alias("component"))
     return (rows.join(named, _SET, "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
 
 
+def _enough(count: str) -> str:
+    """As many prefix shingles as a set of n has in common with any linked set."""
+    return f"{count} >= floor(ceil(0.9 * n) / {MORE}) + 1"
+
+
+def _bits(entries: DataFrame, most: int = 29) -> int:
+    """Size of a bitmap for so many entries: 32 to 64 bits each, up to 64 MB in
+    all; beyond that more pass it than need to, and the exact steps see them."""
+    return max(20, min(most, (32 * entries.count()).bit_length()))
+
+
 def _union(links: list[DataFrame]) -> DataFrame:
     out = links[0]
     for x in links[1:]:

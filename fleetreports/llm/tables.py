@@ -10,6 +10,7 @@ when the Python process ends, or earlier by ``drop_all``.
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 from py4j.protocol import Py4JError
@@ -45,6 +46,13 @@ def dropped(*tables: DataFrame | None) -> None:
             _delete(_open.pop(path), path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of finished steps: it does so
+    when the driver collects its garbage, which it would do late."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_all() -> None:
     """Remove every table that ``stored`` made and that still exists."""
     for path in list(_open):
