@@ -7,7 +7,7 @@ have at least o(a, b) = ceil(9 * (a + b) / 19) shingles in common.
 
 1. One pass over the texts gives every document the size and a 128-bit hash of
    its set, and the set's prefix: the p = n - ceil(0.9 n) + l shingles of least
-   hash, l = n // 20 + 1. Equal sets are one class from here on. A linked pair
+   hash, l = n // 12 + 1. Equal sets are one class from here on. A linked pair
    has at least the smaller l of the two in common within the prefixes.
 2. *Light sets* (up to x shingles) list their subsets of exactly o(a, b)
    shingles for every pair of sizes (a, b) that can be linked and occurs. Sets
@@ -55,7 +55,8 @@ from fleetreports.llm.tables import dropped, released, stored
 SHINGLE = 3
 LEAST = 9  # sets of fewer shingles are linked with equal sets only
 LIGHT_MOST = 32  # the boundary is looked for up to this size
-MORE = 20  # l = n // MORE + 1
+MORE = 12  # l = n // MORE + 1
+PEELS = 2
 LEVELS = (2, 4, 16, 64, 256, 1024)  # sets that hold a shingle: classes of rarity
 
 _SIG = "doc_id bigint, n_shingles bigint, set_hi bigint, set_lo bigint, prefix array<bigint>, small array<bigint>"
@@ -184,7 +185,14 @@ def _light_links(reps: DataFrame, most: int, sizes: frozenset[int]) -> DataFrame
 # ------------------------------------------------------------------ heavy sets
 
 
-def _only(bitmap, bits: int):
+def _of(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The sets of these reps (the one column), and a few more."""
+    bits = _bits(ids)
+    bitmap = sets.sparkSession.sparkContext.broadcast(id_filter(ids, F.col(ids.columns[0]), bits))
+    return sets.withColumn("spot", spot_of(F.col("rep"), bits)).mapInArrow(_only(bitmap), _SETS)
+
+
+def _only(bitmap):
     """Sets whose rep passes the bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -196,15 +204,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, a_hi, b, b_hi) that are links by their full sets; a table.
     Only sets that are in a pair are shuffled."""
     pairs = stored(pairs, "pairs")
-    def of(side: str) -> DataFrame:
-        ids = pairs.select(side).distinct()
-        bits = _bits(ids)
-        bitmap = pairs.sparkSession.sparkContext.broadcast(id_filter(ids, F.col(side), bits))
-        some = sets.withColumn("spot", spot_of(F.col("rep"), bits)).mapInArrow(_only(bitmap, bits), _SETS)
-        return some.toDF(side, f"{side}_hi", f"s{side}")
+    left, right = (_of(sets, pairs.select(side).distinct()).toDF(side, f"{side}_hi", f"s{side}") for side in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
     linked = 100 * both >= 90 * (F.size("sa") + F.size("sb") - both)
-    links = stored(pairs.join(of("a"), ["a", "a_hi"]).join(of("b"), ["b", "b_hi"]).where(linked).select("a", "b").distinct(), "links")
+    links = stored(pairs.join(left, ["a", "a_hi"]).join(right, ["b", "b_hi"]).where(linked).select("a", "b").distinct(), "links")
     dropped(pairs)
     return links
 
@@ -255,6 +258,7 @@ def _scan_pairs(still: DataFrame, sets: DataFrame, most: int) -> DataFrame:
     """Pairs of ``still`` (rep, set_hi, label) in different components, one of
     them heavy, that meet in lists of their full sets; step 3 of the module."""
     sc = sets.sparkSession.sparkContext
+    sets = _of(sets, still.select("rep"))
     df = stored(sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "lists")
     levels = []
     for least in LEVELS:
@@ -336,9 +340,12 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     dropped(label)
     released(docs.sparkSession)
     label, lists = labelled()
-    several = lists.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    still = lists.join(several, "token").groupBy("rep", "set_hi", "label", "n").agg(F.count("*").alias("open"))
-    links.append(_confirmed(_scan_pairs(still.where(_enough("open")).select("rep", "set_hi", "label"), sets, most), sets))
+    for _ in range(PEELS):  # without those that are out, others have too few
+        several = lists.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
+        lists = lists.join(several, "token")
+        still = stored(lists.groupBy("rep", "set_hi", "label", "n").agg(F.count("*").alias("open")).where(_enough("open")).drop("open"), "still")
+        lists = lists.join(still.select("rep", "set_hi"), ["rep", "set_hi"], "left_semi")
+    links.append(_confirmed(_scan_pairs(still.select("rep", "set_hi", "label"), sets, most), sets))
     dropped(label, posted, sets)
     label = components(_union(links))
     dropped(*links)
