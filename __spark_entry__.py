@@ -18,6 +18,7 @@ from fleetreports.functions import render
 from fleetreports.plans import queries as q
 from fleetreports.sources.events import event_reports
 from fleetreports.sources.feed import parse_messages, to_messages
+from fleetreports.streaming import replay
 
 # The training-data operators are an optional part: they are registered where
 # the subpackage (and the pipeline module) is there. Any other import error
@@ -156,6 +157,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feed_reports": _on_events(_feed_reports),
         "feed_lineage": _feed_lineage,
         "feed_quarantine": _feed_quarantine,
+        "stream_avg_delay": _on_events(partial(replay.average_delay, minutes=1)),
+        "stream_top5_window": _on_events(partial(replay.top_delayed_window, minutes=3)),
+        "stream_trains": _on_events(replay.trains_last_stop),
+        "stream_gap": _on_events(lambda reports: replay.report_gap(reports, n=10).drop("seq")),
         "render_reports": _on_events(_rendered(q.passthrough, "report")),
         "render_north": _on_events(_rendered(q.north_reports, "report")),
         "render_trains": _on_events(_rendered(q.trains_last_stop, "train")),
@@ -272,6 +277,11 @@ FROM (
 )"""
 
 
+def _streamed(sql: str) -> str:
+    """The same query over the feed, whose messages carry epoch milliseconds."""
+    return sql.replace("CAST(ts AS TIMESTAMP) AS lastupdate", "make_timestamp(epoch_us(ts) // 1000 * 1000) AS lastupdate")
+
+
 # Text renderings (Java Date.toString text in UTC; doubles via VARCHAR).
 _DATE_TEXT = "strftime(lastupdate, '%a %b %d %H:%M:%S UTC %Y')"
 
@@ -355,6 +365,10 @@ def oracle_sql() -> dict[str, str]:
         "feed_reports": _FEED,
         "feed_lineage": _LINEAGE,
         "feed_quarantine": _QUARANTINE,
+        "stream_avg_delay": _streamed(_avg_sql(1)),
+        "stream_top5_window": _streamed(_top5_window_sql(3)),
+        "stream_trains": _streamed(_trains_sql()),
+        "stream_gap": f"SELECT id, lastupdate, avg_gap_s FROM ({_streamed(_gap_sql(10))})",
         "render_reports": _wrap(active_sql, _REPORT_LINE),
         "render_north": _wrap(north_sql, _REPORT_LINE),
         "render_trains": _wrap(_trains_sql(), _TRAIN_LINE),

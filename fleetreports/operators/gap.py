@@ -194,12 +194,12 @@ def avg_report_gap(
     if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    hot = materialize(
-        base.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_key_rows).select(key),
-        "hot-units")
-    n_hot = hot.count()
-    if n_hot == 0:
+    # One pass says whether there is a hot unit at all; a table is written only then.
+    hot = base.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_key_rows).select(key)
+    if hot.isEmpty():
         return _gap_window(base, n, key)
+    hot = materialize(hot, "hot-units")
+    n_hot = hot.count()
     hot_side = F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST else hot
     cold = _gap_window(base.join(hot_side, key, "left_anti"), n, key)
     heavy = _gap_distributed(materialize(base.join(hot_side, key, "left_semi"), "hot-rows"), n, key, num_partitions)

@@ -32,6 +32,7 @@ from fleetreports.sources.feed import (
     write_report_tables,
 )
 from fleetreports.streaming import sinks
+from fleetreports.streaming.clock_windows import start_clock_windows
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -132,7 +133,7 @@ def start_stream_job(spark: SparkSession, spec: registry.QuerySpec, args: argpar
     params = registry.params_for(spec, minutes=args.minutes, n=args.n, strategy=args.gap_strategy)
     if spec.output == "windowed":
         sink = sinks.text_batch_sink(args.output, spec.render)
-        started.append(sinks.start_top_delayed_window_live(reports, sink, name, checkpoint=ckpt, **params))
+        started.append(start_clock_windows(reports, sink, name, checkpoint=ckpt, **params))
         return started
     if spec.name == "average":
         def start(df, mode):

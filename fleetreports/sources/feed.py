@@ -35,6 +35,10 @@ REASON_MALFORMED = "malformed_json"
 REASON_EMPTY = "empty_message"
 REASON_STAMP = "stamp_out_of_range"
 
+# Spark's file source leaves out files older than this, counted from the newest;
+# its own default is a week, which would lose what a collector hands in late.
+MAX_FILE_AGE = "365d"
+
 
 @dataclass(frozen=True)
 class Ingested:
@@ -54,11 +58,13 @@ def read_feed_stream(
     path: str,
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
     """Streaming read of a landing folder. ``max_files_per_trigger`` /
     ``max_bytes_per_trigger`` bound a micro-batch (the back-pressure role of
-    the collector's bounded queue)."""
-    reader = spark.readStream.format("text")
+    the collector's bounded queue). A file stamped more than ``max_file_age``
+    before the newest one is not read by Spark's source."""
+    reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if max_bytes_per_trigger:

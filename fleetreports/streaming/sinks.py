@@ -116,7 +116,10 @@ def start_top_delayed_window_live(reports: DataFrame, sink: Callable[[DataFrame,
                                   checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Windowed top-N over arrival time: every message belongs to the window of
     its arrival stamp, and a window is ranked once a later arrival has closed
-    it. How many micro-batches a window comes in makes no difference."""
+    it. How many micro-batches a window comes in makes no difference. A file that is
+    read after a later one has closed its window is dropped by the watermark, and the
+    last window waits for an arrival: ``clock_windows`` (the job's form) has neither
+    fault."""
     latest, mode = sq.window_latest_stream(reports, minutes, arrival=True)
     trigger = trigger or {"processingTime": FILE_ROLL_INTERVAL}
 
