@@ -116,6 +116,24 @@ def _feed_reports(reports: DataFrame) -> DataFrame:
     return parse_messages(to_messages(_bracketed(reports))).reports.drop("seq")
 
 
+def _delivered_again(reports: DataFrame) -> DataFrame:
+    """All reports, and every third once more under another place in the feed."""
+    from pyspark.sql import functions as F
+
+    return reports.unionByName(reports.where("seq % 3 = 0").withColumn("seq", F.col("seq") + F.lit(1_000_000_000)))
+
+
+def _stream_distinct(reports: DataFrame) -> DataFrame:
+    got = replay.repeats_dropped(_delivered_again(reports))
+    return got.select("id", "delay", "laststopid", "lastupdate")
+
+
+def _distinct_reports(reports: DataFrame) -> DataFrame:
+    from fleetreports.operators import without_repeats
+
+    return without_repeats(_delivered_again(reports))
+
+
 def _turn_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as feed messages: JSON with and without ``rsvp_id``, and
     their bare texts, which are no JSON."""
@@ -160,6 +178,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_avg_delay": _on_events(partial(replay.average_delay, minutes=1)),
         "stream_top5_window": _on_events(partial(replay.top_delayed_window, minutes=3)),
         "stream_trains": _on_events(replay.trains_last_stop),
+        "distinct_reports": _on_events(_distinct_reports),
+        "stream_distinct": _on_events(_stream_distinct),
         "stream_gap": _on_events(lambda reports: replay.report_gap(reports, n=10).drop("seq")),
         "render_reports": _on_events(_rendered(q.passthrough, "report")),
         "render_north": _on_events(_rendered(q.north_reports, "report")),
@@ -368,6 +388,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_avg_delay": _streamed(_avg_sql(1)),
         "stream_top5_window": _streamed(_top5_window_sql(3)),
         "stream_trains": _streamed(_trains_sql()),
+        "distinct_reports": _ACTIVE + f"SELECT {_REPORT_COLS.replace(', seq', '')}, min(seq) AS seq FROM reports GROUP BY ALL",
+        "stream_distinct": _streamed(_ACTIVE + "SELECT id, delay, laststopid, lastupdate FROM reports"),
         "stream_gap": f"SELECT id, lastupdate, avg_gap_s FROM ({_streamed(_gap_sql(10))})",
         "render_reports": _wrap(active_sql, _REPORT_LINE),
         "render_north": _wrap(north_sql, _REPORT_LINE),

@@ -9,6 +9,7 @@ from fleetreports.functions.coerce import (
     instant_to_ntz,
     millis_to_ntz,
     ntz_to_instant,
+    ntz_to_micros,
     ntz_to_millis,
 )
 from fleetreports.functions.lineage import payload_hash, rsvp_id
@@ -24,6 +25,7 @@ __all__ = [
     "instant_to_ntz",
     "millis_to_ntz",
     "ntz_to_instant",
+    "ntz_to_micros",
     "ntz_to_millis",
     "payload_hash",
     "render",

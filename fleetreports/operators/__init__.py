@@ -13,6 +13,7 @@ from fleetreports.operators.filters import (
     north,
     trains,
 )
+from fleetreports.operators.distinct import without_repeats
 from fleetreports.operators.gap import avg_report_gap, avg_report_gap_window, positions, without_stamp
 from fleetreports.operators.latest import latest_per_key
 from fleetreports.operators.topn import delay_rank_order, top_n, top_n_per_group
@@ -36,5 +37,6 @@ __all__ = [
     "top_n_per_group",
     "trains",
     "tumbling",
+    "without_repeats",
     "without_stamp",
 ]

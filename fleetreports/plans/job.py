@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 from fleetreports.functions.render import render
-from fleetreports.operators import active, without_stamp
+from fleetreports.operators import active, without_repeats, without_stamp
 from fleetreports.plans import registry
 from fleetreports.session import build_session, checkpoint_root, stream_checkpoint
 from fleetreports.sources.feed import (
@@ -33,6 +33,7 @@ from fleetreports.sources.feed import (
 )
 from fleetreports.streaming import sinks
 from fleetreports.streaming.clock_windows import start_clock_windows
+from fleetreports.streaming.rolling import start_rolling
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -52,6 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--stage", help="streams: parse the feed once into this parquet table, query from it "
                    "(automatic, under the checkpoint folder, when --quarantine is given)")
     p.add_argument("--batch", action="store_true")
+    p.add_argument("--distinct", action="store_true", help="count a message that was delivered again only once")
     p.add_argument("--once", action="store_true")
     p.add_argument("--minutes", type=float)
     p.add_argument("--n", type=int)
@@ -82,6 +84,8 @@ def run_batch_job(spark: SparkSession, spec: registry.QuerySpec, args: argparse.
         # with two outputs, parse the JSON once (written to the shared folder)
         got = ingest(spark, args.input, materialize_parse=bool(args.quarantine))
         reports = got.reports
+    if args.distinct:
+        reports = without_repeats(reports)
     result = registry.run_batch(spec.name, reports, minutes=args.minutes, n=args.n, strategy=args.gap_strategy)
     rendered = render(result, spec.render)
     if args.quarantine:
@@ -121,7 +125,7 @@ def start_stream_job(spark: SparkSession, spec: registry.QuerySpec, args: argpar
         got = sinks.read_staged(spark, stage, args.max_files_per_trigger, args.max_bytes_per_trigger)
     else:
         got = parse_messages(raw)
-    reports = got.reports
+    reports = without_repeats(got.reports) if args.distinct else got.reports
     name = f"fleetreports_{spec.name}"
     ckpt = stream_checkpoint(spark, name, args.checkpoint)
     if args.quarantine:
@@ -137,7 +141,7 @@ def start_stream_job(spark: SparkSession, spec: registry.QuerySpec, args: argpar
         return started
     if spec.name == "average":
         def start(df, mode):
-            return sinks.start_text(df, spec.render, args.output, name, ckpt, once)
+            return start_rolling(df, spec.render, args.output, name, ckpt, once)
 
         started.append(sinks.start_average_delay(reports, start, **params))
         return started
@@ -145,7 +149,7 @@ def start_stream_job(spark: SparkSession, spec: registry.QuerySpec, args: argpar
     if spec.output == "snapshot":
         started.append(sinks.start_snapshot(df, mode, args.output, name, spec.render, ckpt, once))
     else:
-        started.append(sinks.start_text(df, spec.render, args.output, name, ckpt, once))
+        started.append(start_rolling(df, spec.render, args.output, name, ckpt, once))
     return started
 
 

@@ -1,5 +1,9 @@
 """Structured Streaming forms of the queries, keyed state and sinks."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from fleetreports.streaming.queries import (
     average_delay_stream,
     north_stream,
@@ -12,6 +16,9 @@ from fleetreports.streaming.queries import (
     window_latest_stream,
 )
 
+# State functions and sinks travel to the executors with their code.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = [
     "average_delay_stream",
     "north_stream",

@@ -35,7 +35,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from fleetreports.defaults import FILE_ROLL_INTERVAL, TOP_N, TOP_WINDOW_MINUTES
-from fleetreports.functions.coerce import instant_to_ntz
+from fleetreports.functions.coerce import instant_to_ntz, ntz_to_micros
 from fleetreports.operators.filters import active, delayed
 from fleetreports.operators.latest import latest_per_key
 from fleetreports.operators.topn import top_n_per_group
@@ -86,7 +86,7 @@ def closed_rows_stream(reports: DataFrame, minutes: float = TOP_WINDOW_MINUTES)
     """Each unit's latest delayed report per arrival window, once the window is over."""
     w = F.window("arrival", duration(minutes))
     rows = delayed(active(reports)).select(
-        "id", "linename", "delay", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', lastupdate)").alias("lastupdate_us"),
+        "id", "linename", "delay", ntz_to_micros(F.col("lastupdate")).alias("lastupdate_us"),
         "seq", F.unix_micros(w["start"]).alias("start_us"), F.unix_micros(w["end"]).alias("end_us"))
     out = rows.groupBy("id").transformWithStateInPandas(
         statefulProcessor=LatestUntilClosed(), outputStructType=CLOSED_DDL, outputMode="append", timeMode="processingTime")
@@ -125,7 +125,7 @@ def append_and_rank(batch: DataFrame, batch_id: int, table: str, n: int = TOP_N)
     """Append a micro-batch of closed rows to the table and rank the windows it
     touched; None if there was no row."""
     spark = batch.sparkSession
-    (batch.withColumn("batch", F.lit(batch_id).cast("bigint")).repartition("start_us")
+    (batch.withColumn("batch", F.lit(batch_id).cast("bigint")).hint("rebalance", "start_us")  # few files a window, large windows split
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("start_us", "batch").parquet(table))
     mine = batch.select("start_us").distinct()
     starts = [r[0] for r in mine.limit(FOLDERS + 1).collect()]

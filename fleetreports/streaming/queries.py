@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from fleetreports.functions.coerce import epoch_ntz, instant_to_ntz, ntz_to_instant, ntz_to_millis
+from fleetreports.functions.coerce import epoch_ntz, instant_to_ntz, ntz_to_instant, ntz_to_micros
 from fleetreports.defaults import AVG_MINUTES, GAP_REPORTS, TOP_N, TOP_WINDOW_MINUTES, WATERMARK_DELAY
 from fleetreports.operators.filters import active, delayed, north
 from fleetreports.operators.latest import latest_per_key
@@ -124,25 +124,38 @@ GAP_OUTPUT_DDL = "id string, seq bigint, lastupdate timestamp_ntz, avg_gap_s dou
 GAP_STATE_DDL = "stamps array<bigint>"
 
 
+# Rows of one unit that leave the state function in one piece.
+GAP_OUTPUT_ROWS = 100_000
+
+
 def _gap_state_function(n: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
     keep = n - 1
 
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # One key may arrive in several Arrow chunks; arrival order within a
-        # micro-batch is lost in the shuffle, so order by (lastupdate, seq).
-        pdf = pd.concat(list(chunks), ignore_index=True).sort_values(["_ms", "lastupdate", "seq"], kind="stable")
+        # One key arrives in Arrow chunks, in no order (the shuffle loses it). Only two
+        # numbers a row are kept of a chunk (16 bytes), each chunk as a sorted run; so a
+        # unit that holds most of a micro-batch takes a small part of its size here.
+        runs = []
+        for chunk in chunks:
+            us, seq = chunk["_us"].to_numpy(dtype=np.int64), chunk["seq"].to_numpy(dtype=np.int64)
+            order = np.lexsort((seq, us))
+            runs.append((us[order], seq[order]))
+        us, seq = (np.concatenate([r[i] for r in runs]) for i in (0, 1))
+        runs.clear()
+        order = np.lexsort((seq, us))
+        us, seq = us[order], seq[order]
+        del order
         prev = np.asarray(state.get[0] if state.exists else [], dtype=np.int64)
-        stamps = np.concatenate([prev, pdf["_ms"].to_numpy(dtype=np.int64)])
-        idx = np.arange(len(prev), len(stamps))
-        lo = np.maximum(idx - keep, 0)
-        k = idx - lo
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gap = np.where(k == 0, 0.0, (stamps[idx] - stamps[lo]) / k / 1000.0)
+        stamps = np.concatenate([prev, us // 1000])
         state.update((stamps[-keep:].tolist() if keep else [],))
-        yield pd.DataFrame(
-            {"id": pdf["id"].to_numpy(), "seq": pdf["seq"].to_numpy(), "lastupdate": pdf["lastupdate"].to_numpy(),
-             "avg_gap_s": gap.astype("float64")}
-        )
+        for at in range(0, len(us), GAP_OUTPUT_ROWS):
+            part = slice(at, at + GAP_OUTPUT_ROWS)
+            idx = np.arange(len(prev) + at, len(prev) + at + len(us[part]))
+            lo = np.maximum(idx - keep, 0)
+            k = idx - lo
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gap = np.where(k == 0, 0.0, (stamps[idx] - stamps[lo]) / k / 1000.0)
+            yield pd.DataFrame({"id": key[0], "seq": seq[part], "lastupdate": us[part].astype("datetime64[us]"), "avg_gap_s": gap.astype("float64")})
 
     return step
 
@@ -151,7 +164,7 @@ def report_gap_stream(reports: DataFrame, n: int = GAP_REPORTS) -> tuple[DataFra
     """After each report: mean seconds between the unit's last ``n`` reports,
     carried across micro-batches in keyed state of ``n - 1`` stamps."""
     base = active(reports).filter(F.col("lastupdate") > epoch_ntz()).select(
-        "id", "seq", "lastupdate", ntz_to_millis(F.col("lastupdate")).alias("_ms")
+        "id", "seq", ntz_to_micros(F.col("lastupdate")).alias("_us")
     )
     out = base.groupBy("id").applyInPandasWithState(
         _gap_state_function(n), GAP_OUTPUT_DDL, GAP_STATE_DDL, "append", GroupStateTimeout.NoTimeout

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetreports.defaults import AVG_MINUTES, GAP_REPORTS, TOP_N, TOP_WINDOW_MINUTES
+from fleetreports.functions.coerce import ntz_to_micros
+from fleetreports.operators.distinct import without_repeats
 from fleetreports.session import checkpoint_root
 from fleetreports.sources.feed import parse_messages, read_feed_stream, to_messages
 from fleetreports.streaming import queries as sq
@@ -36,7 +38,7 @@ def time_slices(reports: DataFrame, slices: int = SLICES) -> list[DataFrame]:
     """The reports in ``slices`` ranges of ``lastupdate``, in order, about equal in
     number. The bounds are approximate quantiles; every report is in one slice (those
     without a stamp in the last)."""
-    at = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', lastupdate)")
+    at = ntz_to_micros(F.col("lastupdate"))
     cuts = reports.agg(F.percentile_approx(at, [k / slices for k in range(1, slices)])).first()[0] if slices > 1 else []
     out, low = [], None
     for high in [*sorted(set(cuts or [])), None]:
@@ -127,3 +129,11 @@ def report_gap(reports: DataFrame, n: int = GAP_REPORTS) -> DataFrame:
         return _started(*sq.report_gap_stream(stream, n), sink, checkpoint, trigger)
 
     return replay(reports, start)
+
+
+def repeats_dropped(reports: DataFrame) -> DataFrame:
+    """``operators.without_repeats`` on the feed of the reports."""
+    def start(stream, sink, checkpoint, trigger):
+        return _started(without_repeats(stream), "append", sink, checkpoint, trigger)
+
+    return replay(reports, start)
