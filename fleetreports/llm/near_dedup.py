@@ -42,6 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from fleetreports.llm import words as W
 from fleetreports.llm.bitmaps import id_filter, passes, spot_of
@@ -143,9 +144,9 @@ def _links(pairs: DataFrame, tokens: DataFrame, sets: DataFrame) -> DataFrame |
     return links
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles,
-    component_id, kept. See the module for the method and the defined cases."""
+def _classified(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, the set's hash and size, and the
+    component of its class (the doc_id for an empty set)."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sig = stored(docs.mapInArrow(_signatures, _SIG), "signatures")
     by_set = ["set_hi", "set_lo", "n_shingles"]
@@ -207,15 +208,57 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     else:
         named = classes.withColumn("label", F.lit(None).cast("bigint"))
     named = named.select(*by_set, F.coalesce("label", "rep").alias("class_label"))
-    out = rows.join(named, by_set, "left").select(
-        "doc_id", "n_shingles", F.coalesce("class_label", "doc_id").alias("component"))
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"),
-                      (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component"))).alias("kept"))
+    return rows.join(named, by_set, "left").select("doc_id", *by_set, F.coalesce("class_label", "doc_id").alias("component"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles,
+    component_id, kept. See the module for the method and the defined cases."""
+    return _classified(docs).select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"),
+        (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component"))).alias("kept"))
+
+
+def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, with the hash and size of their sets (as in ``_signatures``)."""
+    for c in W.chunks(batches):
+        sets, off = W.shingles(W.words(c, lower=True), SHINGLE, len(c))
+        size = np.diff(off)
+        hi, lo = np.zeros(len(c), np.uint64), np.zeros(len(c), np.uint64)
+        if len(sets):
+            at = off[:-1][size > 0]
+            hi[size > 0] = np.add.reduceat(W.mix(sets), at)
+            lo[size > 0] = np.add.reduceat(W.mix(sets ^ np.uint64(0xA5A5A5A55A5A5A5A)), at)
+        yield pa.RecordBatch.from_arrays([*c.rows.columns, pa.array(W.signed(hi)), pa.array(W.signed(lo)), pa.array(size)],
+                                         names=[*c.rows.schema.names, *_KEY])
+
+
+_KEY = ["_set_hi", "_set_lo", "_set_size"]
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` but for near-duplicates: of each class the smallest
-    doc_id stays (rows with a null doc_id stay; of rows that repeat a doc_id,
-    all or none)."""
-    verdict = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(verdict, docs["doc_id"].cast("bigint") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` but for near-duplicates, decided by row: of each class
+    one row with the smallest doc_id stays, whatever other texts come with the same
+    doc_id; of rows that are equal in doc_id and set, one. A class whose rows all have a
+    null doc_id keeps one of them; null-id rows of other classes go. Rows without
+    a word stay. (A doc_id that is the smallest of several classes keeps one row of
+    each.) Only repeated rows are shuffled with their texts."""
+    verdict = stored(_classified(docs).where("n_shingles > 0").groupBy("doc_id", "set_hi", "set_lo", "n_shingles")
+                     .agg(F.count("*").alias("rows"), F.first("component").alias("component")), "verdict")
+    key = ["set_hi", "set_lo", "n_shingles"]
+    named = verdict.where("doc_id is not null").select(*key).distinct().withColumn("named", F.lit(True))
+    verdict = (verdict.join(named, key, "left").withColumn("stays", F.expr("if(doc_id is null, named is null, doc_id = component)"))
+               .select(F.col("doc_id").alias("_id"), *(F.col(k).alias(f"_{k}") for k in key), "rows", "stays"))
+    verdict = stored(verdict, "verdict")
+    schema = StructType([*docs.schema.fields, *(StructField(k, LongType()) for k in _KEY)])
+    rows = docs.mapInArrow(_with_sets, schema)
+    same = (F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_set_hi") == F.col("__set_hi"))
+            & (F.col("_set_lo") == F.col("__set_lo")) & (F.col("_set_size") == F.col("_size")))
+    verdict_key = verdict.withColumnsRenamed({"_set_hi": "__set_hi", "_set_lo": "__set_lo", "_n_shingles": "_size"})
+    out = rows.join(verdict_key.where("not stays or rows > 1"), same, "left_anti")
+    repeated = verdict_key.where("stays and rows > 1")
+    if not repeated.isEmpty():
+        one = rows.join(repeated, same, "left_semi")
+        out = out.unionByName(one.groupBy(F.col("doc_id").cast("bigint").alias("_id"), *_KEY).agg(F.first(F.struct(*docs.columns)).alias("_row"))
+                              .select("_row.*", *_KEY))
+    return out.drop(*_KEY)

@@ -115,10 +115,23 @@ def test_near_dedup(docs, rows, none):
             assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), label[r.doc_id], label[r.doc_id] == r.doc_id)
     kept = near_dedup.keep_one(docs)
     assert kept.columns == docs.columns
-    assert ordered(r.doc_id for r in kept.collect()) == ordered(i for i, _ in rows if i is None or label[i] == i)
+    wordless = [i for i, t in rows if not split(t)]  # stay; of the others one row of each class
+    named = {i for i, t in rows if i is not None and split(t) and label[i] == i}
+    assert ordered(r.doc_id for r in kept.collect()) == ordered([*wordless, *named])
     assert near_dedup.near_duplicates(none).count() == 0
 
 
+def test_near_dedup_keeps_every_text_once(spark):
+    """One survivor of each class by row, where doc_ids come again with another
+    text, rows come again, or ids are null."""
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcd")
+    rows = [(3, a), (5, a), (5, b), (7, b), (9, c), (9, c), (None, c), (None, c), (None, d), (None, d), (None, ""), (11, "  "), (11, "  ")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id int, text string, rows long")
+    got = near_dedup.keep_one(docs)
+    assert got.schema == docs.schema
+    assert ordered((r.doc_id, r.text) for r in got.collect()) == ordered([(3, a), (5, b), (9, c), (None, d), (None, ""), (11, "  "), (11, "  ")])
+
+
 def test_near_dedup_chain_and_crowd(spark):
     """A group whose members are linked to the original only, one that is a
     chain, and unlinked texts with a common passage."""

@@ -13,7 +13,8 @@ from tests.llm.conftest import SMALL
 from tests.llm.test_operators import near_by_hand
 
 
-@pytest.mark.parametrize("name", ["op1_url_rules", "op2_near_dedup", "op6_mixing", "op7_substring_dedup", "op8_secret_scan"])
+@pytest.mark.parametrize("name", ["op1_url_rules", "op2_near_dedup", "op6_mixing", "op7_substring_dedup", "op8_secret_scan",
+                                  "op11_vector_codes", "op12_hard_negatives", "op13_jaccard_join"])
 def test_sql(spark, name):
     con = duckdb.connect()
     for f in glob.glob(f"{SMALL}/*.parquet"):
