@@ -6,14 +6,20 @@ often it occurs. Every term's 128-bit hash votes with its weight, +1 or -1, on
 each bit; the fingerprint holds the signs, as 32 hex digits. Two fingerprints'
 likeness is 1 - hamming / 128.
 
-``within``: the query fingerprints (rows whose doc_id is divisible by
-``query_step``) are compared with all fingerprints, none left out: both are dealt
-to the cells of a grid, so that each pair meets in one cell, and a cell compares all
-its pairs. ``RADIUS`` = 30 bits follows from the similarity to be found: texts
-with a Jaccard similarity of shingles of 0.75 are 22 bits apart on average (a
-cosine of 0.857, an angle of 0.17 pi), with a standard deviation of 4; two
-unrelated texts are within 30 bits by chance once in 1.5e9 pairs. Equal
-fingerprints are one entry with a count; a cell returns sums, not pairs.
+``within``: permuted block tables. A fingerprint is cut into ``BLOCKS`` = 8 blocks of 16
+bits, and each block leads one table of all fingerprints. Two fingerprints within
+``RADIUS`` bits of each other differ, in at least one table, by no more than the
+table's share of the radius (``shares``: 3 bits in seven tables, 2 in the last), so a
+query (rows whose doc_id is divisible by ``query_step``) looks up in each table the
+values of the leading block that are that near, 697 of 65,536, and compares the
+fingerprints found there, 7.7 % of all. A pair counts in the first table that finds
+it. ``RADIUS`` = 30 bits follows from the similarity to be found: texts with a
+Jaccard similarity of shingles of 0.75 are 22 bits apart on average (a cosine of
+0.857, an angle of 0.17 pi), with a standard deviation of 4; two unrelated texts
+are within 30 bits by chance once in 1.5e9 pairs. Equal fingerprints are one entry
+with a count; tasks return sums, not pairs. The tables are dealt to tasks by the first
+bits of the leading block, more bits for more rows, and a part that a crowd of near
+copies fills beyond ``CELL_PRINTS`` is cut further.
 
 Defined cases: null text counts as empty; a text without words has no term and
 the fingerprint 0; ties of the vote give bit 0; rows with a null doc_id come last
@@ -26,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -38,8 +45,10 @@ from fleetreports.llm.tables import dropped, stored
 
 TERM, BITS_ALL, RADIUS = 3, 128, 30
 ROWS_PER_RANGE, MAX_RANGES = 2000, 100_000
-#: Fingerprints and queries of a cell; the least number of cells; pairs compared at once.
-CELL_PRINTS, CELL_QUERIES, LEAST_CELLS, _PAIRS = 1 << 16, 1 << 18, 64, 1 << 20
+#: Tables, and bits of the block that leads each.
+BLOCKS, BLOCK_BITS = 8, 16
+#: Fingerprints and queries of a cell; the least bits that deal a table out; candidates compared at once.
+CELL_PRINTS, CELL_QUERIES, LEAST_BITS, _PAIRS = 1 << 16, 1 << 18, 3, 1 << 20
 
 
 def _votes(c: W.Chunk) -> np.ndarray:
@@ -150,42 +159,114 @@ def with_next(docs: DataFrame) -> DataFrame:
             .select("doc_id", "text", F.col("to.tail").alias("tail")))
 
 
-def _halves(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(t.column(n).to_numpy().astype(np.int64).view(np.uint64) for n in ("hi", "lo"))
+def shares(radius: int) -> list[int]:
+    """Bits by which a pair within the radius may differ in each table's leading block;
+    it cannot differ by more in every table, as the bits beyond would add up to more."""
+    each, more = divmod(radius + 1, BLOCKS)
+    return [each if k < more else each - 1 for k in range(BLOCKS)]
 
 
-def _cell(asked: pa.Table, prints: pa.Table) -> pa.Table:
-    """Rows of ``prints`` within RADIUS bits of each query of a cell."""
-    (hi, lo), (other_hi, other_lo) = _halves(asked), _halves(prints)
-    n = prints.column("n").to_numpy().astype(np.int64)
-    sums = np.zeros(len(hi), np.int64)
-    step = max(1, _PAIRS // max(1, len(n)))
-    for i in range(0, len(hi), step):
-        first = np.bitwise_count(hi[i:i + step, None] ^ other_hi)
-        at, other = np.nonzero(first <= RADIUS)
-        near = first[at, other] + np.bitwise_count(lo[i + at] ^ other_lo[other]) <= RADIUS
-        np.add.at(sums, i + at[near], n[other[near]])
-    some = sums > 0
-    return pa.table({"hi": W.signed(hi[some]), "lo": W.signed(lo[some]), "n": sums[some]})
+def _flips(bits: int, most: int) -> list[int]:
+    """Values of ``bits`` bits with at most ``most`` ones."""
+    ones = [sum(1 << k for k in at) for n in range(min(bits, most) + 1) for at in combinations(range(bits), n)]
+    return sorted(ones)
 
 
-def within(queries: DataFrame, prints: DataFrame) -> DataFrame:
-    """For each distinct query fingerprint (hi, lo) the number of rows of
-    ``prints`` (hi, lo, n: distinct fingerprints and their rows) that differ from
-    it in at most RADIUS bits, if any: hi, lo, n."""
-    q = queries.select("hi", "lo").distinct()
-    down = max(LEAST_CELLS, -(-prints.count() // CELL_PRINTS))
-    across = -(-q.count() // CELL_QUERIES) or 1
+def _block(hi, lo, k: int) -> np.ndarray:
+    """Block k of fingerprints, from the first bits on."""
+    half, place = (hi, k) if k < BLOCKS // 2 else (lo, k - BLOCKS // 2)
+    return (half >> np.uint64(64 - BLOCK_BITS * (place + 1)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
 
-    def part(n: int) -> Column:
-        return F.pmod(F.xxhash64("hi", "lo"), F.lit(n))
 
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+def _halves(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(t.column(n).to_numpy().astype(np.int64).view(np.uint64) for n in ("hi", "lo"))
+
 
-    q = q.withColumn("x", part(across)).withColumn("y", every(down))
-    p = prints.select("hi", "lo", "n").withColumn("y", part(down)).withColumn("x", every(across))
-    return (q.groupBy("x", "y").cogroup(p.groupBy("x", "y")).applyInArrow(_cell, "hi bigint, lo bigint, n bigint")
+def _looked_up(bits: int, radius: int):
+    """Within one cell, the part of a table whose leading block begins with the same
+    ``bits`` bits: rows of its fingerprints within the radius of each query."""
+    share, rest = shares(radius), BLOCK_BITS - bits
+
+    def cell(key: tuple, asked: pa.Table, prints: pa.Table) -> pa.Table:
+        table, part = key[0].as_py(), key[1].as_py()
+        (hi, lo), (other_hi, other_lo) = _halves(asked), _halves(prints)
+        n = prints.column("n").to_numpy().astype(np.int64)
+        lead = _block(other_hi, other_lo, table) & ((1 << rest) - 1)
+        order = np.argsort(lead, kind="stable")
+        other_hi, other_lo, n = other_hi[order], other_lo[order], n[order]
+        begin = np.searchsorted(lead[order], np.arange((1 << rest) + 1))
+        own = _block(hi, lo, table)
+        spent = np.bitwise_count((own >> rest ^ part).astype(np.uint64))
+        sums = np.zeros(len(hi), np.int64)
+        for used in np.unique(spent):
+            flips = np.array(_flips(rest, share[table] - int(used)), np.int64)
+            queries = np.flatnonzero(spent == used)
+            size = max(1, _PAIRS // len(flips))
+            for i in range(0, len(queries), size):
+                q = queries[i:i + size]
+                values = (own[q, None] & ((1 << rest) - 1)) ^ flips
+                first, many = begin[values], begin[values + 1] - begin[values]
+                first, many, who = first.ravel(), many.ravel(), np.repeat(q, len(flips))
+                ends = np.cumsum(many)
+                at = 0
+                while at < len(many):  # about _PAIRS candidates at once
+                    before = int(ends[at - 1]) if at else 0
+                    to = max(at + 1, int(np.searchsorted(ends, before + _PAIRS, "right")))
+                    m = many[at:to]
+                    other = np.arange(int(m.sum())) + np.repeat(first[at:to] - (ends[at:to] - m - before), m)
+                    owner = np.repeat(who[at:to], m)
+                    x = hi[owner] ^ other_hi[other]
+                    near = np.flatnonzero(np.bitwise_count(x) <= radius)
+                    owner, other, x = owner[near], other[near], x[near]
+                    y = lo[owner] ^ other_lo[other]
+                    good = np.bitwise_count(x) + np.bitwise_count(y) <= radius
+                    for k in range(table):  # found by an earlier table
+                        good &= np.bitwise_count(_block(x, y, k).astype(np.uint64)) > share[k]
+                    np.add.at(sums, owner[good], n[other[good]])
+                    at = to
+        some = sums > 0
+        return pa.table({"hi": W.signed(hi[some]), "lo": W.signed(lo[some]), "n": sums[some]})
+    return cell
+
+
+def within(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """For each distinct query fingerprint (hi, lo) the number of rows of
+    ``prints`` (hi, lo, n: distinct fingerprints and their rows) that differ from
+    it in at most ``radius`` bits, if any: hi, lo, n."""
+    q = queries.select("hi", "lo").distinct()
+    bits = min(BLOCK_BITS, max(LEAST_BITS, (prints.count() // CELL_PRINTS).bit_length()))
+
+    def lead(k: int) -> Column:
+        half, place = ("hi", k) if k < BLOCKS // 2 else ("lo", k - BLOCKS // 2)
+        return F.shiftrightunsigned(half, 64 - BLOCK_BITS * (place + 1)).bitwiseAND((1 << bits) - 1 << BLOCK_BITS - bits)
+
+    def places(k: int, flips: list[int]) -> Column:
+        """The table and the first bits of its leading block, as they are and with these bits flipped."""
+        own = F.shiftright(lead(k), BLOCK_BITS - bits).cast("int")
+        return F.transform(F.array(*[F.lit(x) for x in flips]), lambda x: F.struct(F.lit(k).alias("table"), own.bitwiseXOR(x).alias("part")))
+
+    def parts(near: list[list[int]]) -> Column:
+        return F.explode(F.concat(*[places(k, flips) for k, flips in enumerate(near)]))
+
+    asked = q.withColumn("at", parts([_flips(bits, s) for s in shares(radius)])).select("hi", "lo", "at.*")
+    held = prints.select("hi", "lo", "n").withColumn("at", parts([[0]] * BLOCKS)).select("hi", "lo", "n", "at.*")
+    # One row a cell, at most BLOCKS * 2^16: how many pieces its fingerprints (down) and queries (across) are cut into.
+    sizes = (held.groupBy("table", "part").agg(F.ceil(F.count("*") / CELL_PRINTS).alias("down"))
+             .join(asked.groupBy("table", "part").agg(F.ceil(F.count("*") / CELL_QUERIES).alias("across")), ["table", "part"]))
+
+    def piece(of: str) -> Column:
+        return F.pmod(F.xxhash64("hi", "lo"), F.col(of))
+
+    def every(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(of) - 1))
+
+    cell = ["table", "part", "x", "y"]
+    asked = asked.join(F.broadcast(sizes), ["table", "part"]).withColumn("x", piece("across")).withColumn("y", every("down"))
+    held = held.join(F.broadcast(sizes), ["table", "part"]).withColumn("y", piece("down")).withColumn("x", every("across"))
+    asked = asked.select(*[F.col(c).alias(c) for c in ("hi", "lo", *cell)])  # both sides come from the same rows: names of their own
+    held = held.select(*[F.col(c).alias(c) for c in ("hi", "lo", "n", *cell)])
+    return (asked.groupBy(*cell).cogroup(held.groupBy(*cell))
+            .applyInArrow(_looked_up(bits, radius), "hi bigint, lo bigint, n bigint")
             .groupBy("hi", "lo").agg(F.sum("n").alias("n")))
 
 

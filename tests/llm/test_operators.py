@@ -535,7 +535,7 @@ def test_fingerprints_find_edited_texts(spark):
 
 def test_fingerprints_in_many_cells(spark, monkeypatch):
     """More than one cell each way; a crowd of equal and near fingerprints."""
-    for name, value in (("CELL_PRINTS", 40), ("CELL_QUERIES", 30), ("LEAST_CELLS", 3), ("_PAIRS", 100)):
+    for name, value in (("CELL_PRINTS", 40), ("CELL_QUERIES", 30), ("LEAST_BITS", 2), ("_PAIRS", 100)):
         monkeypatch.setattr(fingerprints, name, value)
     rng = np.random.default_rng(2)
     fp = rng.integers(-(1 << 63), (1 << 63) - 1, (300, 2))
@@ -549,3 +549,25 @@ def test_fingerprints_in_many_cells(spark, monkeypatch):
     got = {(r.hi, r.lo): r.n for r in fingerprints.within(spark.createDataFrame(asked, "hi bigint, lo bigint"), rows.groupBy("hi", "lo").agg(F.count("*").alias("n"))).collect()}
     apart = lambda a, b: sum(((x ^ y) & ((1 << 64) - 1)).bit_count() for x, y in zip(a, b, strict=True))
     assert got == {a: sum(apart(a, b) <= fingerprints.RADIUS for b in every) for a in asked}
+
+
+@pytest.mark.parametrize("radius", [0, 6, 7, 23, 30])
+def test_block_tables_lose_no_pair(spark, radius):
+    """Pairs at every distance up to the radius and just beyond, spread over the blocks evenly and unevenly."""
+    assert sum(x + 1 for x in fingerprints.shares(radius)) == radius + 1
+    rng = np.random.default_rng(radius)
+    rows = []
+    for k in range(150):
+        fp = rng.integers(0, 1 << 63, 2, dtype=np.uint64)
+        apart = max(0, radius - k % 3 + 1)
+        # from the last bits on, as the last table's share is the least; or one of each block in turn; or at random
+        at = {0: range(127, 127 - apart, -1), 1: [(i * 16 + i // 8) % 128 for i in range(apart)]}.get(k // 3 % 3, rng.choice(128, apart, replace=False))
+        other = fp.copy()
+        for bit in at:
+            other[int(bit) // 64] ^= np.uint64(1 << (63 - int(bit) % 64))
+        rows += [(2 * k, *fp.view(np.int64).tolist()), (2 * k + 1, *other.view(np.int64).tolist())]
+    prints = spark.createDataFrame([(a, b) for _, a, b in rows], "hi bigint, lo bigint")
+    asked = [(a, b) for i, a, b in rows if i % 2 == 0]
+    got = {(r.hi, r.lo): r.n for r in fingerprints.within(spark.createDataFrame(asked, "hi bigint, lo bigint"), prints.groupBy("hi", "lo").agg(F.count("*").alias("n")), radius).collect()}
+    apart = lambda a, b: sum(((x ^ y) & ((1 << 64) - 1)).bit_count() for x, y in zip(a, b, strict=True))
+    assert got == {a: sum(apart(a, b[1:]) <= radius for b in rows) for a in asked}
