@@ -13,14 +13,15 @@ of fixed size; document windows that pass it are hash-joined with the benchmark'
 *Plain form.* Which words are a <name> depends on capitals and line feeds, so each
 window has a plain form as well: its tokens without capitals, no placeholders. A
 window is matched if either form is, the plain one at any place. An item of fewer
-than ``WINDOW`` tokens is also matched by its plain tokens anywhere in a text,
-and a longer item without a usable window (numbers) only by its whole
+than ``WINDOW`` tokens is also matched by its plain tokens: anywhere in a text if it has
+at least ``SHORT_TOKENS`` = 2 tokens and ``SHORT_BYTES`` = 8 bytes in them, else (a word that
+any text may hold) only by a text of just these tokens. A longer item without a usable window (numbers) only by its whole
 sequence of plain tokens, all its runs of ``WINDOW`` at one distance.
 
 *Slots.* The windows of one document and item at one distance (place in the text
-less place in the item) are an alignment. Its slots must correspond one to one:
-equal item values meet equal text values, and different ones different ones, so
-a question with other numbers and names is caught and a chance template is not.
+less place in the item) are an alignment. Its slots must be consistent: equal item
+values meet equal text values (different ones may meet equal ones, as new values
+are drawn freely), so a question with other numbers and names is caught.
 Windows with a slot that does not are left out, the alignment's others stay;
 windows whose slots all equal the item's count in any case.
 
@@ -49,6 +50,7 @@ from fleetreports.llm.bitmaps import hash_filter, low_spots, passes
 from fleetreports.llm.tables import stored
 
 WINDOW, SHARE, LEAST_WORDS = 5, 0.75, 2
+SHORT_TOKENS, SHORT_BYTES = 2, 8
 WORD, NUM, NAME, UNIT = 0, 1, 2, 3
 
 # Units of measure, money and time.
@@ -66,6 +68,7 @@ UNITS = [
 _PUNCT = np.zeros(256, bool)
 _PUNCT[[i for i in range(33, 127) if not chr(i).isalnum()]] = True
 _PLAIN = np.uint64(0x3C6EF372FE94F82B)
+_ALONE = np.uint64(0xD1B54A32D192ED03)
 _SLOT = np.array([0, 0x1234567890ABCDEF, 0x0FEDCBA987654321, 0x5A5A5A5A3C3C3C3C], np.uint64)
 
 
@@ -182,6 +185,11 @@ def _plain(t: W.Words, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarra
     return W.mix(h ^ (_PLAIN + np.uint64(n))), begin
 
 
+def _alone(plain: np.ndarray) -> np.ndarray:
+    """Hashes of plain tokens that are a text's only ones."""
+    return W.mix(plain ^ _ALONE)
+
+
 def _slot_lists(slots: np.ndarray, begin: np.ndarray, t: W.Words, plain: np.ndarray) -> pa.Array:
     """Slot values of each window's tokens; none of plain windows."""
     size = np.where(plain, 0, np.minimum(WINDOW, np.diff(t.first)[t.doc[begin]])) if len(begin) else begin
@@ -207,6 +215,9 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             plain[at[fits]] = own[fits]
             if n == WINDOW:
                 runs = at[~usable[t.doc[at]]] if len(at) else at
+        anywhere = (count >= WINDOW) | (count >= SHORT_TOKENS) & (np.bincount(t.doc, t.end - t.start, len(c)) >= SHORT_BYTES)
+        whole = ~anywhere[t.doc] if len(t.hash) else np.zeros(0, bool)
+        plain[whole] = _alone(plain[whole])
         w = np.concatenate((h, h, plain[runs]))
         form = np.repeat([TEMPLATE, PLAIN, WHOLE], [len(h), len(h), len(runs)])
         key = np.concatenate((h, plain[begin], plain[runs]))
@@ -239,6 +250,9 @@ def _doc_windows(bitmap, short: list[int]):
             found = [(h[hit], begin[hit])]
             for n in [*short, WINDOW]:
                 h, begin = _plain(t, value, n)
+                if n < WINDOW and len(h):
+                    only = np.diff(t.first)[t.doc[begin]] == n
+                    h, begin = np.concatenate((h, _alone(h[only]))), np.concatenate((begin, begin[only]))
                 hit = passes(bitmap.value, low_spots(h))
                 h, begin = h[hit], begin[hit]
                 if n < WINDOW and len(h):  # once a text
@@ -285,11 +299,9 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                .agg(F.collect_set(F.struct("h", "pairs")).alias("windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
                     F.max("places").alias("places"), F.countDistinct("spot").alias("spots"))
                .where(F.col("spots") == F.col("places"))
-               .withColumn("item_values", F.array_sort("pairs.item_slots")).withColumn("values", F.array_sort("pairs.slots"))
-               .withColumn("item_values", _repeated("item_values")).withColumn("values", _repeated("values")))
+               .withColumn("item_values", F.array_sort("pairs.item_slots")).withColumn("item_values", _repeated("item_values")))
     fair = aligned.select("doc_id", "text_key", "item_id", F.filter("windows", lambda w: F.forall(
-        w["pairs"], lambda p: p["item_slots"] == p["slots"]) | ~(
-        F.arrays_overlap(w["pairs"]["item_slots"], F.col("item_values")) | F.arrays_overlap(w["pairs"]["slots"], F.col("values")))).alias("windows"))
+        w["pairs"], lambda p: p["item_slots"] == p["slots"]) | ~F.arrays_overlap(w["pairs"]["item_slots"], F.col("item_values"))).alias("windows"))
     return (fair.select("doc_id", "text_key", "item_id", F.explode("windows.h").alias("h")).distinct()
             .groupBy("doc_id", "text_key", "item_id").agg(F.count("*").alias("n_matched"))
             .join(size, "item_id").withColumn("share", F.col("n_matched") / F.col("n_windows")).where(F.col("share") >= SHARE)

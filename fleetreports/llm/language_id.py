@@ -26,6 +26,7 @@ repeated result rows. Only ``doc_id``, ``text`` and, in training, ``lang`` are r
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from fleetreports.llm.bitmaps import hash_filter, low_spots, passes
 DIM, TRAIN_DOCS, FOLDS, UNKNOWN = 1024, 2000, 5, "und"
 UNSEEN, SLACK, HELD_DOCS = 0.25, 2, 2000
 _UNIT = 1 << 20  # a unit profile's coordinates are summed in these steps
-_CELLS = 4_000_000
+_CELLS, _BLOCK = 4_000_000, 8192  # counters, and n-gram vectors, at once
 _letters: dict[str, np.ndarray] = {}
 
 
@@ -62,15 +63,74 @@ def _signs(letters: np.ndarray) -> np.ndarray:
     return np.unpackbits(W.mix(W.mix(seed) + np.uint64(1)).view(np.uint8).reshape(len(letters), -1), axis=1)
 
 
+@dataclass
+class _Grams:
+    """N-grams of a chunk: of each letter in order, as numbers of distinct ones."""
+
+    at: np.ndarray
+    first: np.ndarray  # n + 1: n-grams of row i are at[first[i]:first[i + 1]]
+    letters: np.ndarray
+    three: tuple[np.ndarray, np.ndarray, np.ndarray]  # of distinct n-grams: places in letters
+
+    def hashes(self) -> np.ndarray:
+        x, y, z = (self.letters[k].astype(np.uint64) for k in self.three)
+        return W.mix(x << np.uint64(42) | y << np.uint64(21) | z)
+
+    def vectors(self, some: np.ndarray | slice) -> np.ndarray:
+        """Vectors of some distinct n-grams, at most ``_BLOCK``."""
+        if len(self.letters) <= _BLOCK:
+            table = _signs(self.letters)
+            x, y, z = (table[k[some]] for k in self.three)
+        else:
+            x, y, z = (_signs(self.letters[k[some]]) for k in self.three)
+        return 1 - 2 * (np.roll(x, 2, axis=1) ^ np.roll(y, 1, axis=1) ^ z).astype(np.float32)
+
+
 def _profiles(c: W.Chunk) -> Iterator[tuple[int, int, np.ndarray]]:
     """Profiles of a chunk's texts: first row, row after the last, bundles."""
-    for i, j, count, _, vectors in _counted(c):
-        yield i, j, count @ vectors
+    for i, j, bundles, _, _ in _bundled(c):
+        yield i, j, bundles
 
 
-def _counted(c: W.Chunk) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """N-grams of a chunk's texts: first row, row after the last, counts (rows,
-    n-grams), and the n-grams' hashes and vectors."""
+def _bundled(c: W.Chunk, seen: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """First row, row after the last, bundles, and of each row the n-grams and how
+    many of them are not in ``seen``. At most ``_BLOCK`` n-gram vectors exist at once,
+    however many different n-grams there are."""
+    g, n = _distinct(c), len(c)
+    if g is None:
+        yield 0, n, np.zeros((n, DIM), np.float32), np.zeros(n), np.zeros(n)
+        return
+    total = len(g.three[0])
+    new = np.zeros(total) if seen is None else (~passes(seen, low_spots(g.hashes()))).astype(np.float64)
+    whole = g.vectors(slice(None)) if total <= _BLOCK else None
+    step = max(1, _CELLS // min(total, _BLOCK))
+    for i in range(0, n, step):
+        j = min(n, i + step)
+        at = g.at[g.first[i]:g.first[j]]
+        size = np.diff(g.first[i:j + 1])
+        row = np.repeat(np.arange(j - i), size)
+        unseen = np.bincount(row, weights=new[at], minlength=j - i)
+        if whole is not None:
+            yield i, j, _counts(row, at, j - i, total) @ whole, size, unseen
+            continue
+        order = np.argsort(at, kind="stable")
+        at, row = at[order], row[order]
+        start = np.flatnonzero(np.concatenate((np.ones(min(1, len(at)), bool), at[1:] != at[:-1])))  # of the rows' distinct n-grams
+        place = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(at))))
+        bundles = np.zeros((j - i, DIM), np.float32)
+        for k in range(0, len(start), _BLOCK):
+            own = start[k:k + _BLOCK]
+            to = start[k + _BLOCK] if k + _BLOCK < len(start) else len(at)
+            bundles += _counts(row[own[0]:to], place[own[0]:to] - k, j - i, len(own)) @ g.vectors(at[own])
+        yield i, j, bundles, size, unseen
+
+
+def _counts(row: np.ndarray, column: np.ndarray, rows: int, columns: int) -> np.ndarray:
+    return np.bincount(row * columns + column, minlength=rows * columns).astype(np.float32).reshape(rows, columns)
+
+
+def _distinct(c: W.Chunk) -> _Grams | None:
+    """The n-grams of a chunk's texts, None where there is no letter."""
     n, data = len(c), c.data
     lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
     off = lead[c.off]  # in code points
@@ -80,8 +140,7 @@ def _counted(c: W.Chunk) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.
     line[np.arange(len(points)) + doc + 1] = _folded()[np.minimum(points, 0x10FFFF)]
     at = np.flatnonzero(line)
     if not len(at):
-        yield 0, n, np.zeros((n, 0), np.float32), np.zeros(0, np.uint64), np.zeros((0, DIM), np.float32)
-        return
+        return None
     letters, code = np.unique(line, return_inverse=True) if len(line) < 4096 else (None, None)
     if letters is None:
         seen = np.zeros(0x110000, bool)
@@ -102,18 +161,7 @@ def _counted(c: W.Chunk) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.
         gram = rank[gram]
     else:
         grams, gram = np.unique(gram, return_inverse=True)
-    signs = _signs(letters)
-    bound = np.roll(signs, 2, axis=1)[grams // (k * k)] ^ np.roll(signs, 1, axis=1)[grams // k % k] ^ signs[grams % k]
-    vectors = 1 - 2 * bound.astype(np.float32)
-    names = letters.astype(np.uint64)
-    hashes = W.mix(names[grams // (k * k)] << np.uint64(42) | names[grams // k % k] << np.uint64(21) | names[grams % k])
-    first = np.searchsorted(owner, np.arange(n + 1))
-    step = max(1, _CELLS // len(grams))
-    for i in range(0, n, step):
-        j = min(n, i + step)
-        cells = (owner[first[i]:first[j]] - i) * len(grams) + gram[first[i]:first[j]]
-        count = np.bincount(cells, minlength=(j - i) * len(grams)).astype(np.float32).reshape(j - i, -1)
-        yield i, j, count, hashes, vectors
+    return _Grams(gram, np.searchsorted(owner, np.arange(n + 1)), letters, (grams // (k * k), grams // k % k, grams % k))
 
 
 def _unit(profiles: np.ndarray) -> np.ndarray:
@@ -194,22 +242,16 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None)
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of the n-grams of texts, once a chunk."""
     for c in W.chunks(batches):
-        for _, _, _, hashes, _ in _counted(c):
-            yield pa.RecordBatch.from_pydict({"h": pa.array(W.signed(hashes))})
-            break
-
-
-def _unseen(c: W.Chunk, seen: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """First row, row after the last, profiles, n-grams and how many of them are unseen."""
-    for i, j, count, hashes, vectors in _counted(c):
-        yield i, j, count @ vectors, count.sum(axis=1), count @ (~passes(seen, low_spots(hashes))).astype(np.float32)
+        g = _distinct(c)
+        if g is not None:
+            yield pa.RecordBatch.from_pydict({"h": pa.array(W.signed(g.hashes()))})
 
 
 def _shares(seen):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in W.chunks(batches):
             lang = c.rows.column(1)
-            for i, j, _, total, unseen in _unseen(c, seen.value):
+            for i, j, _, total, unseen in _bundled(c, seen.value):
                 some = total > 0
                 yield pa.RecordBatch.from_pydict({"lang": lang.slice(i, j - i).filter(pa.array(some)),
                                                   "share": pa.array((unseen[some] / total[some]).astype(np.float64))})
@@ -239,7 +281,7 @@ def _held(prototypes: np.ndarray, seen, most: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in W.chunks(batches):
             keep = np.zeros(len(c), bool)
-            for i, j, p, total, unseen in _unseen(c, seen.value):
+            for i, j, p, total, unseen in _bundled(c, seen.value):
                 bound = most[(_unit(p) @ prototypes.T).argmax(axis=1)]
                 keep[i:j] = (total > 0) & (unseen <= bound * total + SLACK)
             yield c.rows.filter(pa.array(keep))

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from fleetreports.llm import (
     substring_dedup,
     url_rules,
 )
+from fleetreports.llm import words as W
 from tests.llm.conftest import SMALL
 
 
@@ -203,7 +205,16 @@ def test_decontaminate_slots(spark):
     rows = [(1, verbatim), (2, other), (2, other), (3, other.replace("40 miles", "40miles")), (None, other),
             (4, other.replace("9 pears", "17 pears")), (5, other.replace("for Carla", "for Dora")), (6, "Nothing of it"), (7, None), (8, "")]
     got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(item, "item_id bigint, text string"))
-    assert ordered((r.doc_id, r.item_id) for r in got.collect()) == ordered([(1, 1), (2, 1), (3, 1), (None, 1)])
+    assert ordered((r.doc_id, r.item_id) for r in got.collect()) == ordered([(1, 1), (2, 1), (3, 1), (4, 1), (None, 1)])  # 4: unlike values became equal
+
+
+def test_decontaminate_very_short_items(spark):
+    """An item of one token, or of few letters, is held only by a text that is nothing else."""
+    items = [(1, "The"), (2, "in a"), (3, "Photosynthesis"), (4, "solar eclipse"), (5, "7")]
+    rows = [(1, "the cat sat in a hat, the cat"), (2, "The"), (3, "the."), (4, "IN A"), (5, "photosynthesis is the word"), (6, "PHOTOSYNTHESIS!"),
+            (7, "a solar eclipse in a year"), (8, "7"), (9, "7 7"), (10, None), (11, "")]
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert ordered((r.doc_id, r.item_id) for r in got.collect()) == ordered([(2, 1), (3, 1), (4, 2), (6, 3), (7, 4), (8, 5)])
 
 
 def test_decontaminate_drops_conflicting_windows_only(spark):
@@ -290,10 +301,6 @@ def test_known_language_at_every_length(spark):
 
 def test_language_profiles_by_hand():
     """The bundle of a text is the sum of its bound letter vectors."""
-    import pyarrow as pa
-
-    from fleetreports.llm import words as W
-
     texts = ["Abé a", "", "x1y"]
     batch = pa.RecordBatch.from_pydict({"text": texts})
     (chunk,) = W.chunks(iter([batch]))
@@ -571,3 +578,34 @@ def test_block_tables_lose_no_pair(spark, radius):
     got = {(r.hi, r.lo): r.n for r in fingerprints.within(spark.createDataFrame(asked, "hi bigint, lo bigint"), prints.groupBy("hi", "lo").agg(F.count("*").alias("n")), radius).collect()}
     apart = lambda a, b: sum(((x ^ y) & ((1 << 64) - 1)).bit_count() for x, y in zip(a, b, strict=True))
     assert got == {a: sum(apart(a, b[1:]) <= radius for b in rows) for a in asked}
+
+
+@pytest.mark.parametrize("size", [1_000_000, 5_000_000])
+def test_language_profile_of_very_many_ngrams_is_bounded(size):
+    """A text of random CJK letters, nearly every n-gram another one: the peak of its profile."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FA0, size // 3))).encode()
+    chunk = W.Chunk(pa.RecordBatch.from_pydict({"text": ["x", ""]}), np.frombuffer(text, np.uint8), np.array([0, len(text), len(text)]), np.ones(2, bool))
+    language_id._folded()
+    tracemalloc.start()
+    got = np.vstack([p for _, _, p in language_id._profiles(chunk)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6 and got.shape == (2, language_id.DIM) and not got[1].any()
+    assert 0 < np.abs(got[0]).max() < 10 * (size / 3) ** 0.5
+
+
+def test_language_profiles_in_blocks(monkeypatch):
+    """Blocks of n-grams and of rows change no profile and no count of unseen n-grams."""
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, rng.integers(0x61, 0x180, k))) for k in (0, 1, 2, 30, 500, 3, 0, 900)]
+    data, off = "".join(texts).encode(), np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
+    chunk = W.Chunk(pa.RecordBatch.from_pydict({"text": texts}), np.frombuffer(data, np.uint8), off, np.ones(len(texts), bool))
+    seen = rng.integers(0, 256, (1 << 26) // 8, dtype=np.uint8)
+    whole = [np.concatenate(x) for x in zip(*[r[2:] for r in language_id._bundled(chunk, seen)], strict=True)]
+    monkeypatch.setattr(language_id, "_BLOCK", 7)
+    monkeypatch.setattr(language_id, "_CELLS", 20)
+    parts = [np.concatenate(x) for x in zip(*[r[2:] for r in language_id._bundled(chunk, seen)], strict=True)]
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True)) and 0 < whole[2].sum() < whole[1].sum()
