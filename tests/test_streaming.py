@@ -233,3 +233,27 @@ def test_top5_snapshot_state_survives_restart(spark, scratch_dir):
         f.write("\n".join(msgs(G3_W2)) + "\n")
     second = run_collect(sq.top_delayed_current_stream(stream_reports(spark, folder))[0], "complete", ckpt)
     assert [r["id"] for r in second[-1]] == ["2", "4", "3", "5", "6"]  # unit 1 recovered to 0 after restart
+
+
+def test_state_store_holds_the_latest_report_of_each_unit(spark, scratch_dir):
+    """What the checkpoint holds, read with Spark's state readers, is the latest report per unit of all
+    input so far, also after a restart; and the number of state partitions stays that of the first start."""
+    folder, ckpt = os.path.join(scratch_dir, "in"), os.path.join(scratch_dir, "ck")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    for k, records in enumerate((G3_W1, G3_W2)):
+        os.makedirs(folder, exist_ok=True)
+        with open(os.path.join(folder, f"batch-{k:04d}.json"), "w") as f:
+            f.write("\n".join(msgs(records)) + "\n")
+        try:
+            spark.conf.set("spark.sql.shuffle.partitions", str(3 + k))  # a later setting does not change the state
+            run_collect(sq.top_delayed_current_stream(stream_reports(spark, folder))[0], "complete", ckpt)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        (operator,) = spark.read.format("state-metadata").load(ckpt).where("stateStoreName = 'default'").collect()
+        assert operator.numPartitions == 3
+        state = spark.read.format("statestore").load(ckpt)
+        held = {r.id: r.m for r in state.selectExpr("key.id", "to_json(value) AS m").collect()}
+        reports = parse_messages(spark.read.text(folder)).reports
+        want = {r.id: r for r in q.latest_per_key(q.active(reports), ["id"], columns=["linename", "delay"]).collect()}
+        assert set(held) == set(want)
+        assert all(f'"delay":{want[i].delay}' in m and f'"linename":"{want[i].linename}"' in m for i, m in held.items())
