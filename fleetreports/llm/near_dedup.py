@@ -29,8 +29,9 @@ Two documents are linked if 100 * |A and B| >= 75 * |A or B|.
 
 Defined cases: null or wordless texts have an empty set, are linked with
 nothing and are kept; rows with a null doc_id get a null component_id and are
-kept; repeated rows give repeated result rows; rows that share a doc_id are one
-node of the link graph. Only ``doc_id`` and ``text`` are read, so further
+kept; repeated rows give repeated result rows; a doc_id that comes with several
+texts does not link these, and where it is the smallest of several classes only one
+of them is compared further. Only ``doc_id`` and ``text`` are read, so further
 columns, whatever their names, play no part in the classes.
 """
 
