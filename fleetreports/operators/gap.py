@@ -12,26 +12,25 @@ The arithmetic (integer milliseconds, then double division by ``k`` and by
 1000) equals a fold over the frame exactly.
 
 Skew: a plain ``Window.partitionBy("id")`` would send every report of a unit
-through one task, and a single unit may hold a third of all rows. Instead:
-
-1. ``positions``: range-partition by ``(id, lastupdate, seq)`` (sampled
-   bounds split a hot unit over many tasks), sort within partitions and tag
-   each row with ``monotonically_increasing_id`` (partition index in the high
-   bits, row index in the low 33). Per ``(id, partition)`` a count and first
-   tag - a table of at most ``#ids + #partitions`` rows - gives, through a
-   running sum, the number of the unit's rows in earlier partitions; the join
-   back is a broadcast once AQE has measured that table, a shuffle join
-   otherwise.
-2. An equi-join on ``(id, pos)`` fetches the base row's timestamp. It is
-   shuffled on ``(id, pos)``, which spreads even the hottest unit evenly;
-   each base row matches at most ``n`` rows.
+through one task, and a single unit may hold a third of all rows. Instead
+(halo exchange):
+
+1. Range-partition by ``(id, lastupdate, seq)`` (sampled bounds split a hot
+   unit over many partitions), sort within partitions and tag each row with
+   ``monotonically_increasing_id`` (partition index in the high bits), so tags
+   ascend in the order of the unit's reports. Written once as a table.
+2. Of every ``(id, partition)`` only the last ``n - 1`` stamps are taken, and
+   each partition is handed the last ``n - 1`` stamps that come before it (its
+   halo): a table of at most ``(n - 1) * (#ids + #partitions)`` rows.
+3. One window per ``(id, partition)`` over its own rows and its halo, whose size
+   the range partitioning has bounded, does the rest as for a small unit.
 
 The default ``auto`` strategy first counts reports per unit (a two-phase
 aggregate) and sends only units above a row bound down this path; all other
 units take one window per unit, whose size the count has just bounded.
 
-Every step is a built-in DataFrame operator; nothing is collected, capped or
-sampled away.
+Every step is a built-in DataFrame operator; nothing is capped or sampled away.
+The ids of hot units come to the driver up to ``HOT_KEYS_BROADCAST`` of them.
 """
 
 from __future__ import annotations
@@ -61,42 +60,41 @@ def range_partitions(df: DataFrame) -> int:
     return int(min(max(base, -(-df.count() // RANGE_PARTITION_ROWS)), MAX_RANGE_PARTITIONS))
 
 
-def positions(
-    df: DataFrame,
-    key: str = "id",
-    order: Sequence[str] = ("lastupdate", "seq"),
-    num_partitions: int | None = None,
-    pos_col: str = "pos",
-) -> DataFrame:
-    """Add the 1-based position of each row within its ``key`` in ``order``.
+def _tagged(df: DataFrame, key: str, order: Sequence[str], num_partitions: int | None) -> DataFrame:
+    """The rows range-partitioned by (key, order) with ``_tag``, which ascends in
+    that order, and ``_part``, the partition. ``order`` must be a total order
+    within a key (``seq`` makes it one).
 
-    ``order`` must be a total order within a key (``seq`` makes it one).
-    Skew-safe: no task ever holds all rows of a key (see module docstring).
-
-    The range-partitioned, tagged rows are consumed twice (run counts and the
-    join back), and a range exchange samples its bounds afresh each time it
-    is planned, so they are written once as a table in the session's shared
-    checkpoint folder (``session.materialize``): both consumers then see the
-    same rows and tags, and the lineage is cut for recovery from lost
-    executors.
+    The rows are consumed twice, and a range exchange samples its bounds afresh
+    each time it is planned, so they are written once as a table in the session's
+    shared checkpoint folder (``session.materialize``): both consumers then see the
+    same rows and tags, and the lineage is cut for recovery from lost executors.
     """
-    n_parts = num_partitions or range_partitions(df)
     sort_cols = [key, *order]
     ranged = (
-        df.repartitionByRange(n_parts, *sort_cols)
+        df.repartitionByRange(num_partitions or range_partitions(df), *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("_tag", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright(F.col("_tag"), _LOW_BITS))
     )
-    tagged = materialize(ranged, "positions")
+    return materialize(ranged, "positions")
+
+
+def positions(
+    df: DataFrame,
+    key: str = "id",
+    order: Sequence[str] = ("lastupdate", "seq"),
+    num_partitions: int | None = None,
+    pos_col: str = "pos",
+) -> DataFrame:
+    """Add the 1-based position of each row within its ``key`` in ``order``, which
+    must be a total order within a key. No task ever holds all rows of a key: the
+    number of the key's rows in earlier partitions is a running sum over one row
+    per (key, partition), joined back."""
+    tagged = _tagged(df, key, order, num_partitions)
     runs = tagged.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_tag").alias("_first"))
     before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = runs.select(
-        key,
-        "_part",
-        "_first",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-    )
+    offsets = runs.select(key, "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     return (
         tagged.join(offsets, [key, "_part"])
         .withColumn(pos_col, F.col("_before") + (F.col("_tag") - F.col("_first")) + F.lit(1))
@@ -104,6 +102,25 @@ def positions(
     )
 
 
+def _halo(tagged: DataFrame, n: int, key: str) -> DataFrame:
+    """``key, _part, _tag, _ms``: for each partition of a unit the last ``n - 1``
+    rows of the unit before it. An earlier partition holds at least one row of
+    the unit, so ``n - 1`` partitions back are enough."""
+    newest = Window.partitionBy(key, "_part").orderBy(F.col("_tag").desc())
+    tails = (
+        tagged.select(key, "_part", "_tag", "_ms", F.row_number().over(newest).alias("_back"))
+        .filter(F.col("_back") < n)
+        .groupBy(key, "_part")
+        .agg(F.sort_array(F.collect_list(F.struct("_tag", "_ms"))).alias("_tail"))
+    )
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(1 - n, -1)
+    earlier = tails.select(key, "_part", F.flatten(F.collect_list("_tail").over(before)).alias("_rows"))
+    first = F.greatest(F.size("_rows") - F.lit(n - 2), F.lit(1))
+    return earlier.select(key, "_part", F.explode(F.slice("_rows", first, F.lit(n - 1))).alias("_row")).select(
+        key, "_part", "_row._tag", "_row._ms"
+    )
+
+
 NO_STAMP = "no_stamp"
 
 
@@ -121,28 +138,30 @@ def _stamped(reports: DataFrame, key: str) -> DataFrame:
 
 
 def _gap_distributed(base: DataFrame, n: int, key: str, num_partitions: int | None) -> DataFrame:
-    pos = positions(base, key, ("lastupdate", "seq"), num_partitions)
-    rows = pos.withColumn("_base_pos", F.greatest(F.col("pos") - F.lit(n - 1), F.lit(1)))
-    bases = pos.select(F.col(key).alias("_bkey"), F.col("pos").alias("_bpos"), F.col("_ms").alias("_base_ms"))
-    joined = rows.join(bases, (rows[key] == bases["_bkey"]) & (rows["_base_pos"] == bases["_bpos"]), "inner")
-    k = (F.col("pos") - F.col("_base_pos")).cast("double")
-    gap = F.when(k == 0, F.lit(0.0)).otherwise(
-        (F.col("_ms") - F.col("_base_ms")).cast("double") / k / F.lit(1000.0)
-    )
-    return joined.select(key, "seq", "lastupdate", gap.alias("avg_gap_s"))
+    rows = _tagged(base, key, ("lastupdate", "seq"), num_partitions).withColumn("_own", F.lit(True))
+    if n > 1:
+        halo = _halo(rows, n, key).withColumn("_own", F.lit(False))
+        rows = rows.unionByName(halo, allowMissingColumns=True)
+    return _gaps(rows, n, key, [key, "_part"], ["_tag"], "_own")
 
 
 def _gap_window(base: DataFrame, n: int, key: str) -> DataFrame:
+    return _gaps(base, n, key, [key], ["lastupdate", "seq"])
+
+
+def _gaps(base: DataFrame, n: int, key: str, groups: Sequence[str], order: Sequence[str], own: str | None = None) -> DataFrame:
+    """One window per group; rows where ``own`` is false only serve as earlier rows."""
     # O(1) per row: position, the stamp n-1 rows back (lag), and the unit's
     # first stamp for the first n-1 rows - no sliding-frame re-aggregation.
-    w = Window.partitionBy(key).orderBy("lastupdate", "seq")
+    w = Window.partitionBy(*groups).orderBy(*order)
     pos = F.row_number().over(w)
     back = F.lag("_ms", n - 1).over(w) if n > 1 else F.col("_ms")
     first = F.first("_ms").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = base.select(
-        key, "seq", "lastupdate", "_ms",
+        key, "seq", "lastupdate", "_ms", *([own] if own else []),
         pos.alias("_pos"), F.coalesce(back, first).alias("_base_ms"),
     )
+    out = out.filter(own) if own else out
     k = F.least(F.col("_pos") - F.lit(1), F.lit(n - 1)).cast("double")
     gap = F.when(k == 0, F.lit(0.0)).otherwise(
         (F.col("_ms") - F.col("_base_ms")).cast("double") / k / F.lit(1000.0)
@@ -170,12 +189,12 @@ def avg_report_gap(
     """``id, seq, lastupdate, avg_gap_s`` for every report with a real stamp.
 
     ``strategy``:
-      ``auto``        count reports per unit (two-phase aggregate, kept as a
-                      small table): units above ``hot_key_rows`` go the
-                      distributed way, the rest through one window per unit,
-                      whose size the count has just bounded. The source is
-                      read three times: for the counts, for the hot units'
-                      rows (written once as a table) and for the others.
+      ``auto``        count reports per unit (two-phase aggregate): units
+                      above ``hot_key_rows`` go the distributed way, the
+                      rest through one window per unit, whose size the
+                      count has just bounded. The source is read for the
+                      counts and for the result; if there are hot units,
+                      once more for their rows (written as a table).
       ``distributed`` every unit through the skew-safe path.
       ``window``      every unit through one window task (only for inputs
                       whose units are known to be small).
@@ -194,15 +213,17 @@ def avg_report_gap(
     if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    # One pass says whether there is a hot unit at all; a table is written only then.
-    hot = base.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_key_rows).select(key)
-    if hot.isEmpty():
+    # One pass gives the hot units; a table is written only if they are too many to list.
+    counts = base.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_key_rows).select(key)
+    listed = counts.limit(HOT_KEYS_BROADCAST + 1).collect()
+    if not listed:
         return _gap_window(base, n, key)
-    hot = materialize(hot, "hot-units")
-    n_hot = hot.count()
-    hot_side = F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST else hot
-    cold = _gap_window(base.join(hot_side, key, "left_anti"), n, key)
-    heavy = _gap_distributed(materialize(base.join(hot_side, key, "left_semi"), "hot-rows"), n, key, num_partitions)
+    if len(listed) <= HOT_KEYS_BROADCAST:
+        hot = F.broadcast(base.sparkSession.createDataFrame(listed, counts.schema))
+    else:
+        hot = materialize(counts, "hot-units")
+    cold = _gap_window(base.join(hot, key, "left_anti"), n, key)
+    heavy = _gap_distributed(materialize(base.join(hot, key, "left_semi"), "hot-rows"), n, key, num_partitions)
     return cold.unionByName(heavy)
 
 

@@ -4,7 +4,7 @@ batch. Windows of the snapshot queries are replayed as cumulative prefixes."""
 import pytest
 from pyspark.sql import functions as F
 
-from fleetreports.operators import avg_report_gap, latest_per_key, top_n
+from fleetreports.operators import avg_report_gap, latest_per_key, positions, top_n
 from fleetreports.plans import queries as q
 from fleetreports.sources import make_reports
 
@@ -210,3 +210,19 @@ def test_millis_conversions_are_zone_free(spark):
     for r in out:
         assert r.ts == dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=r.ms)
         assert r.back == r.ms
+
+
+def test_gap_halo_reaches_over_several_partitions(spark):
+    """Partitions that hold fewer than n - 1 reports of a unit hand on what came before them."""
+    rows = [rec(u, t=1000 * k * k + 1000) for u, many in ((1, 60), (2, 3), (3, 1)) for k in range(many)]
+    df = make_reports(spark, rows)
+    for n in (1, 2, 10, 100):
+        want = sorted(avg_report_gap(df, n=n, strategy="window").collect())
+        assert len(want) == 64
+        assert sorted(avg_report_gap(df, n=n, strategy="distributed", num_partitions=20).collect()) == want
+
+
+def test_positions(spark):
+    df = make_reports(spark, [rec(u, t=1000 * (50 - k)) for u, many in ((1, 50), (2, 3)) for k in range(many)])
+    got = positions(df, num_partitions=7).select("id", "lastupdate", "pos").orderBy("id", "lastupdate").collect()
+    assert [r.pos for r in got] == [*range(1, 51), 1, 2, 3]
