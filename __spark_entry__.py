@@ -178,6 +178,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_avg_delay": _on_events(partial(replay.average_delay, minutes=1)),
         "stream_top5_window": _on_events(partial(replay.top_delayed_window, minutes=3)),
         "stream_trains": _on_events(replay.trains_last_stop),
+        "stream_trains_changes": _on_events(replay.trains_changes),
+        "stream_top5": _on_events(replay.top_delayed),
+        "stream_top5_current": _on_events(partial(replay.top_delayed, current=True)),
         "distinct_reports": _on_events(_distinct_reports),
         "stream_distinct": _on_events(_stream_distinct),
         "stream_gap": _on_events(lambda reports: replay.report_gap(reports, n=10).drop("seq")),
@@ -388,6 +391,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_avg_delay": _streamed(_avg_sql(1)),
         "stream_top5_window": _streamed(_top5_window_sql(3)),
         "stream_trains": _streamed(_trains_sql()),
+        "stream_trains_changes": _streamed(_trains_sql()),
+        "stream_top5": _streamed(_top5_sql()),
+        "stream_top5_current": _streamed(_top5_current_sql()),
         "distinct_reports": _ACTIVE + f"SELECT {_REPORT_COLS.replace(', seq', '')}, min(seq) AS seq FROM reports GROUP BY ALL",
         "stream_distinct": _streamed(_ACTIVE + "SELECT id, delay, laststopid, lastupdate FROM reports"),
         "stream_gap": f"SELECT id, lastupdate, avg_gap_s FROM ({_streamed(_gap_sql(10))})",

@@ -33,6 +33,7 @@ from fleetreports.sources.feed import (
 )
 from fleetreports.streaming import sinks
 from fleetreports.streaming.clock_windows import start_clock_windows
+from fleetreports.streaming.incremental_top import start_top
 from fleetreports.streaming.rolling import start_rolling
 
 
@@ -145,6 +146,10 @@ def start_stream_job(spark: SparkSession, spec: registry.QuerySpec, args: argpar
 
         started.append(sinks.start_average_delay(reports, start, **params))
         return started
+    if spec.render == "top":  # the global rankings
+        sink = sinks.snapshot_writer(args.output, spec.render)
+        started.append(start_top(reports, sink, name, current=spec.name == "delayed_current", checkpoint=ckpt, trigger=once, **params))
+        return started
     df, mode = registry.stream_form(spec.name, reports, **params)
     if spec.output == "snapshot":
         started.append(sinks.start_snapshot(df, mode, args.output, name, spec.render, ckpt, once))

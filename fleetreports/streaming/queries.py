@@ -11,7 +11,9 @@ streaming DataFrame plus the output mode it needs. Event time is
 | passthrough, north    | stateless filter                                 | append   |
 | average_delay         | watermark 0 s + tumbling window + avg            | append   |
 | trains_last_stop      | latest per id in state (max_by)                  | complete |
-| top_delayed(_current) | latest per id in state, then sort + limit        | complete |
+| trains_changes        | latest per id in state, changed units only       | update   |
+| top_delayed(_current) | latest per id in state, then sort + limit; the   | complete |
+|                       | job runs ``incremental_top``: changed units only |          |
 | top_delayed_window    | latest per (window, id) in state, append once    | append   |
 |                       | the window closes, top N per window in           |          |
 |                       | ``foreachBatch`` (``start_top_delayed_window``)  |          |
@@ -77,6 +79,12 @@ def trains_last_stop_stream(reports: DataFrame) -> tuple[DataFrame, str]:
     return trains_last_stop(reports).orderBy("lastupdate", "id"), "complete"
 
 
+def trains_changes_stream(reports: DataFrame) -> tuple[DataFrame, str]:
+    """The trains that got a report in the micro-batch, with their latest stop: the
+    changes of ``trains_last_stop_stream``'s snapshot, in update mode."""
+    return trains_last_stop(reports), "update"
+
+
 def top_delayed_stream(reports: DataFrame, n: int = TOP_N) -> tuple[DataFrame, str]:
     latest = latest_per_key(delayed(active(reports)), ["id"], columns=["linename", "delay"])
     return top_n(latest, n).select(*TOP_COLUMNS), "complete"

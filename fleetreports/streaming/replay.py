@@ -21,10 +21,11 @@ from pyspark.sql.streaming import StreamingQuery
 from fleetreports.defaults import AVG_MINUTES, GAP_REPORTS, TOP_N, TOP_WINDOW_MINUTES
 from fleetreports.functions.coerce import ntz_to_micros
 from fleetreports.operators.distinct import without_repeats
+from fleetreports.operators.latest import latest_per_key
 from fleetreports.session import checkpoint_root
 from fleetreports.sources.feed import parse_messages, read_feed_stream, to_messages
+from fleetreports.streaming import incremental_top, sinks
 from fleetreports.streaming import queries as sq
-from fleetreports.streaming import sinks
 
 SLICES = 3
 PARTITIONS_CONF = "spark.sql.shuffle.partitions"
@@ -123,6 +124,27 @@ def trains_last_stop(reports: DataFrame) -> DataFrame:
     return replay(reports, start, keep="last")
 
 
+def trains_changes(reports: DataFrame) -> DataFrame:
+    """The changes of ``streaming.queries.trains_changes_stream``, applied in order: the
+    last change of every train."""
+    def start(stream, sink, checkpoint, trigger):
+        def numbered(batch, batch_id):
+            sink(batch.withColumn("_change", F.lit(batch_id).cast("bigint")), batch_id)
+
+        return _started(*sq.trains_changes_stream(stream), numbered, checkpoint, trigger)
+
+    changes = replay(reports, start)
+    return latest_per_key(changes, ["id"], order=["_change"]).drop("_change")
+
+
+def top_delayed(reports: DataFrame, n: int = TOP_N, current: bool = False) -> DataFrame:
+    """The last ranking of ``streaming.incremental_top.start_top``."""
+    def start(stream, sink, checkpoint, trigger):
+        return incremental_top.start_top(stream, sink, f"replay-{uuid.uuid4().hex}", n, current, checkpoint, trigger)
+
+    return replay(reports, start, keep="last")
+
+
 def report_gap(reports: DataFrame, n: int = GAP_REPORTS) -> DataFrame:
     """``streaming.queries.report_gap_stream`` over the reports."""
     def start(stream, sink, checkpoint, trigger):
