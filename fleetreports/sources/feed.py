@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetreports.functions.coerce import (
@@ -53,6 +53,17 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+# Where a line of the feed comes from: its file's time stamp, the file and the
+# first byte of the split. Given to ``parse_messages``, they make ``seq`` the order of arrival.
+_PLACE = ("_stamp", "_path", "_start")
+
+
+def read_feed_placed(spark: SparkSession, path: str) -> DataFrame:
+    """``read_feed`` with the place of each line, from Spark's file metadata."""
+    at = {"_stamp": "file_modification_time", "_path": "file_path", "_start": "file_block_start"}
+    return read_feed(spark, path).select("value", *[F.col(f"_metadata.{f}").alias(c) for c, f in at.items()])
+
+
 def read_feed_stream(
     spark: SparkSession,
     path: str,
@@ -106,19 +117,66 @@ def _report_projection(attrs: Column, lastupdate_ms: Column, message: Column) ->
     ]
 
 
-# 43 bits of epoch milliseconds (until the 2240s) + 20 hash bits fit a long.
+# ``seq``: the millisecond of the file's time stamp (43 bits, until the 2240s) above 20
+# bits: the number of a line within it or, on a stream, of its hash.
 _HASH_BITS = 20
 
+# Split tables up to this many rows (24 bytes each) are broadcast once counted.
+SPLITS_BROADCAST = 1_000_000
+
 
-def stream_seq(value: Column) -> Column:
-    """Ingest order on a stream (where row ids are unavailable): the
-    micro-batch time stamp in the high bits - recorded in the offset log, so a
-    replayed batch gets the same numbers - and a content hash in the low 20
-    bits. Later micro-batches order after earlier ones; within one micro-batch
-    the order is deterministic."""
-    batch_ms = F.unix_millis(F.current_timestamp())
+def _millis(stamp: Column) -> Column:
+    return F.greatest(F.unix_millis(stamp), F.lit(0))
+
+
+def stream_seq(value: Column, stamp: Column | None = None) -> Column:
+    """Ingest order on a stream, where rows cannot be numbered: the millisecond of the
+    file's time stamp in the high bits and a content hash in the low 20. Messages of
+    later files order after those of earlier ones, however the files are cut into
+    micro-batches; within one stamp the order goes by the hash. Without a stamp the
+    micro-batch's time stands for it (recorded in the offset log, so a replayed batch
+    gets the same numbers)."""
+    milli = _millis(F.current_timestamp() if stamp is None else stamp)
     low = F.xxhash64(value).bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
-    return F.shiftleft(batch_ms, _HASH_BITS).bitwiseOR(low)
+    return F.shiftleft(milli, _HASH_BITS).bitwiseOR(low)
+
+
+def arrival_order(parsed: DataFrame, counted: bool = False) -> DataFrame:
+    """``seq`` of a batch with places (``seq`` holds row ids): the millisecond of the
+    file's time stamp and, within it, the number of the line in the order of (path, line).
+    It is unique, the same in every ingest that reads the same files of a stamp, and later
+    files come after earlier ones. A millisecond with more than 2^20 lines runs on into
+    those after it, so only ingests whose files are stamped that close can share numbers.
+
+    A task reads the lines of a split one after the other, so a line's number in its
+    split is the distance of row ids; lines are counted per split, and running sums over
+    that small table (one row per split) give each split's first number. ``counted``: the
+    rows are a table already; then the splits are written as one and broadcast up to
+    ``SPLITS_BROADCAST`` of them. Otherwise the text is read once more for the count, and
+    Spark chooses the join by size. The file's path is compared by a 64-bit hash.
+    """
+    rows = parsed.withColumn("_file", F.xxhash64("_path"))
+    splits = rows.groupBy("_file", "_start").agg(
+        F.min("_stamp").alias("_stamp"), F.min("_path").alias("_path"), F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_lines")
+    ).withColumn("_milli", _millis(F.col("_stamp")))
+    in_milli = Window.partitionBy("_milli").orderBy("_stamp", "_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("_file", "_start", "_first", "_milli",
+                           F.coalesce(F.sum("_lines").over(in_milli), F.lit(0)).alias("_before"), "_lines")
+    # One row per time stamp: the first number that is free for it.
+    stamps = splits.groupBy("_milli").agg(F.sum("_lines").alias("_lines"))
+    so_far = Window.orderBy("_milli")
+    earlier = F.coalesce(F.sum("_lines").over(so_far.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    stamps = stamps.select("_milli", earlier.alias("_earlier"))
+    start = F.max(F.shiftleft("_milli", _HASH_BITS) - F.col("_earlier")).over(so_far.rowsBetween(Window.unboundedPreceding, 0))
+    stamps = stamps.select("_milli", (start + F.col("_earlier")).alias("_at"))
+    places = splits.join(stamps, "_milli").select("_file", "_start", (F.col("_at") + F.col("_before") - F.col("_first")).alias("_shift"))
+    if counted:
+        from fleetreports.session import materialize
+
+        places = materialize(places, "splits")
+        places = F.broadcast(places) if places.count() <= SPLITS_BROADCAST else places
+    out = rows.join(places, ["_file", "_start"]).withColumn("seq", F.col("seq") + F.col("_shift"))
+    return out.select(*[c for c in parsed.columns if c not in _PLACE])
 
 
 def parsed_messages(raw: DataFrame, value_col: str = "value", with_lineage: bool = False) -> DataFrame:
@@ -126,12 +184,13 @@ def parsed_messages(raw: DataFrame, value_col: str = "value", with_lineage: bool
     good message) and ``_raw`` (the text, kept only for quarantined rows).
     ``split_parsed`` turns it into reports and quarantine."""
     value = F.col(value_col)
-    arrival = ["arrival"] if "arrival" in raw.columns else []
+    arrival = [c for c in ("arrival", *_PLACE) if c in raw.columns]
+    stamp = F.col("arrival") if "arrival" in raw.columns else None
     parsed = raw.filter(value.isNotNull()).select(
         *arrival,
         value.alias("_value"),
         F.from_json(value, RAW_MESSAGE_SCHEMA, _JSON_OPTIONS).alias("_m"),
-        (stream_seq(value) if raw.isStreaming else F.monotonically_increasing_id()).alias("seq"),
+        (stream_seq(value, stamp) if raw.isStreaming else F.monotonically_increasing_id()).alias("seq"),
     )
     corrupt = F.col("_m._corrupt_record").isNotNull()
     empty = F.trim(F.col("_value")) == ""
@@ -177,8 +236,8 @@ def parse_messages(
     job; empty messages, and those whose stamp is no possible time (their report
     takes epoch 0), are also listed in the quarantine for visibility.
     ``seq`` numbers the messages in ingest order (used only to break ties
-    between equal ``lastupdate``): unique row ids in batch, ``stream_seq`` on a
-    stream.
+    between equal ``lastupdate``): ``arrival_order`` for a batch with places
+    (``read_feed_placed``), else unique row ids; ``stream_seq`` on a stream.
 
     Both results derive from one parse. When both are consumed (batch),
     ``materialize_parse=True`` writes the parsed rows once to the shared
@@ -186,16 +245,19 @@ def parse_messages(
     streams, ``streaming.sinks.start_staging`` does the same through a table.)
     """
     combined = parsed_messages(raw, value_col, with_lineage)
-    if materialize_parse and not raw.isStreaming:
+    counted = materialize_parse and not raw.isStreaming
+    if counted:
         from fleetreports.session import materialize
 
         combined = materialize(combined, "parsed")
+    if set(_PLACE) <= set(combined.columns):
+        combined = arrival_order(combined, counted)
     return split_parsed(combined)
 
 
 def ingest(spark: SparkSession, path: str, with_lineage: bool = False, materialize_parse: bool = False) -> Ingested:
-    """Batch ingest of a landing folder."""
-    return parse_messages(read_feed(spark, path), with_lineage=with_lineage, materialize_parse=materialize_parse)
+    """Batch ingest of a landing folder; ``seq`` is the order of arrival."""
+    return parse_messages(read_feed_placed(spark, path), with_lineage=with_lineage, materialize_parse=materialize_parse)
 
 
 def to_messages(reports: DataFrame) -> DataFrame:
