@@ -78,7 +78,7 @@ def mixing_sql() -> str:
     seed, part = mixing.SEED, mixing.PART
 
     def hashed(*values: str) -> str:
-        return f"('0x' || substr(md5(concat_ws(':', {', '.join(f'CAST({v} AS VARCHAR)' for v in values)})), 1, 13))::BIGINT"
+        return f"('0x' || substr(md5(concat_ws(':', {', '.join(f"coalesce(CAST({v} AS VARCHAR), '')" for v in values)})), 1, 13))::BIGINT"
 
     return f"""
 WITH RECURSIVE have AS (
@@ -95,12 +95,12 @@ cdf(source, parts, mean, k, p, c) AS (
 ),
 cdfs AS (SELECT source, any_value(parts) AS parts, list(c ORDER BY k) AS cdf FROM cdf GROUP BY source),
 counted AS (
-  SELECT d.*, (SELECT sum(len(list_filter(cdf, lambda c: c <= {hashed(f"'{seed}'", 'd.doc_id', 'j')}::DOUBLE / 4503599627370496.0)))
+  SELECT d.*, (SELECT sum(len(list_filter(cdf, lambda c: c <= {hashed(f"'{seed}'", 'd.doc_id', 'md5(d.text)', 'j')}::DOUBLE / 4503599627370496.0)))
                FROM unnest(range(1, parts + 1)) t(j)) AS copies
   FROM documents d JOIN cdfs ON d.source IS NOT DISTINCT FROM cdfs.source
 ),
 copied AS (SELECT * EXCLUDE (copies), unnest(range(0, copies::BIGINT))::INTEGER AS copy FROM counted WHERE copies > 0)
-SELECT *, {hashed(f"'{seed}-place'", 'doc_id', 'copy')} AS mix_key FROM copied"""
+SELECT *, {hashed(f"'{seed}-place'", 'doc_id', 'md5(text)', 'copy')} AS mix_key FROM copied"""
 
 
 def substring_dedup_sql() -> str:

@@ -370,7 +370,8 @@ def test_mixing(spark, docs, rows, none):
         parts = max(1, math.ceil(mean / mixing.PART))
         count = 0
         for j in range(1, parts + 1):
-            key = ":".join(["mix-1", *([] if i is None else [str(i)]), str(j)])
+            digest = "" if t is None else hashlib.md5(t.encode()).hexdigest()
+            key = ":".join(["mix-1", "" if i is None else str(i), digest, str(j)])
             u = int(hashlib.md5(key.encode()).hexdigest()[:13], 16) / 2 ** 52
             p = c = math.exp(-mean / parts)
             k = 0
@@ -385,6 +386,40 @@ def test_mixing(spark, docs, rows, none):
     assert mixing.mix(none).count() == 0
 
 
+@pytest.fixture
+def all_partitions(spark):
+    """Small shuffles keep their partitions, so that the deal can be seen."""
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    yield
+    spark.conf.set(conf, before)
+
+
+def test_mixing_of_a_tiny_source_in_blocks(spark, all_partitions):
+    """One null text weighs as much as all others: its copies come from blocks, none lost or twice."""
+    rows = [(k, "x" * 99, "big") for k in range(400)] + [(None, None, "tiny")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.mix(docs)
+    tiny = [r.copy for r in got.where("source = 'tiny'").select("copy").collect()]
+    assert sorted(tiny) == list(range(len(tiny))) and abs(len(tiny) - 20_000) < 1000
+    assert 100 < got.where("source = 'big'").count() < 300
+    tasks = got.where("source = 'tiny'").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in tasks) < len(tiny) // 2
+
+
+def test_mixing_of_rows_without_id(spark, all_partitions):
+    """Unlike texts without a doc_id draw apart; equal ones are not dealt to one task."""
+    rows = [(None, f"text {k}", "a") for k in range(2000)] + [(None, "same", "b")] * 2000
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), epochs=4.0)
+    count = Counter(r.text for r in got.where("source = 'a'").collect())
+    size = sum(len(f"text {k}") + 1 for k in range(2000))
+    mean = 4.0 * (size + 2000 * 5) / 2 / size  # copies of a text of source a
+    assert len(set(count.values())) > 5 and abs(sum(count.values()) - 2000 * mean) < 5 * math.sqrt(2000 * mean)
+    same = got.where("source = 'b'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(same) > 4
+
+
 def test_mixing_reaches_weights(spark):
     rows = [(k, "x" * 99, "hot" if k % 3 == 0 else None if k % 50 == 1 else f"s{k % 4}") for k in range(8000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
