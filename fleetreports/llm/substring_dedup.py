@@ -6,14 +6,16 @@ document with a smaller doc_id; windows are judged on the input.
 
 1. *Sketch pass.* Every window has an anchor, the least hash of its 25-word runs;
    equal windows have equal anchors, and neighbouring windows share theirs, so
-   a document has about one anchor for 13 words. Each task counts anchors in a
-   count-min sketch (2 rows of 2^26 counters that stop at 2) and hands on its
-   non-zero blocks; Spark merges the blocks. The merged sketch never counts too
-   few, has one fixed size (16 MB for the driver and each worker) whatever the
-   input, and a fuller one only lets more windows through.
+   a document has about one anchor for 13 words. Each task counts the anchors of
+   one copy of every text in a count-min sketch (2 rows of counters that stop at 2)
+   and hands on its non-zero blocks; Spark merges the blocks. The sketch grows with the
+   bytes of unlike texts, ``PER_ANCHOR`` = 8 to 16 counters for each anchor
+   to be expected, up to 2^``MOST_BITS`` counters a row (64 MB, reached at some 6 GB of
+   unlike texts). The merged sketch never counts too few; a fuller one only lets more
+   windows through.
 2. *Exact pass.* Windows whose anchor is estimated to be repeated are grouped
-   exactly by a 96-bit hash: the smallest doc_id of each group (pre-aggregated in
-   every task), joined back to the occurrences. Documents with equal texts send
+   exactly by a 96-bit hash: the smallest doc_id of each group with several (pre-aggregated
+   in every task), joined back to the occurrences. Documents with equal texts send
    the windows of one copy only; the others lose all they have.
 3. Positions of removed windows meet their text again and the kept words are
    written out.
@@ -40,12 +42,19 @@ from fleetreports.llm.bitmaps import id_filter, passes, spot_of
 from fleetreports.llm.tables import dropped, stored
 
 WINDOW, ANCHOR = 50, 25
-ROWS, BITS, BLOCK = 2, 26, 1 << 19  # sketch rows, log2 of counters a row, counters a block
+ROWS, BLOCK = 2, 1 << 19  # sketch rows, counters a block
+LEAST_BITS, MOST_BITS = 20, 29  # log2 of counters a row
+PER_ANCHOR, ANCHOR_BYTES = 8, 94  # counters an anchor; text bytes an anchor (13 words of natural text)
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
-def _cells(values: np.ndarray, row: int) -> np.ndarray:
-    return (W.mix(values ^ np.uint64(_SEEDS[row])) >> np.uint64(64 - BITS)).astype(np.int64)
+def sketch_bits(size: int) -> int:
+    """log2 of the counters of a sketch row for so many bytes of unlike texts."""
+    return min(max((size * PER_ANCHOR // ANCHOR_BYTES).bit_length(), LEAST_BITS), MOST_BITS)
+
+
+def _cells(values: np.ndarray, row: int, bits: int) -> np.ndarray:
+    return (W.mix(values ^ np.uint64(_SEEDS[row])) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _anchors(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -72,33 +81,41 @@ def _add(once: np.ndarray, twice: np.ndarray, more: np.ndarray, more_twice: np.n
     once |= more
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    size = (1 << BITS) // 8
-    once = np.zeros((ROWS, size), np.uint8)
-    twice = np.zeros((ROWS, size), np.uint8)
-    for c in W.chunks(batches):
-        w = W.words(c)
-        value, begin = _anchors(w)
-        if not len(value):
-            continue
-        doc = w.doc[begin]
-        new = np.ones(len(value), bool)
-        new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
-        value = value[new]
+def _originals(batches: Iterator[pa.RecordBatch], firsts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows whose ``spot`` is among ``firsts``: the others are copies of another row's text."""
+    for b in batches:
+        yield b.filter(pa.array(passes(firsts, np.asarray(b.column(b.schema.get_field_index("spot"))))))
+
+
+def _sketch(firsts, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = (1 << bits) // 8
+        once = np.zeros((ROWS, size), np.uint8)
+        twice = np.zeros((ROWS, size), np.uint8)
+        for c in W.chunks(_originals(batches, firsts.value)):
+            w = W.words(c)
+            value, begin = _anchors(w)
+            if not len(value):
+                continue
+            doc = w.doc[begin]
+            new = np.ones(len(value), bool)
+            new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
+            value = value[new]
+            for row in range(ROWS):
+                cell, count = np.unique(_cells(value, row, bits), return_counts=True)
+                byte, bit = cell >> 3, (np.uint8(1) << (cell & 7).astype(np.uint8))
+                had = (once[row][byte] & bit) > 0
+                np.bitwise_or.at(once[row], byte, bit)
+                again = had | (count > 1)
+                np.bitwise_or.at(twice[row], byte[again], bit[again])
+        step = BLOCK // 8
         for row in range(ROWS):
-            cell, count = np.unique(_cells(value, row), return_counts=True)
-            byte, bit = cell >> 3, (np.uint8(1) << (cell & 7).astype(np.uint8))
-            had = (once[row][byte] & bit) > 0
-            np.bitwise_or.at(once[row], byte, bit)
-            again = had | (count > 1)
-            np.bitwise_or.at(twice[row], byte[again], bit[again])
-    step = BLOCK // 8
-    for row in range(ROWS):
-        for k in range(size // step):
-            part = once[row, k * step:(k + 1) * step]
-            if part.any():
-                packed = zlib.compress(part.tobytes() + twice[row, k * step:(k + 1) * step].tobytes(), 1)
-                yield pa.RecordBatch.from_pydict({"block": pa.array([row * (size // step) + k], pa.int64()), "counts": [packed]})
+            for k in range(size // step):
+                part = once[row, k * step:(k + 1) * step]
+                if part.any():
+                    packed = zlib.compress(part.tobytes() + twice[row, k * step:(k + 1) * step].tobytes(), 1)
+                    yield pa.RecordBatch.from_pydict({"block": pa.array([row * (size // step) + k], pa.int64()), "counts": [packed]})
+    return run
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,31 +138,27 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def _repeated_cells(docs: DataFrame) -> np.ndarray:
-    """The merged sketch as bitmaps of counters at 2, ROWS x 2^BITS bits."""
-    blocks = (docs.select("text").mapInArrow(_sketch, "block bigint, counts binary")
+def _repeated_cells(docs: DataFrame, firsts, bits: int) -> np.ndarray:
+    """The merged sketch of ``docs`` (text, spot) as bitmaps of counters at 2, ROWS x 2^bits bits."""
+    blocks = (docs.mapInArrow(_sketch(firsts, bits), "block bigint, counts binary")
               .repartition("block").sortWithinPartitions("block")
               .mapInArrow(_merged, "block bigint, counts binary").collect())
-    out = np.zeros(ROWS * (1 << BITS) // 8, np.uint8)
+    out = np.zeros(ROWS * (1 << bits) // 8, np.uint8)
     step = BLOCK // 8
     for r in blocks:
         out[r["block"] * step:(r["block"] + 1) * step] = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.uint8)
     return out.reshape(ROWS, -1)
 
 
-def _occurrences(sketch, firsts):
-    """Windows with an anchor that the sketch holds for repeated; rows whose
-    spot is not among ``firsts`` are copies of another row's text."""
+def _occurrences(sketch, firsts, bits: int):
+    """Windows of the originals with an anchor that the sketch holds for repeated."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def originals():
-            for b in batches:
-                yield b.filter(pa.array(passes(firsts.value, np.asarray(b.column(3)))))
-        for c in W.chunks(originals()):
+        for c in W.chunks(_originals(batches, firsts.value)):
             w = W.words(c)
             value, begin = _anchors(w)
             maybe = np.ones(len(value), bool)
             for row in range(ROWS):
-                maybe &= passes(sketch.value[row], _cells(value, row))
+                maybe &= passes(sketch.value[row], _cells(value, row, bits))
             if not maybe.any():
                 continue
             full, _ = W.runs(w, WINDOW)
@@ -201,10 +214,12 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     firsts = stored(texts.groupBy(*same).agg(F.min("ord").alias("first"), F.max("ord").alias("last")), "firsts")
     key = F.struct("ord", "text_key")
     bitmap = spark.sparkContext.broadcast(id_filter(firsts.select(F.col("first").alias("ord"), "text_key"), key))
-    sketch = spark.sparkContext.broadcast(_repeated_cells(docs))
-    found = stored(docs.select("ord", "text_key", "text", spot_of(key).alias("spot"))
-                   .mapInArrow(_occurrences(sketch, bitmap), "h bigint, h2 int, ord bigint, text_key bigint, pos int"), "windows")
-    least = found.groupBy("h", "h2").agg(F.min("ord").alias("first"))
+    bits = sketch_bits(firsts.agg(F.sum("size")).first()[0] or 0)
+    spotted = docs.select("ord", "text_key", "text", spot_of(key).alias("spot"))
+    sketch = spark.sparkContext.broadcast(_repeated_cells(spotted.select("text", "spot"), bitmap, bits))
+    found = stored(spotted.mapInArrow(_occurrences(sketch, bitmap, bits), "h bigint, h2 int, ord bigint, text_key bigint, pos int"), "windows")
+    least = (found.groupBy("h", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
+             .where("first < last").drop("last"))  # in several documents
     again = found.join(least, ["h", "h2"]).where("ord > first")
     removed = again.groupBy("ord", "text_key").agg(F.collect_list("pos").alias("removed")).withColumn("whole", F.lit(False))
     copies = (texts.join(firsts.where("first < last").select(*same, "first"), same).where("ord > first")

@@ -466,13 +466,26 @@ def test_substring_dedup(docs, rows, none):
 
 def test_substring_dedup_full_sketch(spark, monkeypatch):
     """A sketch that is far too small lets every window through; the result stays exact."""
-    monkeypatch.setattr(substring_dedup, "BITS", 22)
+    monkeypatch.setattr(substring_dedup, "sketch_bits", lambda size: 19)
     passage = " ".join(f"p{k}" for k in range(80))
     rows = [(k, " ".join(f"{'abc'[k % 3]}{j}" if k % 2 else f"d{k}_{j}" for j in range(k)) + " " + (passage if k % 5 == 0 else "")) for k in range(40, 120)]
     got = [tuple(r) for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
     assert ordered(got) == ordered(repeats_by_hand(rows))
 
 
+def test_substring_dedup_sketch_grows():
+    """The share of unrepeated anchors that the sketch lets through stays the same while it grows."""
+    bits = [substring_dedup.sketch_bits(size) for size in (0, 10 ** 8, 10 ** 9, 6 * 10 ** 9, 10 ** 14)]
+    assert bits == [20, 24, 27, 29, 29]
+    for size in (2 * 10 ** 7, 10 ** 8, 3 * 10 ** 8):
+        anchors = np.random.default_rng(size).integers(0, 1 << 63, size // substring_dedup.ANCHOR_BYTES).astype(np.uint64)
+        through = np.ones(len(anchors), bool)
+        for row in range(substring_dedup.ROWS):
+            cells = substring_dedup._cells(anchors, row, substring_dedup.sketch_bits(size))
+            through &= np.bincount(cells, minlength=1)[cells] > 1
+        assert through.mean() < 0.02
+
+
 # ------------------------------------------------------------------ op8
 
 
