@@ -15,7 +15,8 @@ document with a smaller doc_id; windows are judged on the input.
    windows through.
 2. *Exact pass.* Windows whose anchor is estimated to be repeated are grouped
    exactly by a 96-bit hash: the smallest doc_id of each group with several (pre-aggregated
-   in every task), joined back to the occurrences. Documents with equal texts send
+   in every task), joined back to the occurrences; windows that occur very often are
+   few and joined by broadcast, so none of them is one task's work. Documents with equal texts send
    the windows of one copy only; the others lose all they have.
 3. Positions of removed windows meet their text again and the kept words are
    written out.
@@ -44,6 +45,7 @@ from fleetreports.llm.tables import dropped, stored
 WINDOW, ANCHOR = 50, 25
 ROWS, BLOCK = 2, 1 << 19  # sketch rows, counters a block
 LEAST_BITS, MOST_BITS = 20, 29  # log2 of counters a row
+HOT_ROWS, HOT_SHARE = 10_000, 100_000
 PER_ANCHOR, ANCHOR_BYTES = 8, 94  # counters an anchor; text bytes an anchor (13 words of natural text)
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -84,7 +86,8 @@ def _add(once: np.ndarray, twice: np.ndarray, more: np.ndarray, more_twice: np.n
 def _originals(batches: Iterator[pa.RecordBatch], firsts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows whose ``spot`` is among ``firsts``: the others are copies of another row's text."""
     for b in batches:
-        yield b.filter(pa.array(passes(firsts, np.asarray(b.column(b.schema.get_field_index("spot"))))))
+        mine = passes(firsts, np.asarray(b.column(b.schema.get_field_index("spot"))))
+        yield b if mine.all() else b.filter(pa.array(mine))
 
 
 def _sketch(firsts, bits: int):
@@ -218,9 +221,12 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     spotted = docs.select("ord", "text_key", "text", spot_of(key).alias("spot"))
     sketch = spark.sparkContext.broadcast(_repeated_cells(spotted.select("text", "spot"), bitmap, bits))
     found = stored(spotted.mapInArrow(_occurrences(sketch, bitmap, bits), "h bigint, h2 int, ord bigint, text_key bigint, pos int"), "windows")
-    least = (found.groupBy("h", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
-             .where("first < last").drop("last"))  # in several documents
-    again = found.join(least, ["h", "h2"]).where("ord > first")
+    least = stored(found.groupBy("h", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last"), F.count(F.lit(1)).alias("n"))
+                   .where("first < last").drop("last"), "repeated")  # in several documents
+    # Windows with over HOT_ROWS occurrences, and a HOT_SHARE-th of all, are at most HOT_SHARE: broadcast.
+    often = F.col("n") > max(HOT_ROWS, found.count() // HOT_SHARE)
+    hot, rest = F.broadcast(least.where(often).drop("n")), least.where(~often).drop("n")
+    again = found.join(hot, ["h", "h2"]).unionByName(found.join(hot, ["h", "h2"], "left_anti").join(rest, ["h", "h2"])).where("ord > first")
     removed = again.groupBy("ord", "text_key").agg(F.collect_list("pos").alias("removed")).withColumn("whole", F.lit(False))
     copies = (texts.join(firsts.where("first < last").select(*same, "first"), same).where("ord > first")
               .select("ord", "text_key", F.array().cast("array<int>").alias("removed"), F.lit(True).alias("whole")).distinct())

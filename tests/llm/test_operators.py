@@ -467,6 +467,7 @@ def test_substring_dedup(docs, rows, none):
 def test_substring_dedup_full_sketch(spark, monkeypatch):
     """A sketch that is far too small lets every window through; the result stays exact."""
     monkeypatch.setattr(substring_dedup, "sketch_bits", lambda size: 19)
+    monkeypatch.setattr(substring_dedup, "HOT_ROWS", 20)  # both joins: some windows occur 40 times, others 16 times
     passage = " ".join(f"p{k}" for k in range(80))
     rows = [(k, " ".join(f"{'abc'[k % 3]}{j}" if k % 2 else f"d{k}_{j}" for j in range(k)) + " " + (passage if k % 5 == 0 else "")) for k in range(40, 120)]
     got = [tuple(r) for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
