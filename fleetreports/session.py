@@ -10,12 +10,21 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkAttributeError
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+_STATE_PACKAGE = "org.apache.spark.sql.execution.streaming.state"
+_HEAP_STORE = f"{_STATE_PACKAGE}.HDFSBackedStateStoreProvider"
+ROCKSDB_CONF = {
+    STATE_STORE_CONF: f"{_STATE_PACKAGE}.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(master: str | None = None, app_name: str = "fleetreports", shuffle_partitions: int | None = None,
@@ -38,9 +47,7 @@ def build_session(master: str | None = None, app_name: str = "fleetreports", shu
         # Streaming state (latest report per unit, open windows, gap stamps)
         # grows with the number of units: keep it in RocksDB (off-heap, on
         # local disk, checkpointed incrementally) instead of the JVM heap.
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        **ROCKSDB_CONF,
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -85,6 +92,28 @@ def stream_checkpoint(spark: SparkSession, query_name: str, location: str | None
     return os.path.join(checkpoint_root(spark), "streams", query_name)
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streaming queries started inside keep their state in RocksDB where the session has
+    Spark's default store, on which ``transformWithState`` cannot run. A query copies the
+    session's settings as it starts, so they are as before afterwards; a store that the
+    session names itself stays."""
+    if spark.conf.get(STATE_STORE_CONF) != _HEAP_STORE:
+        yield
+        return
+    before = {k: spark.conf.get(k, None) for k in ROCKSDB_CONF}
+    for k, v in ROCKSDB_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def materialize(df, label: str):
     """Write ``df`` once as a parquet table under the shared checkpoint folder
     and read it back: cuts the lineage (recovery after executor loss reads the

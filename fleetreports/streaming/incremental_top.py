@@ -39,7 +39,7 @@ from fleetreports.functions.coerce import instant_to_ntz, ntz_to_micros
 from fleetreports.operators.filters import active, delayed
 from fleetreports.operators.topn import top_n
 from fleetreports.schema import TOP_COLUMNS
-from fleetreports.session import stream_checkpoint
+from fleetreports.session import rocksdb_state, stream_checkpoint
 
 BUCKETS = 256  # fixed at a query's first start, as the state partitions are
 SPARE = 64  # candidates kept beyond N
@@ -189,4 +189,5 @@ def start_top(reports: DataFrame, sink: Callable[[DataFrame, int], None], name:
             batch.unpersist()
 
     writer = rows.writeStream.outputMode(mode).queryName(name).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": SNAPSHOT_INTERVAL})).foreachBatch(step).start()
+    with rocksdb_state(reports.sparkSession):
+        return writer.trigger(**(trigger or {"processingTime": SNAPSHOT_INTERVAL})).foreachBatch(step).start()
