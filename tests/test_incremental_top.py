@@ -65,7 +65,8 @@ def test_restart_and_empty_buckets(spark, scratch_dir):
         assert rankings(spark, folder, scratch_dir, True)[-1] == want
 
 
-def test_session_with_the_default_state_store(spark, scratch_dir):
+@pytest.mark.parametrize("current", [False, True])
+def test_session_with_the_default_state_store(spark, scratch_dir, current):
     """A session that knows nothing of RocksDB: the query runs, restarts, and leaves the settings as they were."""
     folder = os.path.join(scratch_dir, "in")
     before = {k: spark.conf.get(k, None) for k in session.ROCKSDB_CONF}
@@ -75,10 +76,10 @@ def test_session_with_the_default_state_store(spark, scratch_dir):
         spark.conf.set(session.STATE_STORE_CONF, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
         plain = {k: spark.conf.get(k, None) for k in before}
         landing(folder, [msgs([rec(1, delay=9, t=1000), rec(2, delay=8, t=1000)])])
-        assert rankings(spark, folder, scratch_dir, False)[-1] == [("1", 9.0), ("2", 8.0)]
+        assert rankings(spark, folder, scratch_dir, current)[-1] == [("1", 9.0), ("2", 8.0)]
         with open(os.path.join(folder, "more.json"), "w") as f:
             f.write("\n".join(msgs([rec(1, delay=2, t=2000)])) + "\n")
-        assert rankings(spark, folder, scratch_dir, False)[-1] == [("2", 8.0), ("1", 2.0)]
+        assert rankings(spark, folder, scratch_dir, current)[-1] == [("2", 8.0), ("1", 2.0)]
         assert {k: spark.conf.get(k, None) for k in before} == plain
     finally:
         for k, v in before.items():
