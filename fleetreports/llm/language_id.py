@@ -7,15 +7,17 @@ second rotated by one times the third. A text's profile is the bundle (sum) of
 its n-gram vectors, a language's prototype the bundle of the unit profiles of
 its training texts, and a text belongs to the language with the largest cosine.
 
-Training reads at most about ``TRAIN_DOCS`` texts of each language (a sample by
-the hash of doc_id, at a rate known from exact counts); prototypes are summed as
-integers, so the result does not depend on the order of tasks. Prediction reads
-every whole text and nothing but the text.
-
-*Rejection* is by the share of n-grams that no training text holds (a bitmap of
-their hashes), as a cosine near the noise says little. Of a text's m n-grams, up
-to (``UNSEEN`` = 0.25 plus the share that 95 % of the language's held-out texts don't
-exceed) times m, plus ``SLACK`` = 2, may be unseen: one odd letter makes three.
+Training reads every text that has a lang and is not held out; prototypes are
+summed as integers in tasks, so the result does not depend on the order of tasks
+and the driver gets one vector a language. Prediction reads every whole text and
+nothing but the text.
+
+*Rejection* is by the share of n-grams that no training text holds, as a cosine near
+the noise says little. The n-grams of all training texts are a bitmap of their hashes
+with 16 bits or more for each, up to 2^30 in all (64 million n-grams; beyond that more
+unseen ones count as seen). Of a text's m n-grams, up to (``UNSEEN`` = 0.25 plus the
+share that 95 % of the language's held-out texts, all of them, don't exceed) times m,
+plus ``SLACK`` = 2, may be unseen: one odd letter makes three.
 
 Defined cases: null text, or one without a letter, is ``und`` with score 0, as is
 every text where no language could be learned; ties go to the first language in
@@ -30,14 +32,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetreports.llm import words as W
-from fleetreports.llm.bitmaps import hash_filter, low_spots, passes
+from fleetreports.llm.bitmaps import BITS, hash_filter, low_spots, passes
+from fleetreports.llm.tables import dropped, stored
 
-DIM, TRAIN_DOCS, FOLDS, UNKNOWN = 1024, 2000, 5, "und"
-UNSEEN, SLACK, HELD_DOCS = 0.25, 2, 2000
+DIM, FOLDS, UNKNOWN = 1024, 5, "und"
+UNSEEN, SLACK = 0.25, 2
+_RECENT, _BINS = 20, 4096  # bits of a task's table of n-grams; bins of shares
 _UNIT = 1 << 20  # a unit profile's coordinates are summed in these steps
 _CELLS, _BLOCK = 4_000_000, 8192  # counters, and n-gram vectors, at once
 _letters: dict[str, np.ndarray] = {}
@@ -101,7 +105,7 @@ def _bundled(c: W.Chunk, seen: np.ndarray | None = None) -> Iterator[tuple[int,
         yield 0, n, np.zeros((n, DIM), np.float32), np.zeros(n), np.zeros(n)
         return
     total = len(g.three[0])
-    new = np.zeros(total) if seen is None else (~passes(seen, low_spots(g.hashes()))).astype(np.float64)
+    new = np.zeros(total) if seen is None else _new(g, seen)
     whole = g.vectors(slice(None)) if total <= _BLOCK else None
     step = max(1, _CELLS // min(total, _BLOCK))
     for i in range(0, n, step):
@@ -125,6 +129,11 @@ def _bundled(c: W.Chunk, seen: np.ndarray | None = None) -> Iterator[tuple[int,
         yield i, j, bundles, size, unseen
 
 
+def _new(g: _Grams, seen: np.ndarray) -> np.ndarray:
+    """1 for each distinct n-gram that is not in ``seen``, else 0."""
+    return (~passes(seen, low_spots(g.hashes(), len(seen).bit_length() + 2))).astype(np.float64)
+
+
 def _counts(row: np.ndarray, column: np.ndarray, rows: int, columns: int) -> np.ndarray:
     return np.bincount(row * columns + column, minlength=rows * columns).astype(np.float32).reshape(rows, columns)
 
@@ -185,24 +194,15 @@ def held_out(doc_id: Column, folds: int = FOLDS, fold: int = 0) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
 
 
-def _sample(docs: DataFrame, of: Column, most: int) -> DataFrame | None:
-    """About ``most`` texts of each lang (text, lang) from the rows that ``of`` holds for."""
-    rows = docs.select("doc_id", "text", "lang").where(of & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
-    if not counts:
-        return None
-    rate = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(most / n))])
-    draw = F.pmod(F.xxhash64(F.lit("train"), F.col("doc_id")), F.lit(1 << 30)) / (1 << 30)
-    return rows.where(draw < rate[F.col("lang")]).select("text", "lang")
+def _labelled(docs: DataFrame, of: Column) -> DataFrame:
+    """Texts (text, lang) of the rows that ``of`` holds for and that have a lang."""
+    return docs.where(of & F.col("lang").isNotNull()).select("text", "lang")
 
 
 def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages and their unit prototypes, from the rows of ``docs`` (doc_id,
     text, lang) that are not held out and have a lang."""
-    rows = _sample(docs, ~held_out(F.col("doc_id")), TRAIN_DOCS)
-    if rows is None:
-        return [], np.zeros((0, DIM))
-    sums = (rows.mapInArrow(_bundles, "lang string, place int, total bigint")
+    sums = (_labelled(docs, ~held_out(F.col("doc_id"))).mapInArrow(_bundles, "lang string, place int, total bigint")
             .groupBy("lang", "place").agg(F.sum("total").alias("total")).collect())  # DIM rows a language
     names = sorted({r["lang"] for r in sums})
     out = np.zeros((len(names), DIM))
@@ -240,24 +240,61 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None)
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the n-grams of texts, once a chunk."""
+    """Hashes of the n-grams of texts, most of them once a task: those that a table of
+    fixed size remembers are left out."""
+    recent = np.zeros(1 << _RECENT, np.uint64)
     for c in W.chunks(batches):
         g = _distinct(c)
         if g is not None:
-            yield pa.RecordBatch.from_pydict({"h": pa.array(W.signed(g.hashes()))})
+            h = g.hashes()
+            spot = low_spots(h, _RECENT)
+            h, spot = (x[recent[spot] != h] for x in (h, spot))
+            recent[spot] = h
+            yield pa.RecordBatch.from_pydict({"h": pa.array(W.signed(h), pa.int64())})
+
+
+def _seen(trained: DataFrame) -> np.ndarray:
+    """Bitmap of the n-grams of all training texts, sized by their exact number."""
+    grams = stored(trained.mapInArrow(_grams, "h bigint").distinct(), "language-grams")
+    bits = max(BITS, min(30, (16 * grams.count()).bit_length()))
+    out = hash_filter(grams, F.col("h"), bits)
+    dropped(grams)
+    return out
 
 
 def _shares(seen):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in W.chunks(batches):
-            lang = c.rows.column(1)
-            for i, j, _, total, unseen in _bundled(c, seen.value):
-                some = total > 0
-                yield pa.RecordBatch.from_pydict({"lang": lang.slice(i, j - i).filter(pa.array(some)),
-                                                  "share": pa.array((unseen[some] / total[some]).astype(np.float64))})
+            g = _distinct(c)
+            if g is None:
+                continue
+            total = np.diff(g.first)
+            some = total > 0
+            unseen = np.bincount(np.repeat(np.arange(len(c)), total), weights=_new(g, seen.value)[g.at], minlength=len(c))
+            yield pa.RecordBatch.from_pydict({"lang": c.rows.column(1).filter(pa.array(some)), "share": pa.array(unseen[some] / total[some])})
     return run
 
 
+def _quantile(shares: DataFrame, q: float) -> DataFrame:
+    """lang, share: the exact quantile (as ``percentile`` gives it) of the shares (0 to 1)
+    of each lang. Equal shares are counted first; the counts of ``_BINS`` bins a lang tell
+    the bins that hold the two ranks around the quantile, and only these are put in order."""
+    counts = stored(shares.groupBy("lang", "share").agg(F.count("*").alias("n"))
+                    .withColumn("bin", F.floor(F.col("share") * _BINS)), "language-shares")
+    of = Window.partitionBy("lang")
+    bins = (counts.groupBy("lang", "bin").agg(F.sum("n").alias("m"))
+            .select("lang", "bin", "m", (F.sum("m").over(of.orderBy("bin")) - F.col("m")).alias("before"),
+                    ((F.sum("m").over(of) - 1) * F.lit(q)).alias("at"))
+            .where("floor(at) < before + m and ceil(at) >= before"))
+    ranked = (counts.join(bins, ["lang", "bin"])
+              .withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy("lang", "bin").orderBy("share"))))
+    holds = lambda rank: F.min(F.when(F.expr(f"upto > {rank}(at)"), F.col("share")))
+    ends = ranked.groupBy("lang").agg(F.first("at").alias("at"), holds("floor").alias("low"), holds("ceil").alias("high"))
+    out = ends.select("lang", F.expr("CASE WHEN low = high THEN low ELSE (ceil(at) - at) * low + (at - floor(at)) * high END").alias("share"))
+    out.counts = counts  # read by the result: to be dropped after it
+    return out
+
+
 def in_known_language(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language: not ``und``, and
     without too many n-grams that no training text holds. All columns stay; so do
@@ -265,15 +302,13 @@ def in_known_language(docs: DataFrame) -> DataFrame:
     names, prototypes = learn(docs)
     if not names:
         return docs
-    trained = _sample(docs, ~held_out(F.col("doc_id")), TRAIN_DOCS).mapInArrow(_grams, "h bigint")
-    seen = docs.sparkSession.sparkContext.broadcast(hash_filter(trained, F.col("h")))
+    seen = docs.sparkSession.sparkContext.broadcast(_seen(_labelled(docs, ~held_out(F.col("doc_id")))))
     most = np.ones(len(names))
-    held = _sample(docs, held_out(F.col("doc_id")), HELD_DOCS)
-    if held is not None:
-        for r in held.mapInArrow(_shares(seen), "lang string, share double").groupBy("lang").agg(
-                F.percentile("share", F.lit(0.95)).alias("share")).collect():  # one row a language
-            if r["lang"] in names:
-                most[names.index(r["lang"])] = min(1.0, UNSEEN + r["share"])
+    bounds = _quantile(_labelled(docs, held_out(F.col("doc_id"))).mapInArrow(_shares(seen), "lang string, share double"), 0.95)
+    for r in bounds.collect():  # one row a language
+        if r["lang"] in names:
+            most[names.index(r["lang"])] = min(1.0, UNSEEN + r["share"])
+    dropped(bounds.counts)
     return docs.where(F.col("text").isNotNull()).mapInArrow(_held(prototypes, seen, most), docs.schema)
 
 

@@ -299,6 +299,35 @@ def test_known_language_at_every_length(spark):
     assert kept[102] + kept[103] + kept[104] + kept[105] == 0 and kept[106] <= 15
 
 
+def test_language_training_reads_every_text(spark):
+    """More than 5,000 training texts of one lang, each of n-grams of its own: all are known and in the prototypes."""
+    rng = np.random.default_rng(6)
+    held = [i for i in range(7000) if zlib.crc32(str(i).encode()) % 5 == 0]
+    own = [i for i in range(7000) if zlib.crc32(str(i).encode()) % 5]
+    text = {i: "".join(map(chr, rng.integers(0x4E00, 0x9FA0, 15))) for i in own} | dict.fromkeys(held, "aaaa aaaa")
+    text[own[0]] += " aaaa"
+    rows = spark.createDataFrame([(i, t, "x") for i, t in sorted(text.items())], "doc_id bigint, text string, lang string").repartition(8)
+    assert len(own) > 5000
+    assert sorted(r.doc_id for r in language_id.in_known_language(rows).collect()) == sorted(text)
+    names, prototypes = language_id.learn(rows)
+    total = np.zeros(language_id.DIM)
+    batch = pa.RecordBatch.from_pydict({"text": [text[i] for i in own]})
+    for c in W.chunks([batch]):
+        for _, _, p in language_id._profiles(c):
+            total += np.rint(p / np.linalg.norm(p.astype(np.float64), axis=1, keepdims=True) * (1 << 20)).sum(axis=0)
+    assert names == ["x"] and np.allclose(prototypes[0], total / np.linalg.norm(total), atol=1e-9)
+
+
+def test_language_quantile_of_all_shares(spark):
+    rng = np.random.default_rng(3)
+    shares = {"a": rng.random(3001), "b": rng.integers(0, 4, 1000) / 3, "c": np.array([0.4]), "d": np.array([0.0, 1.0]), "e": np.zeros(50),
+              "f": np.append(np.zeros(39), 1.0), "g": np.arange(41) / 40}
+    rows = spark.createDataFrame([(k, float(x)) for k, v in shares.items() for x in v], "lang string, share double")
+    got = {r.lang: r.share for r in language_id._quantile(rows, 0.95).collect()}
+    assert got == {r.lang: r.share for r in rows.groupBy("lang").agg(F.percentile("share", F.lit(0.95)).alias("share")).collect()}
+    assert all(abs(got[k] - np.quantile(v, 0.95)) < 1e-12 for k, v in shares.items()) and len(got) == len(shares)
+
+
 def test_language_profiles_by_hand():
     """The bundle of a text is the sum of its bound letter vectors."""
     texts = ["Abé a", "", "x1y"]
