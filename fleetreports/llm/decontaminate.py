@@ -204,7 +204,7 @@ TEMPLATE, PLAIN, WHOLE = 0, 1, 2
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of items: ``w`` names the window, ``h`` is the hash of one form of it."""
-    for c in W.chunks(batches):
+    for c in W.chunks(batches, size=W.PIECE):
         h, begin, row, slots, t, value = _windows(c)
         count = np.diff(t.first)
         usable = np.bincount(row, minlength=len(c)) > 0
@@ -244,7 +244,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _doc_windows(bitmap, short: list[int]):
     """``short``: the lengths of items with fewer than WINDOW tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in W.chunks(batches):
+        for c in W.chunks(batches, size=W.PIECE):
             h, begin, _, slots, t, value = _windows(c)
             hit = passes(bitmap.value, low_spots(h))
             found = [(h[hit], begin[hit])]

@@ -43,7 +43,8 @@ DIM, FOLDS, UNKNOWN = 1024, 5, "und"
 UNSEEN, SLACK = 0.25, 2
 _RECENT, _BINS = 20, 4096  # bits of a task's table of n-grams; bins of shares
 _UNIT = 1 << 20  # a unit profile's coordinates are summed in these steps
-_CELLS, _BLOCK = 4_000_000, 8192  # counters, and n-gram vectors, at once
+_CELLS, _BLOCK = 1_000_000, 4096  # counters, and n-gram vectors, at once
+_SLICE = 512  # n-gram vectors that are made at once
 _letters: dict[str, np.ndarray] = {}
 
 
@@ -81,13 +82,16 @@ class _Grams:
         return W.mix(x << np.uint64(42) | y << np.uint64(21) | z)
 
     def vectors(self, some: np.ndarray | slice) -> np.ndarray:
-        """Vectors of some distinct n-grams, at most ``_BLOCK``."""
-        if len(self.letters) <= _BLOCK:
-            table = _signs(self.letters)
-            x, y, z = (table[k[some]] for k in self.three)
-        else:
-            x, y, z = (_signs(self.letters[k[some]]) for k in self.three)
-        return 1 - 2 * (np.roll(x, 2, axis=1) ^ np.roll(y, 1, axis=1) ^ z).astype(np.float32)
+        """Vectors of some distinct n-grams, at most ``_BLOCK``, written slice by slice
+        into the one array."""
+        places = [k[some] for k in self.three]
+        table = _signs(self.letters) if len(self.letters) <= _SLICE else None
+        out = np.empty((len(places[0]), DIM), np.float32)
+        for i in range(0, len(out), _SLICE):
+            x, y, z = (_signs(self.letters[k[i:i + _SLICE]]) if table is None else table[k[i:i + _SLICE]] for k in places)
+            bits = np.roll(x, 2, axis=1) ^ np.roll(y, 1, axis=1) ^ z
+            np.subtract(1, bits << 1, out=out[i:i + _SLICE], dtype=np.float32)
+        return out
 
 
 def _profiles(c: W.Chunk) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -180,7 +184,7 @@ def _unit(profiles: np.ndarray) -> np.ndarray:
 
 def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
-    for c in W.chunks(batches):
+    for c in W.chunks(batches, size=W.PIECE):
         lang = np.array(c.rows.column(1).to_pylist(), object)
         for i, j, p in _profiles(c):
             steps = np.rint(_unit(p) * _UNIT).astype(np.int64)
@@ -214,7 +218,7 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 def _predicted(names: list[str], prototypes: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = np.array([*names, UNKNOWN], object)
-        for c in W.chunks(batches):
+        for c in W.chunks(batches, size=W.PIECE):
             best = np.full(len(c), len(names))
             score = np.zeros(len(c))
             for i, j, p in _profiles(c):
@@ -243,7 +247,7 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of the n-grams of texts, most of them once a task: those that a table of
     fixed size remembers are left out."""
     recent = np.zeros(1 << _RECENT, np.uint64)
-    for c in W.chunks(batches):
+    for c in W.chunks(batches, size=W.PIECE):
         g = _distinct(c)
         if g is not None:
             h = g.hashes()
@@ -264,7 +268,7 @@ def _seen(trained: DataFrame) -> np.ndarray:
 
 def _shares(seen):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in W.chunks(batches):
+        for c in W.chunks(batches, size=W.PIECE):
             g = _distinct(c)
             if g is None:
                 continue
@@ -314,7 +318,7 @@ def in_known_language(docs: DataFrame) -> DataFrame:
 
 def _held(prototypes: np.ndarray, seen, most: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in W.chunks(batches):
+        for c in W.chunks(batches, size=W.PIECE):
             keep = np.zeros(len(c), bool)
             for i, j, p, total, unseen in _bundled(c, seen.value):
                 bound = most[(_unit(p) @ prototypes.T).argmax(axis=1)]

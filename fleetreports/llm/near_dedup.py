@@ -59,7 +59,7 @@ _SIG = "doc_id bigint, n_shingles bigint, set_hi bigint, set_lo bigint, tokens a
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for c in W.chunks(batches):
+    for c in W.chunks(batches, size=W.PIECE):
         n = len(c)
         sets, off = W.shingles(W.words(c, lower=True), SHINGLE, n)
         size = np.diff(off)
@@ -87,7 +87,7 @@ def _sets(bitmap):
             for b in batches:
                 spots = np.asarray(b.column(2))
                 yield b.filter(pa.array(passes(bitmap.value, spots)))
-        for c in W.chunks(wanted()):
+        for c in W.chunks(wanted(), size=W.PIECE):
             sets, off = W.shingles(W.words(c, lower=True), SHINGLE, len(c))
             yield pa.RecordBatch.from_arrays([c.rows.column(0), W.lists(W.signed(sets), off)], names=["doc_id", "shingles"])
     return run
@@ -222,7 +222,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows, with the hash and size of their sets (as in ``_signatures``)."""
-    for c in W.chunks(batches):
+    for c in W.chunks(batches, size=W.PIECE):
         sets, off = W.shingles(W.words(c, lower=True), SHINGLE, len(c))
         size = np.diff(off)
         hi, lo = np.zeros(len(c), np.uint64), np.zeros(len(c), np.uint64)

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 20
+PIECE = 1 << 18  # for passes whose arrays take many times the text's bytes
 U = np.uint64
 _P, _Q = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1
 _TABLE = np.random.Generator(np.random.PCG64(20240611)).integers(0, 1 << 64, 256, dtype=np.uint64)

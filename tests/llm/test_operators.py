@@ -4,6 +4,7 @@ added, and the empty table."""
 import hashlib
 import math
 import re
+import types
 import zlib
 from collections import Counter, defaultdict
 
@@ -687,3 +688,26 @@ def test_language_profiles_in_blocks(monkeypatch):
     monkeypatch.setattr(language_id, "_CELLS", 20)
     parts = [np.concatenate(x) for x in zip(*[r[2:] for r in language_id._bundled(chunk, seen)], strict=True)]
     assert all((a == b).all() for a, b in zip(whole, parts, strict=True)) and 0 < whole[2].sum() < whole[1].sum()
+
+
+@pytest.mark.parametrize("run, columns, limit", [
+    (lambda: decontaminate._doc_windows(types.SimpleNamespace(value=np.zeros((1 << 26) // 8, np.uint8)), []), ["doc_id", "text_key", "text"], 60e6),
+    (lambda: near_dedup._signatures, ["doc_id", "text"], 12e6),
+    (lambda: language_id._bundles, ["text", "lang"], 60e6),
+])
+def test_memory_of_a_text_pass_is_bounded(run, columns, limit):
+    """4 MB of texts in one Arrow batch: the peak of a pass of the pipeline beside them."""
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    words = np.array(["".join(map(chr, rng.integers(0x61, 0x17F, rng.integers(2, 9)))) for _ in range(20_000)])
+    texts = [" ".join(words[rng.integers(0, len(words), 400)]) for _ in range(1000)]
+    every = {"doc_id": pa.array(range(1000)), "text_key": pa.array(range(1000)), "text": texts, "lang": ["x", "y"] * 500}
+    batch = pa.RecordBatch.from_pydict({c: every[c] for c in columns})
+    language_id._folded()
+    tracemalloc.start()
+    for _ in run()(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < limit, peak
