@@ -260,12 +260,14 @@ def ingest(spark: SparkSession, path: str, with_lineage: bool = False, materiali
     return parse_messages(read_feed_placed(spark, path), with_lineage=with_lineage, materialize_parse=materialize_parse)
 
 
-def to_messages(reports: DataFrame) -> DataFrame:
+def to_messages(reports: DataFrame, numbered: bool = False) -> DataFrame:
     """Inverse of ``parse_messages``: one JSON message (``value``) per report,
-    ``lastupdate`` as epoch milliseconds. Used to replay tables as a feed."""
+    ``lastupdate`` as epoch milliseconds. Used to replay tables as a feed.
+    ``numbered``: ``seq`` goes along as the message's ``rsvp_id``."""
     attrs = [F.col(c) for c in REPORT_COLUMNS if c not in ("lastupdate", "seq")]
     attrs.append(ntz_to_millis(F.col("lastupdate")).alias("lastupdate"))
-    return reports.select(F.to_json(F.struct(F.struct(*attrs).alias("attributes"))).alias("value"))
+    message = [F.col("seq").cast("string").alias("rsvp_id")] if numbered else []
+    return reports.select(F.to_json(F.struct(*message, F.struct(*attrs).alias("attributes"))).alias("value"))
 
 
 def report_columns(df: DataFrame) -> DataFrame:

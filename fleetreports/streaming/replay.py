@@ -54,10 +54,21 @@ def _bytes(spark, path: str) -> int:
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
 
 
-def replay(reports: DataFrame, start: Start, slices: int = SLICES, closing: DataFrame | None = None, keep: str = "append") -> DataFrame:
+def _reports(feed: DataFrame, numbered: bool) -> DataFrame:
+    """The feed's reports. ``numbered``: with the ``seq`` that the messages bring as their
+    ``rsvp_id`` (those without one: the order of arrival)."""
+    got = parse_messages(feed, with_lineage=numbered).reports
+    if numbered:
+        got = got.withColumn("seq", F.coalesce(F.expr("try_cast(rsvp_id AS bigint)"), "seq")).drop("rsvp_id", "payload_hash")
+    return got
+
+
+def replay(reports: DataFrame, start: Start, slices: int = SLICES, closing: DataFrame | None = None, keep: str = "append",
+           numbered: bool = False) -> DataFrame:
     """Result table of a streaming query over the reports, slice by slice.
     ``closing``: reports that come last, to move the watermark past all windows.
-    ``keep``: ``append`` (all micro-batches' rows) or ``last`` (the last snapshot)."""
+    ``keep``: ``append`` (all micro-batches' rows) or ``last`` (the last snapshot).
+    ``numbered``: ties go by the reports' own ``seq``, not by the order of arrival."""
     spark = reports.sparkSession
     base = os.path.join(checkpoint_root(spark), "replays", uuid.uuid4().hex)
     feed, out = f"{base}/feed", f"{base}/out"
@@ -70,8 +81,8 @@ def replay(reports: DataFrame, start: Start, slices: int = SLICES, closing: Data
 
     session_partitions = spark.conf.get(PARTITIONS_CONF)
     for k, part in enumerate(parts):
-        to_messages(part).write.text(f"{feed}/slice={k}")
-        stream = parse_messages(read_feed_stream(spark, f"{feed}/*")).reports
+        to_messages(part, numbered).write.text(f"{feed}/slice={k}")
+        stream = _reports(read_feed_stream(spark, f"{feed}/*"), numbered)
         if not k:  # the first start fixes the number of state partitions
             state_partitions = min(int(session_partitions), -(-_bytes(spark, feed) * slices // STATE_BYTES) + 1)
         spark.conf.set(PARTITIONS_CONF, str(state_partitions))
@@ -138,11 +149,11 @@ def trains_changes(reports: DataFrame) -> DataFrame:
 
 
 def top_delayed(reports: DataFrame, n: int = TOP_N, current: bool = False) -> DataFrame:
-    """The last ranking of ``streaming.incremental_top.start_top``."""
+    """The last ranking of ``streaming.incremental_top.start_top``; equal delays and stamps by ``seq``."""
     def start(stream, sink, checkpoint, trigger):
         return incremental_top.start_top(stream, sink, f"replay-{uuid.uuid4().hex}", n, current, checkpoint, trigger)
 
-    return replay(reports, start, keep="last")
+    return replay(reports, start, keep="last", numbered=True)
 
 
 def report_gap(reports: DataFrame, n: int = GAP_REPORTS) -> DataFrame:

@@ -4,11 +4,14 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetreports import session
 from fleetreports.plans import queries as q
 from fleetreports.sources import parse_messages
+from fleetreports.sources.feed import to_messages
 from fleetreports.streaming import incremental_top as it
+from fleetreports.streaming import replay
 from tests.test_goldens import G3_W1, G3_W2, rec
 from tests.test_streaming import landing, msgs, stream_reports
 
@@ -97,3 +100,23 @@ def test_repeated_micro_batch_and_versions_kept(spark, scratch_dir):
             got = it.rank_tops(it.merge_tops(spark.createDataFrame(rows, it.TOPS_DDL), k, table))
             assert [r.id for r in got.collect()] == want[k]
     assert it._versions(spark, table) == [2, 3]
+
+
+@pytest.mark.parametrize("current", [False, True])
+def test_replay_breaks_ties_by_the_reports_own_number(spark, current):
+    """Forty units with one delay and stamp, and two reports of each, equal but for linename and number."""
+    sent = [rec(u, delay=9, t=1000, name=turn) for u in range(40) for turn in ("a", "b")]
+    reports = parse_messages(spark.createDataFrame([(m,) for m in msgs(sent)], "value string")).reports
+    reports = reports.withColumn("seq", F.expr("IF(linename = 'a', 7, 100) * 1000 - CAST(id AS bigint) * 11"))
+    batch_form = q.top_delayed_current if current else q.top_delayed
+    want = [tuple(r) for r in batch_form(reports).collect()]
+    assert [tuple(r) for r in replay.top_delayed(reports, current=current).collect()] == want
+    assert [r[0] for r in want] == ["39", "38", "37", "36", "35"] and {r[1] for r in want} == {"b"}
+
+
+def test_numbered_messages(spark):
+    """A report without a number has none in its message and takes the order of arrival."""
+    reports = parse_messages(spark.createDataFrame([(m,) for m in msgs([rec(1), rec(2)])], "value string")).reports
+    value = to_messages(reports.withColumn("seq", F.expr("IF(id = '1', 5L, NULL)")), numbered=True)
+    got = {r.id: r.seq for r in replay._reports(value, True).collect()}
+    assert got["1"] == 5 and got["2"] is not None
